@@ -114,7 +114,8 @@ def transactions(
     columns: Sequence[str] = TRANSACTION_COLUMNS, max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """Cleaned transactions: joins, window features and flags in one plan."""
-    rows = behaviour(with_context(transactions, clients_silver, accounts_silver), max_rows=max_rows)
+    # Windows first: their exchange on the customer also serves the join that follows.
+    rows = with_context(behaviour(transactions, max_rows=max_rows), clients_silver, accounts_silver)
     return clean.keep_columns(rows, [c for c in columns if c in rows.columns])
 
 

@@ -103,9 +103,10 @@ def append_history(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def register_table(df: DataFrame, database: str, table: str) -> str:
-    """Create the database when missing and save ``df`` as a managed table."""
-    df.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS `{database}`")
+def register_table(df: DataFrame, database: str, table: str, location: str | None = None) -> str:
+    """Create the database when missing (in ``location`` if given) and save ``df`` as its table."""
+    place = f" LOCATION '{location}'" if location else ""
+    df.sparkSession.sql(f"CREATE SCHEMA IF NOT EXISTS `{database}`{place}")
     df.write.mode("overwrite").saveAsTable(f"`{database}`.`{table}`")
     return f"{database}.{table}"
 
