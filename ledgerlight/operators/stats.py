@@ -8,8 +8,9 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ledgerlight.functions.scalars import effect_decision, effect_label
 from ledgerlight.operators.ordered import MAX_ROWS
@@ -17,41 +18,45 @@ from ledgerlight.operators.ranks import class_counts, rank_sums
 
 
 # --- tail probabilities, for result tables of one row per feature -----------
+# The helpers are nested so that they travel to the executors by value, where
+# this package need not be installed.
+
+def two_sided_normal(z: Column | str) -> Column:
+    """Two-sided tail of the standard normal distribution."""
+
+    def tail(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: min(1.0, math.erfc(v / math.sqrt(2.0))), na_action="ignore")
+
+    return F.pandas_udf(tail, DoubleType())(z)
+
+
+def chi2_tail(x: Column | str, dof: Column | str) -> Column:
+    """Upper tail of the chi-squared distribution; 1 for 0 degrees of freedom."""
+
+    def upper_gamma(a: float, x: float) -> float:
+        # Regularised Q(a, x): power series below the mode, continued fraction above.
+        if x <= 0:
+            return 1.0
+        scale = math.exp(a * math.log(x) - x - math.lgamma(a))
+        if x < a + 1:
+            k, term = a, 1.0 / a
+            total = term
+            while abs(term) > abs(total) * 1e-16:
+                k += 1
+                term *= x / k
+                total += term
+            return 1.0 - total * scale
+        fraction = 0.0
+        for i in range(400 + int(4 * math.sqrt(a)), 0, -1):
+            fraction = i * (a - i) / (x - a + 2 * i + 1 + fraction)
+        return scale / (x - a + 1 + fraction)
+
+    def tail(values: pd.Series, dofs: pd.Series) -> pd.Series:
+        return pd.Series(
+            [upper_gamma(k / 2, v / 2) if k > 0 else 1.0 for v, k in zip(values, dofs)], dtype="float64"
+        )
 
-@F.pandas_udf("double")
-def two_sided_normal(z: pd.Series) -> pd.Series:
-    return z.map(lambda v: min(1.0, math.erfc(v / math.sqrt(2.0))), na_action="ignore")
-
-
-def _gamma_tail(a: float, x: float) -> float:
-    """Regularised upper incomplete gamma function Q(a, x)."""
-    if x <= 0:
-        return 1.0
-    scale = math.exp(a * math.log(x) - x - math.lgamma(a))
-    if x < a + 1:
-        term = total = 1.0 / a
-        k = a
-        while abs(term) > abs(total) * 1e-16:
-            k += 1
-            term *= x / k
-            total += term
-        return 1.0 - total * scale
-    b, c, d = x + 1 - a, 1e300, 1.0 / (x + 1 - a)
-    h = d
-    for i in range(1, 10_000):
-        an = -i * (i - a)
-        b += 2
-        d = 1.0 / (an * d + b)
-        c = b + an / c
-        h *= c * d
-        if abs(c * d - 1) < 1e-15:
-            break
-    return scale * h
-
-
-@F.pandas_udf("double")
-def chi2_tail(x: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([_gamma_tail(k / 2, v / 2) if k > 0 else 1.0 for v, k in zip(x, dof)], dtype="float64")
+    return F.pandas_udf(tail, DoubleType())(x, dof)
 
 
 # --- correlation and collinearity -------------------------------------------
