@@ -89,9 +89,9 @@ def fee_estimate(kind: Column | str, amount: Column | str) -> Column:
 
 
 def annuity(principal: Column | str, yearly_rate: Column | str, months: Column | str) -> Column:
-    """Constant monthly payment."""
+    """Constant monthly payment; null where it is undefined (no rate, no duration)."""
     monthly = _c(yearly_rate) / 12
-    return F.round(_c(principal) * monthly / (1 - F.pow(1 + monthly, -_c(months))), 2)
+    return F.round(F.try_divide(_c(principal) * monthly, 1 - F.pow(1 + monthly, -_c(months))), 2)
 
 
 def scaled_balance(kind: Column | str, balance: Column | str) -> Column:

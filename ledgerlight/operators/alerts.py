@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.functions import scalars as S
-from ledgerlight.operators.ordered import latest_n
+from ledgerlight.operators.ordered import latest_n, spread_join
 
 # Actions on alerts.
 READ, READ_ALL, DELETED = "lu", "tout_lu", "supprime"
@@ -52,8 +52,7 @@ def fold_states(alerts: DataFrame, states: DataFrame) -> DataFrame:
     no = F.lit(False)
     read = F.coalesce("_read", no) | F.coalesce(F.col("created_at") <= F.col("_all_at"), no)
     return (
-        alerts.join(single, "alert_id", "left")
-        .join(whole, "user_id", "left")
+        spread_join(alerts.join(single, "alert_id", "left"), whole, ["user_id"])
         .filter(~F.coalesce("_gone", no))
         .withColumn("lu", read.cast("int"))
         .drop("_read", "_gone", "_all_at")

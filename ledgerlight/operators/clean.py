@@ -48,24 +48,28 @@ def fill_defaults(df: DataFrame, values: dict) -> DataFrame:
     return df.fillna(values)
 
 
-def median_value(df: DataFrame, column: str, max_rows: int = MAX_ROWS) -> float | None:
-    row = exact_medians(df, [column], max_rows=max_rows).first()
-    return None if row is None else row["mediane"]
+def median_values(df: DataFrame, columns: Sequence[str], max_rows: int = MAX_ROWS) -> dict[str, float]:
+    """Exact medians of several columns from one pass; a column of nulls is missing."""
+    rows = exact_medians(df, columns, max_rows=max_rows).collect()   # one row per column
+    return {row["variable"]: row["mediane"] for row in rows}
 
 
-def impute_median(
-    df: DataFrame, column: str, indicator: str | None = None, fit_on: DataFrame | None = None,
+def impute_medians(
+    df: DataFrame, columns: Sequence[str], indicators: dict[str, str] | None = None, fit_on: DataFrame | None = None,
     max_rows: int = MAX_ROWS,
 ) -> DataFrame:
-    """Fill nulls with the exact median, optionally keeping a 0/1 indicator.
+    """Fill nulls with exact medians; ``indicators`` names a 0/1 column per column that gets one.
 
-    ``fit_on`` takes the median from other rows (the training part) so that
-    the test part does not leak into it.
+    ``fit_on`` takes the medians from other rows (the training part) so that
+    the test part does not leak into them.  The columns become doubles whether
+    or not they hold nulls, so the schema does not depend on the data.
     """
-    middle = median_value(df if fit_on is None else fit_on, column, max_rows)
-    if indicator:
-        df = df.withColumn(indicator, F.col(column).isNull().cast("int"))
-    return df.withColumn(column, F.coalesce(F.col(column).cast("double"), F.lit(middle).cast("double")))
+    middle = median_values(df if fit_on is None else fit_on, columns, max_rows)
+    flags = {flag: F.col(c).isNull().cast("int") for c, flag in (indicators or {}).items()}
+    fills = {
+        c: F.coalesce(F.col(c).cast("double"), F.lit(middle.get(c)).cast("double")) for c in columns
+    }
+    return df.withColumns(flags).withColumns(fills)
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, int]:
@@ -73,21 +77,6 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first().asDict()
 
 
-def impute_if_needed(
-    df: DataFrame, medians: Sequence[str] = (), categories: dict[str, str] | None = None,
-    max_rows: int = MAX_ROWS,
-) -> DataFrame:
-    """Fill only the columns that still hold nulls, found by one pass."""
-    categories = categories or {}
-    watched = [*medians, *categories]
-    left = null_counts(df, watched) if watched else {}
-    for c in medians:
-        if left[c]:
-            df = impute_median(df, c, max_rows=max_rows)
-    needed = {c: v for c, v in categories.items() if left[c]}
-    return df.fillna(needed) if needed else df
-
-
 def assert_no_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     left = {c: n for c, n in null_counts(df, columns).items() if n}
     if left:

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from ledgerlight.session import materialise
 
 MAX_ROWS = 2_000_000      # rows one window task takes
-MAX_SEGMENTS = 50_000     # bounds the small tables that are broadcast
+MAX_SEGMENTS = 200_000    # bounds the small tables that are broadcast
+SIZE_SAMPLE = 20_000      # sampled rows that make a group count as large
 BLOCK = 224               # cut points are searched in two steps of about this size
 SEG, COPY = "_segment", "_copied"
 
@@ -56,6 +57,54 @@ def match_small(df: DataFrame, small: DataFrame, cols: Sequence[str], how: str)
     return df.join(side, on, how).drop(*[f"_k_{c}" for c in cols])
 
 
+def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int) -> tuple[DataFrame | None, int]:
+    """Keys of the groups above the limit, as a written table, and the limit.
+
+    Sizes are estimated from a row sample, so the pass reads the key columns
+    but shuffles next to nothing; a group at the limit has ``SIZE_SAMPLE``
+    sampled rows.  Results never depend on the estimate, only the balance of
+    the tasks does.  At most ``MAX_SEGMENTS`` keys come back.
+    """
+    rows, share = df.select(*keys), min(1.0, SIZE_SAMPLE / max_rows)
+    if share < 1:
+        rows = rows.sample(share, seed=7)
+    sizes = rows.groupBy(*keys).agg((F.count(F.lit(1)) / share).alias("_n"))
+    top, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
+    if top is None or top <= max_rows:
+        return None, max_rows
+    limit = max(max_rows, int(total // MAX_SEGMENTS) + 1)
+    return materialise(sizes.filter(F.col("_n") > limit).select(*keys)), limit
+
+
+def spread_join(
+    facts: DataFrame, side: DataFrame, keys: Sequence[str], null_safe: bool = False, max_rows: int = MAX_ROWS
+) -> DataFrame:
+    """Left join of a side that has one row per key, safe against hot keys of ``facts``.
+
+    AQE splits a hot key only when both inputs come straight from a shuffle,
+    not when the side is an aggregate.  Here the few hot keys take their side
+    rows by broadcast (at most one row per hot key) and never meet in one
+    task; all other keys join by shuffle.
+    """
+    keys = list(keys)
+
+    def joined(rows: DataFrame, other: DataFrame) -> DataFrame:
+        if not null_safe:
+            return rows.join(other, keys, "left")
+        other = _renamed(other, keys)
+        return rows.join(other, same_keys(rows, other, [(c, f"_k_{c}") for c in keys]), "left").drop(
+            *[f"_k_{c}" for c in keys]
+        )
+
+    hot, _ = hot_groups(facts, keys, max_rows)
+    if hot is None:
+        return joined(facts, side)
+    flagged = match_small(facts, hot.withColumn("_hot", F.lit(True)), keys, "left")
+    cold = flagged.filter(F.col("_hot").isNull()).drop("_hot")
+    warm = flagged.filter(F.col("_hot").isNotNull()).drop("_hot")
+    return joined(cold, side).unionByName(joined(warm, F.broadcast(match_small(side, hot, keys, "left_semi"))))
+
+
 def cut_hot_groups(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int = MAX_ROWS, min_rows: int = 64
 ) -> Segmented:
@@ -65,13 +114,10 @@ def cut_hot_groups(
     group holds at least ``min_rows`` rows.
     """
     keys, order = list(keys), list(order)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    top, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
-    if top is None or top <= max_rows:
+    hot, limit = hot_groups(df, keys, max_rows)
+    if hot is None:
         return Segmented(df.withColumn(SEG, F.lit(0)), keys, None)
 
-    limit = max(max_rows, total // MAX_SEGMENTS)
-    hot = sizes.filter(F.col("_n") > limit).select(*keys)
     stride = max(1, limit // min_rows)
     position = F.struct(*order)
     sample = match_small(

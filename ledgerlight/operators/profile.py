@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.scalars import safe_div
-from ledgerlight.operators.ordered import MAX_ROWS, match_small
-from ledgerlight.operators.ranks import exact_medians, exact_quantiles, long_form
+from ledgerlight.operators.ordered import MAX_ROWS, match_small, spread_join
+from ledgerlight.operators.ranks import moments_of, quantiles_of, value_counts
 
 
 def _unpivot(one: DataFrame, structs: list[Column]) -> DataFrame:
@@ -104,26 +104,19 @@ def column_overview(df: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, features: Sequence[str], max_rows: int = MAX_ROWS) -> DataFrame:
-    """count, mean, std, min, exact quartiles and max per feature."""
-    moments = (
-        long_form(df, features)
-        .groupBy("variable")
-        .agg(
-            F.count(F.lit(1)).alias("nombre"), F.avg("value").alias("moyenne"),
-            F.stddev("value").alias("ecart_type"), F.min("value").alias("minimum"), F.max("value").alias("maximum"),
-        )
-    )
-    quartiles = exact_quantiles(df, features, {"q1": 0.25, "mediane": 0.5, "q3": 0.75}, max_rows=max_rows)
-    return moments.join(F.broadcast(quartiles), "variable")  # one row per feature
+    """count, mean, std, min, exact quartiles and max per feature, from one table of value counts."""
+    counts = value_counts(df, features)
+    quartiles = quantiles_of(counts, {"q1": 0.25, "mediane": 0.5, "q3": 0.75}, max_rows=max_rows)
+    return moments_of(counts, max_rows=max_rows).join(F.broadcast(quartiles), "variable")  # one row per feature
 
 
 def class_comparison(df: DataFrame, features: Sequence[str], label: str, max_rows: int = MAX_ROWS) -> DataFrame:
     """Mean and exact median of every feature per class: (variable, label, moyenne, mediane)."""
-    means = (
-        long_form(df, features, [label]).groupBy("variable", label).agg(F.avg("value").alias("moyenne"))
+    counts = value_counts(df, features, [label])
+    means = counts.groupBy("variable", label).agg(
+        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("moyenne")
     )
-    medians = exact_medians(df, features, [label], max_rows)
-    return match_small(means, medians, ["variable", label], "left")
+    return match_small(means, quantiles_of(counts, {"mediane": 0.5}, [label], max_rows), ["variable", label], "left")
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
@@ -156,7 +149,7 @@ def split_balance(df: DataFrame, label: str, part: str = "partie") -> DataFrame:
 
 def weighted_average(value: Column | str, weight: Column | str) -> Column:
     value, weight = (F.col(c) if isinstance(c, str) else c for c in (value, weight))
-    return F.sum(value * weight) / F.sum(weight)
+    return F.try_divide(F.sum(value * weight), F.sum(weight))
 
 
 def category_shares(df: DataFrame, key: str) -> DataFrame:
@@ -170,18 +163,19 @@ def category_shares(df: DataFrame, key: str) -> DataFrame:
     )
 
 
-def with_group_stats(df: DataFrame, keys: Sequence[str], value: str, prefix: str = "client") -> DataFrame:
+def with_group_stats(
+    df: DataFrame, keys: Sequence[str], value: str, prefix: str = "client", max_rows: int = MAX_ROWS
+) -> DataFrame:
     """Mean, sample deviation (0 for one row) and z-score ``(x - mean) / (std + 1)`` per row.
 
-    Aggregate and join back: a window over the key would run a hot key in one
-    task, the join lets AQE split it.
+    Aggregate and join back: a window over the key would run a hot key in one task.
     """
     stats = df.groupBy(*keys).agg(
         F.avg(value).alias(f"{prefix}_moyenne"),
         F.coalesce(F.stddev(value), F.lit(0.0)).alias(f"{prefix}_ecart_type"),
     )
     z = (F.col(value) - F.col(f"{prefix}_moyenne")) / (F.col(f"{prefix}_ecart_type") + 1)
-    return df.join(stats, list(keys), "left").withColumn(f"{prefix}_z", z)
+    return spread_join(df, stats, keys, max_rows=max_rows).withColumn(f"{prefix}_z", z)
 
 
 def decision_summary(df: DataFrame, decision: str) -> DataFrame:

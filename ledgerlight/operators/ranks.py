@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.scalars import safe_div
-from ledgerlight.operators.ordered import MAX_ROWS, lagged, running_totals, same_keys
+from ledgerlight.operators.ordered import MAX_ROWS, lagged, match_small, running_totals, spread_join
 from ledgerlight.session import materialise
 
 
@@ -29,35 +29,34 @@ def long_form(df: DataFrame, features: Sequence[str], keep: Sequence[str | Colum
     )
 
 
-def with_totals(df: DataFrame, totals: DataFrame, group: Sequence[str], one_row: bool) -> DataFrame:
+def with_totals(df: DataFrame, totals: DataFrame, group: Sequence[str], one_row: bool, max_rows: int) -> DataFrame:
     """Add the totals of each group, null-safe.
 
     Without grouping columns the totals have one row per feature and are
-    broadcast; with them their number grows with the data, so Spark chooses.
+    broadcast; with them their number grows with the data.
     """
-    side = totals.withColumnsRenamed({c: f"_k_{c}" for c in group})
-    on = same_keys(df, side, [(c, f"_k_{c}") for c in group])
-    return df.join(F.broadcast(side) if one_row else side, on).drop(*[f"_k_{c}" for c in group])
+    if one_row:
+        return match_small(df, totals, group, "left")
+    return spread_join(df, totals, group, null_safe=True, max_rows=max_rows)
 
 
 # --- quantiles -------------------------------------------------------------
 
-def exact_quantiles(
-    df: DataFrame, features: Sequence[str], probs: dict[str, float], by: Sequence[str] = (),
-    max_rows: int = MAX_ROWS,
-) -> DataFrame:
-    """Linear-interpolated quantiles per feature (and group): (by..., variable, names of ``probs``).
+def value_counts(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., variable, value, n): the distinct values of each feature, written once."""
+    return materialise(
+        long_form(df, features, by).groupBy(*by, "variable", "value").agg(F.count(F.lit(1)).alias("n"))
+    )
 
-    Same values as ``percentile``, whose buffer would hold every distinct
-    value of a group in one task.
-    """
+
+def quantiles_of(
+    counts: DataFrame, probs: dict[str, float], by: Sequence[str] = (), max_rows: int = MAX_ROWS
+) -> DataFrame:
+    """Linear-interpolated quantiles of a ``value_counts`` table."""
     group = [*by, "variable"]
-    counts = materialise(
-        long_form(df, features, by).groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n"))
-    )
     upto = running_totals(counts, group, ["value"], {"upto": F.col("n")}, max_rows)
     total = counts.groupBy(*group).agg(F.sum("n").alias("total"))
-    ranked = with_totals(upto, total, group, one_row=not by)
+    ranked = with_totals(upto, total, group, one_row=not by, max_rows=max_rows)
 
     aggs = []
     for name, p in probs.items():
@@ -75,6 +74,32 @@ def exact_quantiles(
     )
 
 
+def moments_of(counts: DataFrame, by: Sequence[str] = (), max_rows: int = MAX_ROWS) -> DataFrame:
+    """Count, mean, sample deviation, minimum and maximum of a ``value_counts`` table."""
+    group = [*by, "variable"]
+    value, n = F.col("value"), F.col("n")
+    first = counts.groupBy(*group).agg(
+        F.sum("n").alias("nombre"), (F.sum(value * n) / F.sum(n)).alias("moyenne"),
+        F.min("value").alias("minimum"), F.max("value").alias("maximum"),
+    )
+    gap = value - F.col("moyenne")
+    rows = with_totals(counts, first, group, one_row=not by, max_rows=max_rows)
+    spread = F.when(F.col("nombre") > 1, F.sqrt(F.sum(gap * gap * n) / (F.col("nombre") - 1)))
+    return rows.groupBy(*group, "nombre", "moyenne", "minimum", "maximum").agg(spread.alias("ecart_type"))
+
+
+def exact_quantiles(
+    df: DataFrame, features: Sequence[str], probs: dict[str, float], by: Sequence[str] = (),
+    max_rows: int = MAX_ROWS,
+) -> DataFrame:
+    """Quantiles per feature (and group): (by..., variable, names of ``probs``).
+
+    Same values as ``percentile``, whose buffer would hold every distinct
+    value of a group in one task.
+    """
+    return quantiles_of(value_counts(df, features, by), probs, by, max_rows)
+
+
 def exact_medians(df: DataFrame, features: Sequence[str], by: Sequence[str] = (), max_rows: int = MAX_ROWS):
     return exact_quantiles(df, features, {"mediane": 0.5}, by, max_rows)
 
@@ -138,7 +163,7 @@ def score_curve(
     totals = counts.groupBy(*group).agg(F.sum("pos").alias("p_all"), F.sum("neg").alias("n_all"))
     fn, tn = F.col("cum_pos") - F.col("pos"), F.col("cum_neg") - F.col("neg")
     tp, fp = F.col("p_all") - fn, F.col("n_all") - tn
-    return with_totals(cum, totals, group, one_row=not by).select(
+    return with_totals(cum, totals, group, one_row=not by, max_rows=max_rows).select(
         *by, "threshold", "pos", "neg",
         tp.alias("tp"), fp.alias("fp"), fn.alias("fn"), tn.alias("tn"),
         (tp / (tp + fp)).alias("precision"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlight.functions.dates import _c
 from ledgerlight.functions.scalars import matched_names, safe_div
 from ledgerlight.operators.joins import range_lookup
-from ledgerlight.operators.ordered import MAX_ROWS, ordered_features
+from ledgerlight.operators.ordered import MAX_ROWS, ordered_features, spread_join
 from ledgerlight.operators.profile import weighted_average
 from ledgerlight.operators.ranks import exact_quantiles
 
@@ -88,7 +88,7 @@ def late_reason(days: Column | str) -> Column:
 
 
 def remaining_principal(principal: Column | str, paid: Column | str, months: Column | str) -> Column:
-    return F.greatest(F.lit(0.0), F.round(_c(principal) * (1 - _c(paid) / _c(months)), 2))
+    return F.greatest(F.lit(0.0), F.round(_c(principal) * (1 - F.try_divide(_c(paid), _c(months))), 2))
 
 
 def remaining_months(months: Column | str, paid: Column | str) -> Column:
@@ -252,12 +252,8 @@ def occurrence_numbers(
     """
     numbered = ordered_features(df, [key], order, running={"rang": F.lit(1)}, max_rows=max_rows)
     first = df.groupBy(key, what).agg(F.min(F.struct(*order)).alias("_first"))
-    side = first.withColumnsRenamed({key: "_k", what: "_w"})
-    return (
-        numbered.join(side, F.col(key).eqNullSafe(F.col("_k")) & F.col(what).eqNullSafe(F.col("_w")), "left")
-        .withColumn("premiere_vue", (F.struct(*order) == F.col("_first")).cast("int"))
-        .drop("_k", "_w", "_first")
-    )
+    joined = spread_join(numbered, first, [key, what], null_safe=True, max_rows=max_rows)
+    return joined.withColumn("premiere_vue", (F.struct(*order) == F.col("_first")).cast("int")).drop("_first")
 
 
 def fraud_rules(z: Column, rank: Column) -> dict[str, Column]:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ledgerlight.functions.scalars import effect_decision, effect_label
+from ledgerlight.functions.scalars import KEEP, effect_decision, effect_label
 from ledgerlight.operators.ordered import MAX_ROWS
 from ledgerlight.operators.ranks import class_counts, rank_sums
 
@@ -214,3 +214,9 @@ def feature_verdicts(
         .withColumn("decision", effect_decision("force_effet"))
         .orderBy(F.desc("taille_effet"), "variable")
     )
+
+
+def variables_by_verdict(verdicts: DataFrame, verdict: str = KEEP) -> list[str]:
+    """Names of the kept (or dropped) features, strongest first; one row per feature."""
+    rows = verdicts.filter(F.col("decision") == verdict).orderBy(F.desc("taille_effet"), "variable")
+    return [row["variable"] for row in rows.select("variable").collect()]

@@ -62,15 +62,15 @@ def feature_table(transactions_silver: DataFrame, clients_silver: DataFrame) ->
 def clean_features(
     features: DataFrame, fit_on: DataFrame | None = None, max_rows: int = MAX_ROWS
 ) -> DataFrame:
-    """No nulls left in what the model reads: structural category, indicator and medians.
+    """Structural category, age indicator, medians and residual category.
 
-    ``fit_on`` restricts the age median to training rows.
+    ``fit_on`` restricts the medians to training rows.  The residual fills do
+    nothing when the customer join left no nulls.
     """
-    rows = clean.fill_defaults(features, {"mode_paiement": clean.NOT_APPLICABLE})
-    rows = clean.impute_median(rows, "age", "age_manquant", fit_on, max_rows)
-    return clean.impute_if_needed(
-        rows, medians=["score_credit"], categories={"niveau_risque_client": clean.UNKNOWN}, max_rows=max_rows
+    rows = clean.fill_defaults(
+        features, {"mode_paiement": clean.NOT_APPLICABLE, "niveau_risque_client": clean.UNKNOWN}
     )
+    return clean.impute_medians(rows, ["age", "score_credit"], {"age": "age_manquant"}, fit_on, max_rows)
 
 
 def missing_by_type(features: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from ledgerlight.operators import model as M
 from ledgerlight.operators import registry
-from ledgerlight.operators.clean import require_columns
+from ledgerlight.operators.clean import assert_no_nulls, require_columns
 from ledgerlight.operators.ranks import curve_summary, score_curve
 from ledgerlight.operators.scoring import model_scorer, score_batch
 from ledgerlight.plans import features as feat
@@ -77,6 +77,7 @@ def to_features(run: Run) -> None:
     rows = feat.feature_table(run.read("silver", "transactions"), run.read("silver", "clients"))
     run.write(rows, "gold", "features")
     run.write(feat.clean_features(run.read("gold", "features")), "ml", "features_clean")
+    assert_no_nulls(run.read("ml", "features_clean"), [*feat.FEATURES, "age", "score_credit", feat.LABEL])
 
 
 def train(run: Run) -> tuple[PipelineModel, DataFrame]:

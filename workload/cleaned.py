@@ -13,7 +13,7 @@ from ledgerlight.operators import clean, risk, scoring
 from ledgerlight.operators.alerts import RESULT_FIELDS
 from ledgerlight.plans import features as feat
 from ledgerlight.plans import silver
-from ledgerlight.session import scratch_root
+from ledgerlight.session import materialise, scratch_root
 from ledgerlight.sources import tables as T
 from ledgerlight.sources.schemas import schema_of
 from workload.registry import VIEWS, day, query, r, rs, tidy, ts
@@ -351,11 +351,12 @@ def feature_table(spark, sf):
     "clean_features",
     f"""select {FEATURE_SQL}, coalesce(mode_paiement, 'Non_applicable') as mode_paiement,
         case when age is null then 1 else 0 end as age_manquant,
-        {r('coalesce(age, (select quantile_cont(age, 0.5) from feature_rows))', 'age')}, score_credit,
+        {r('coalesce(age, (select quantile_cont(age, 0.5) from feature_rows))', 'age')}, cast(score_credit as double) as score_credit,
         coalesce(niveau_risque_client, 'Inconnu') as niveau_risque_client from feature_rows""",
 )
 def clean_features(spark, sf):
-    return tidy_features(feat.clean_features(features(spark, sf)))
+    # The medians are a pass of their own, so the joins and windows are written once.
+    return tidy_features(feat.clean_features(materialise(features(spark, sf))))
 
 
 @query(

@@ -138,13 +138,14 @@ def chi_square_documents(spark, sf):
         union all select variable, 'catégorielle/binaire', sqrt(chi2 / n) from khi)""",
 )
 def feature_verdicts(spark, sf):
-    return tidy(stats.feature_verdicts(features(spark, sf), STUDIED, TESTED, "fraud_flag").drop("p_value", "p_value_ajuste"))
+    return tidy(feature_tests(spark, sf).drop("p_value", "p_value_ajuste"))
 
 
 @query("feature_tests")
 def feature_tests(spark, sf):
     """The verdict table with its p-values, whose tails SQL cannot express."""
-    return stats.feature_verdicts(features(spark, sf), STUDIED, TESTED, "fraud_flag")
+    rows = materialise(features(spark, sf).select("fraud_flag", *STUDIED, *TESTED))   # read by both families of tests
+    return stats.feature_verdicts(rows, STUDIED, TESTED, "fraud_flag")
 
 
 @query(
@@ -363,7 +364,7 @@ TREES, DEPTH = 5, 4    # small enough for a test run; the defaults are those of
 
 def prepared(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Split and written once, since training reads it many times: (train, test)."""
-    clean = feat.clean_features(features(spark, sf))
+    clean = feat.clean_features(materialise(features(spark, sf)))
     parts = materialise(model.stratified_split(clean, feat.KEY, feat.LABEL))
     return parts.filter("partie = 'train'"), parts.filter("partie = 'test'")
 
