@@ -191,9 +191,12 @@ def permutation_importance(
             b = rng.randrange(n)
             source = F.pmod(F.col("_i") * F.lit(a) + F.lit(b), F.lit(n))
             shuffles.append(F.struct(F.lit(f).alias("feature"), F.lit(r).alias("essai"), source.alias("_from")))
+    # Every row becomes 1 + features * repeats rows, so the rows are spread over the tasks first.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = numbered.repartition(tasks, "_i")
     donors = numbered.select(F.col("_i").alias("_from"), *[F.col(f).alias(f"_d_{f}") for f in features])
     shuffled = (
-        numbered.withColumn("_s", F.explode(F.array(*shuffles))).select("*", "_s.*").drop("_s")
+        spread.withColumn("_s", F.explode(F.array(*shuffles))).select("*", "_s.*").drop("_s")
         .join(donors, "_from")
         .withColumns({f: F.when(F.col("feature") == f, F.col(f"_d_{f}")).otherwise(F.col(f)) for f in features})
         .select("feature", "essai", "_y", *features)
