@@ -99,7 +99,7 @@ def fit_encoder(train: DataFrame, columns: Sequence[str], max_rows: int = MAX_RO
     ]
     seen = materialise(train.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").distinct())
     codes = running_totals(seen, ["variable"], ["modalite"], {"code": F.lit(1)}, max_rows)
-    return codes.withColumn("code", (F.col("code") - 1).cast("double"))
+    return materialise(codes.withColumn("code", (F.col("code") - 1).cast("double")))
 
 
 def apply_encoder(df: DataFrame, encoder: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -28,13 +28,12 @@ from ledgerlight.session import materialise
 MAX_ROWS = 2_000_000      # rows one window task takes
 MAX_SEGMENTS = 200_000    # bounds the small tables that are broadcast
 SIZE_SAMPLE = 20_000      # sampled rows that make a group count as large
-BLOCK = 224               # cut points are searched in two steps of about this size
-SEG, COPY = "_segment", "_copied"
+SEG, COPY, CUTS = "_segment", "_copied", "_cuts"
 
 
 @dataclass
 class Segmented:
-    """``frame`` with a segment number per row, and the table of cut groups."""
+    """``frame`` with the cuts of its group and a segment number per row; the table of cut groups."""
 
     frame: DataFrame
     keys: list[str]
@@ -106,19 +105,22 @@ def spread_join(
 
 
 def cut_hot_groups(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int = MAX_ROWS, min_rows: int = 64
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], max_rows: int = MAX_ROWS, previous: int = 0
 ) -> Segmented:
     """Number the segments of every group; only groups above ``max_rows`` have several.
 
-    ``order`` must be unique within a group.  Every segment but the last of a
-    group holds at least ``min_rows`` rows.
+    ``order`` must be unique within a group.  Cuts are every ``per_segment``-th
+    row of a sample taken by hash, so every segment but the last holds at least
+    that many rows.  A row finds its segment by a binary search in the cuts of
+    its key.
     """
     keys, order = list(keys), list(order)
     hot, limit = hot_groups(df, keys, max_rows)
     if hot is None:
         return Segmented(df.withColumn(SEG, F.lit(0)), keys, None)
 
-    stride = max(1, limit // min_rows)
+    per_segment = max(64, 8 * previous)
+    stride = max(1, limit // per_segment)
     position = F.struct(*order)
     sample = match_small(
         df.select(*dict.fromkeys(keys + order)).filter(F.pmod(F.xxhash64(*order), F.lit(stride)) == 0),
@@ -126,23 +128,33 @@ def cut_hot_groups(
     )
     in_group = Window.partitionBy(*keys).orderBy(*order)
     points = (
-        sample.withColumn("_rn", F.row_number().over(in_group))
-        .filter(F.col("_rn") % min_rows == 0)
-        .select(*keys, position.alias("at"), (F.col("_rn") / min_rows - 1).cast("int").alias("_i"))
-    )
-    blocks = points.groupBy(*keys, F.floor(F.col("_i") / BLOCK).alias("_b")).agg(
-        F.sort_array(F.collect_list("at")).alias("items")
+        sample.select(*keys, position.alias("at"), *order)
+        .withColumns({"_rn": F.row_number().over(in_group), "near": F.lag("at", previous).over(in_group)})
+        .filter(F.col("_rn") % per_segment == 0)
     )
     cuts = materialise(
-        blocks.groupBy(*keys).agg(
-            F.sort_array(F.collect_list(F.struct(F.col("items")[0].alias("head"), "items"))).alias("_cuts")
-        )
+        points.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("at", "near"))).alias(CUTS))
     )
-    found = F.size(F.filter("_cuts", lambda b: b["head"] < position))
-    inside = F.size(F.filter(F.col("_cuts")[found - 1]["items"], lambda p: p < position))
-    seg = F.when(F.col("_cuts").isNull() | (found == 0), 0).otherwise((found - 1) * BLOCK + inside)
-    frame = match_small(df, cuts, keys, "left").withColumn(SEG, seg).drop("_cuts")
-    return Segmented(frame, keys, cuts.select(*keys))
+    longest = cuts.agg(F.max(F.size(CUTS))).first()[0]
+    if longest is None:
+        return Segmented(df.withColumn(SEG, F.lit(0)), keys, None)
+    steps = F.array(*[F.lit(1 << power) for power in reversed(range(longest.bit_length()))])
+    passed = lambda at, step: F.get(CUTS, at + step - 1)["at"] < position
+    segment = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(passed(at, step), step).otherwise(0))
+    frame = match_small(df, cuts, keys, "left").withColumn(SEG, F.when(F.col(CUTS).isNull(), 0).otherwise(segment))
+    return Segmented(frame, keys, cuts)
+
+
+def segment_tails(cut: Segmented, order: Sequence[str], previous: int) -> DataFrame:
+    """The last ``previous`` rows of every segment that has a successor.
+
+    Only rows behind the sampled point ``near`` the end can be among them, so
+    the rest is dropped before the sort.
+    """
+    end = F.get(CUTS, F.col(SEG))
+    near_end = cut.frame.filter(end.isNotNull() & (F.struct(*order) > end["near"])).drop(CUTS)
+    last_first = Window.partitionBy(*cut.keys, SEG).orderBy(*[F.col(c).desc() for c in order])
+    return near_end.withColumn("_rn", F.row_number().over(last_first)).filter(F.col("_rn") <= previous).drop("_rn")
 
 
 def ordered_features(
@@ -160,7 +172,9 @@ def ordered_features(
     ``running``: sums from the first row of the group to the current one.
     """
     frame, running = frame or {}, running or {}
-    cut = cut_hot_groups(df, keys, order, max_rows, max(64, previous))
+    # Values are fixed on the rows first, so the copied rows carry the same ones.
+    values = {f"_v_{n}": v for n, v in running.items()}
+    cut = cut_hot_groups(df, keys, order, max_rows, previous)
     if cut.cuts is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         before = w.rowsBetween(-previous, -1) if previous else None
@@ -172,22 +186,15 @@ def ordered_features(
             }
         )
 
-    # Values are fixed on the rows first, so the copied rows carry the same ones.
-    values = {f"_v_{n}": v for n, v in running.items()}
-    rows = cut.frame.withColumns(values).withColumn(COPY, F.lit(False))
-    hot_rows = match_small(rows, cut.cuts, cut.keys, "left_semi")
+    cut.frame = cut.frame.withColumns(values).withColumn(COPY, F.lit(False))
+    rows = cut.frame.drop(CUTS)
+    hot_rows = cut.frame.filter(F.col(CUTS).isNotNull())
     in_segment = [*cut.keys, SEG]
 
     both = rows
     if frame:
-        last_first = Window.partitionBy(*in_segment).orderBy(*[F.col(c).desc() for c in order])
-        tails = (
-            hot_rows.withColumn("_rn", F.row_number().over(last_first))
-            .filter(F.col("_rn") <= previous)
-            .drop("_rn")
-            .withColumns({SEG: F.col(SEG) + 1, COPY: F.lit(True)})
-        )
-        both = rows.unionByName(tails)
+        tails = segment_tails(cut, order, previous)
+        both = rows.unionByName(tails.withColumns({SEG: F.col(SEG) + 1, COPY: F.lit(True)}))
     w = Window.partitionBy(*in_segment).orderBy(*order)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = both.withColumns(

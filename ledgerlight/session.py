@@ -26,11 +26,12 @@ def local_session(cpus: int | str | None = None, app: str = "ledgerlight") -> Sp
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
+    """Folder of this application in the one all executors share (``spark.checkpoint.dir``).
 
     A local session without the setting gets a temporary folder; a cluster
     without it is an error, because a machine-local folder would lose data
-    with the machine.
+    with the machine.  Everything of a run lies below the returned folder, so
+    it can be removed when the application has ended.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -39,7 +40,7 @@ def scratch_root(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="ledgerlight-")
         sc.setCheckpointDir(root)
-    return root
+    return f"{root}/ledgerlight-{sc.applicationId}"
 
 
 def materialise(df: DataFrame) -> DataFrame:

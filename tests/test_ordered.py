@@ -30,17 +30,18 @@ def features(df, max_rows, previous=30):
     )
 
 
-@pytest.mark.parametrize("max_rows", [70, 100, 150])
-def test_cut_groups_equal_plain_windows(spark, max_rows):
-    df = spark.createDataFrame(rows(), "id int, k string, t int, x double")
-    plain = features(df, 10**6)
-    cut = features(df, max_rows)
+@pytest.mark.parametrize("max_rows,previous", [(70, 3), (70, 8), (100, 5), (150, 30), (60, 1)])
+def test_cut_groups_equal_plain_windows(spark, max_rows, previous):
+    df = spark.createDataFrame(rows(n=1500), "id int, k string, t int, x double")
+    plain = features(df, 10**6, previous)
+    cut = features(df, max_rows, previous)
     pd.testing.assert_frame_equal(plain, cut[plain.columns], check_exact=False, rtol=1e-12)
 
 
 def test_groups_are_really_cut(spark):
     df = spark.createDataFrame(rows(), "id int, k string, t int, x double")
     cut = O.cut_hot_groups(df, ["k"], ["t", "id"], 70)
+    assert cut.cuts is not None
     per_key = cut.frame.groupBy("k").agg(F.countDistinct(O.SEG).alias("n")).filter("k = 'hot'").first()["n"]
     sizes = cut.frame.filter("k = 'hot'").groupBy(O.SEG).count().orderBy(O.SEG).collect()
     assert per_key > 2

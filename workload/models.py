@@ -344,7 +344,7 @@ def encoder_values(spark, sf):
 )
 def encoded_rows(spark, sf):
     rows = bank(spark, sf, "transactions").select("transaction_id", *ENCODED)
-    return model.apply_encoder(rows, materialise(fitted_encoder(spark, sf)), ENCODED)
+    return model.apply_encoder(rows, fitted_encoder(spark, sf), ENCODED)
 
 
 @query(
@@ -370,7 +370,7 @@ def prepared(spark, sf) -> tuple[DataFrame, DataFrame]:
 
 
 def trained(train: DataFrame):
-    encoder = materialise(model.fit_encoder(train, feat.CATEGORICAL))
+    encoder = model.fit_encoder(train, feat.CATEGORICAL)
     rows = model.apply_encoder(train, encoder, feat.CATEGORICAL)
     fitted = model.fit_model(rows, feat.FEATURES, feat.LABEL, max_iter=TREES, max_depth=DEPTH)
     return scoring.model_scorer(fitted, encoder, feat.CATEGORICAL)
