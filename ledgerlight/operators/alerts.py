@@ -72,15 +72,11 @@ def latest_alerts(folded: DataFrame, limit: int = ALERT_LIMIT, unread_only: bool
 
 def activity_stats(users: DataFrame, folded: DataFrame, active: str = "actif") -> DataFrame:
     """Active users, alerts, unread alerts and frauds, as one row."""
-    people = users.agg(F.count_if(F.col(active) == 1).alias("n_users"))
-    return people.crossJoin(   # one row each
-        F.broadcast(
-            folded.agg(
-                F.count(F.lit(1)).alias("n_alerts"), F.count_if(F.col("lu") == 0).alias("n_unread"),
-                F.count_if(F.col("decision") == S.FRAUD).alias("n_frauds"),
-            )
-        )
-    )
+    people = users.agg(F.count_if(F.col(active) == 1)).scalar()
+    return folded.agg(
+        F.count(F.lit(1)).alias("n_alerts"), F.count_if(F.col("lu") == 0).alias("n_unread"),
+        F.count_if(F.col("decision") == S.FRAUD).alias("n_frauds"),
+    ).select(people.alias("n_users"), "n_alerts", "n_unread", "n_frauds")
 
 
 def audit_trail(audit: DataFrame, limit: int = AUDIT_LIMIT, user=None) -> DataFrame:

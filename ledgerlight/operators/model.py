@@ -202,13 +202,12 @@ def permutation_importance(
         .select("feature", "essai", "_y", *features)
     )
     curve = score_curve(scorer(shuffled), "_y", score, ["feature", "essai"], max_rows)
-    ap = curve_summary(curve, ["feature", "essai"]).select("feature", "essai", "pr_auc")
-    base = ap.filter(F.col("feature") == "").select(F.col("pr_auc").alias("_base"))
-    loss = F.col("_base") - F.col("pr_auc")
+    ap = materialise(curve_summary(curve, ["feature", "essai"]).select("feature", "essai", "pr_auc"))
+    loss = ap.filter(F.col("feature") == "").select("pr_auc").scalar() - F.col("pr_auc")
     return (
-        ap.filter(F.col("feature") != "").crossJoin(F.broadcast(base))   # one row
+        ap.filter(F.col("feature") != "").withColumn("_loss", loss)
         .groupBy("feature")
-        .agg(F.avg(loss).alias("importance_mean"), F.stddev_pop(loss).alias("importance_std"))
+        .agg(F.avg("_loss").alias("importance_mean"), F.stddev_pop("_loss").alias("importance_std"))
         .orderBy(F.desc("importance_mean"), "feature")
     )
 

@@ -137,14 +137,11 @@ def split_balance(df: DataFrame, label: str, part: str = "partie") -> DataFrame:
     """Label counts and percents, train beside test."""
     side = {p: F.count_if(F.col(part) == p) for p in ("train", "test")}
     counts = df.groupBy(label).agg(*[n.alias(f"{p}_effectif") for p, n in side.items()])
-    whole = df.agg(*[n.alias(f"_{p}") for p, n in side.items()])
-    return counts.crossJoin(F.broadcast(whole)).select(   # one row
-        label,
-        *[c for p in side for c in (
-            F.col(f"{p}_effectif"),
-            safe_div(F.col(f"{p}_effectif") * F.lit(100.0), F.col(f"_{p}")).alias(f"{p}_pct"),
-        )],
-    )
+    columns = [F.col(label)]
+    for p, n in side.items():
+        size = F.col(f"{p}_effectif")
+        columns += [size, safe_div(size * F.lit(100.0), df.agg(n).scalar()).alias(f"{p}_pct")]
+    return counts.select(*columns)
 
 
 def weighted_average(value: Column | str, weight: Column | str) -> Column:
@@ -154,13 +151,9 @@ def weighted_average(value: Column | str, weight: Column | str) -> Column:
 
 def category_shares(df: DataFrame, key: str) -> DataFrame:
     """Count and share of every category."""
+    share = F.col("nombre") / df.agg(F.count(F.lit(1))).scalar()
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("nombre"))
-    total = counts.agg(F.sum("nombre").alias("_t"))
-    return (
-        counts.crossJoin(F.broadcast(total))   # one row
-        .select(key, "nombre", (F.col("nombre") / F.col("_t")).alias("part"))
-        .orderBy(F.desc("nombre"), key)
-    )
+    return counts.withColumn("part", share).orderBy(F.desc("nombre"), key)
 
 
 def with_group_stats(

@@ -187,12 +187,11 @@ def roc_points(curve: DataFrame, drop_intermediate: bool = True, max_rows: int =
     points = curve.select("threshold", "pos", "neg", "fpr", F.col("recall").alias("tpr"))
     if drop_intermediate:
         points = lagged(
-            points.withColumn("_all", F.lit(0)), ["_all"], ["threshold"],
-            {"_pos": "pos", "_neg": "neg"}, max_rows,
-        ).crossJoin(F.broadcast(curve.agg(F.max("threshold").alias("_top"))))
+            points.withColumn("_all", F.lit(0)), ["_all"], ["threshold"], {"_pos": "pos", "_neg": "neg"}, max_rows
+        )
+        top = curve.agg(F.max("threshold")).scalar()
         straight = (
-            (F.col("pos") == F.col("_pos")) & (F.col("neg") == F.col("_neg"))
-            & (F.col("threshold") != F.col("_top"))
+            (F.col("pos") == F.col("_pos")) & (F.col("neg") == F.col("_neg")) & (F.col("threshold") != top)
         )
         points = points.filter(~F.coalesce(straight, F.lit(False)))
     start = (

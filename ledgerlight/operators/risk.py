@@ -283,12 +283,8 @@ def label_by_quantile(
     df: DataFrame, probability: str, rate: float = TARGET_RATE, label: str = "fraud_flag", max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """1 for rows at or above the ``1 - rate`` quantile; ties may exceed the rate."""
-    cut = exact_quantiles(df, [probability], {"_cut": 1 - rate}, max_rows=max_rows).select("_cut")
-    return (
-        df.crossJoin(F.broadcast(cut))   # one row
-        .withColumn(label, F.when(F.col(probability) >= F.col("_cut"), 1).otherwise(0))
-        .drop("_cut")
-    )
+    cut = exact_quantiles(df, [probability], {"cut": 1 - rate}, max_rows=max_rows).select("cut").scalar()
+    return df.withColumn(label, F.when(F.col(probability) >= cut, 1).otherwise(0))
 
 
 def rule_trail(rules: dict[str, Column], label: str = "fraud_flag") -> dict[str, Column]:
