@@ -52,7 +52,8 @@ def fold_states(alerts: DataFrame, states: DataFrame) -> DataFrame:
     no = F.lit(False)
     read = F.coalesce("_read", no) | F.coalesce(F.col("created_at") <= F.col("_all_at"), no)
     return (
-        spread_join(alerts.join(single, "alert_id", "left"), whole, ["user_id"])
+        spread_join(alerts, whole, ["user_id"])
+        .join(single, "alert_id", "left")
         .filter(~F.coalesce("_gone", no))
         .withColumn("lu", read.cast("int"))
         .drop("_read", "_gone", "_all_at")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlight.functions.scalars import safe_div
@@ -137,10 +137,11 @@ def split_balance(df: DataFrame, label: str, part: str = "partie") -> DataFrame:
     """Label counts and percents, train beside test."""
     side = {p: F.count_if(F.col(part) == p) for p in ("train", "test")}
     counts = df.groupBy(label).agg(*[n.alias(f"{p}_effectif") for p, n in side.items()])
+    whole = Window.partitionBy()   # over one row per class
     columns = [F.col(label)]
-    for p, n in side.items():
+    for p in side:
         size = F.col(f"{p}_effectif")
-        columns += [size, safe_div(size * F.lit(100.0), df.agg(n).scalar()).alias(f"{p}_pct")]
+        columns += [size, safe_div(size * F.lit(100.0), F.sum(size).over(whole)).alias(f"{p}_pct")]
     return counts.select(*columns)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType
 from ledgerlight.functions.scalars import KEEP, effect_decision, effect_label
 from ledgerlight.operators.ordered import MAX_ROWS
 from ledgerlight.operators.ranks import class_counts, rank_sums
+from ledgerlight.session import materialise
 
 
 # --- tail probabilities, for result tables of one row per feature -----------
@@ -155,7 +156,7 @@ def chi_square(df: DataFrame, columns: Sequence[str], label: str, yates: bool =
 
     With one degree of freedom the Yates correction is applied by default.
     """
-    cells = contingency(df, columns, label)
+    cells = materialise(contingency(df, columns, label))   # read for the cells and for the margins
     margins = cells.groupBy("variable").agg(
         F.sum("pos").cast("double").alias("p_all"), F.sum("neg").cast("double").alias("n_all"),
         F.count(F.lit(1)).alias("r"),

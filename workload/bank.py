@@ -9,6 +9,7 @@ from ledgerlight.functions import dates as D
 from ledgerlight.operators import alerts, joins, profile, quality, risk, scoring
 from ledgerlight.operators.ordered import latest_n
 from ledgerlight.plans import silver, star
+from ledgerlight.session import materialise
 from workload.cleaned import clients_silver, features, transactions_silver
 from workload.registry import VIEWS, day, query, r, rs, tidy, ts
 from workload.tables import bank, given
@@ -630,13 +631,16 @@ def rule_labels(spark, sf):
     overdrawn = ledger.groupBy("transaction_id").agg(
         F.max(risk.overdrawn_flag("solde_apres", "decouvert_autorise")).alias("solde_negatif_anormal")
     )
-    rows = moves.select(
-        *order, "client_id", "device_id", "montant", "is_night", "is_weekend", "is_international"
-    ).join(overdrawn, "transaction_id", "left").fillna({"solde_negatif_anormal": 0})
+    # Written twice, because the steps after each look at the rows several times.
+    rows = materialise(
+        moves.select(*order, "client_id", "device_id", "montant", "is_night", "is_weekend", "is_international")
+        .join(overdrawn, "transaction_id", "left")
+        .fillna({"solde_negatif_anormal": 0})
+    )
     rows = risk.occurrence_numbers(rows, "client_id", "device_id", order)
     rows = profile.with_group_stats(rows, ["client_id"], "montant")
     rules = risk.fraud_rules(F.col("client_z"), F.col("rang"))
-    scored = rows.withColumn("prob", F.round(risk.rule_probability(risk.rule_score(rules)), 9))
+    scored = materialise(rows.withColumn("prob", F.round(risk.rule_probability(risk.rule_score(rules)), 9)))
     labelled = risk.label_by_quantile(scored, "prob")
     return tidy(
         labelled.withColumns(risk.rule_trail(rules)).select(
