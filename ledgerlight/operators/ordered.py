@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight.session import materialise
 
-MAX_ROWS = 500_000        # rows one window task takes
+MAX_ROWS = 1_000_000      # rows one window task takes
 MAX_SEGMENTS = 200_000    # bounds the small tables that are broadcast
 SIZE_SAMPLE = 20_000      # sampled rows that make a group count as large
 SEG, COPY, CUTS = "_segment", "_copied", "_cuts"
