@@ -52,7 +52,7 @@ def exact_duplicates(
     )
     full = docs.select(*others, content.alias("_content"), salt.alias("_salt")).withColumn(
         "_digest", digest(F.col("_content"))
-    )
+    ).withColumn("_sha", sha256_hex(F.col("_content")))      # before the join: the content stays behind
     shared = per_digest.where("_contents > 1").select("_digest")
     if shared.isEmpty():
         # A hot group is met in ``salts`` parts; its one row is repeated for each.
@@ -69,7 +69,7 @@ def exact_duplicates(
         keep.alias("keep_id"),
         F.coalesce("_n", F.lit(1).cast("long")).alias("group_size"),
         ids.eqNullSafe(keep).alias("kept"),
-        F.sha2(F.col("_content").cast("binary"), 256).alias("text_sha256"),
+        F.col("_sha").alias("text_sha256"),
     )
 
 
