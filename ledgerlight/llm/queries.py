@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.llm import exact, leaks, mixing, near, quality
+from ledgerlight.llm import context_tree, exact, language, leaks, mixing, near, personal, quality, secrets, toxic
 from ledgerlight.llm.texts import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,11 +22,23 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(table(spark, sf_dir, "documents"), carry=["doc_id"]).drop("redacted")
+
+
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.tree_scores(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaks.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
     return found.drop("cleaned")
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_spans(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit_quality(docs, table(spark, sf_dir, "labels"))
@@ -45,7 +57,21 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxic.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    scored = toxic.toxicity_scores(docs, machine, carry=["doc_id"])
+    return scored.select("doc_id", (remainder("doc_id", toxic.FOLDS) == toxic.HELD_OUT).alias("held_out"), "score", "predicted")
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    told = language.language_predictions(docs, language.fit_language(docs), carry=["doc_id"])
+    held = remainder("doc_id", language.FOLDS) == language.HELD_OUT
+    return told.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_near_dedup, op4_decontamination, op6_quality, op7_exact_dedup, op8_mixing)
+    f.__name__: f for f in (op1_near_dedup, op2_secrets, op3_lm_scores, op4_decontamination, op5_personal_data, op6_quality, op7_exact_dedup, op8_mixing, op9_toxicity, op10_language)
 }
 ORACLES = {"op1_near_dedup": near.SQL, "op4_decontamination": leaks.SQL, "op7_exact_dedup": exact.SQL, "op8_mixing": mixing.SQL}
