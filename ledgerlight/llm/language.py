@@ -191,7 +191,7 @@ def fit_language(docs: DataFrame, id_col: str = "doc_id", text: str = "text", la
     The sample takes each language evenly, by hash order; the labels are the languages in it.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{lang}`").cast("string").alias("_lang"), F.col(f"`{text}`").cast("string").alias("text"))
-    rows = rows.where(F.col("_lang").isNotNull() & (remainder("_id", FOLDS) != HELD_OUT) & (F.length("text") > 0))
+    rows = rows.where(F.col("_lang").isNotNull() & (remainder("_id", FOLDS) != HELD_OUT))
     names = [r[0] for r in rows.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(most).select("_lang").collect()]
     sample = None
     for name in names:
