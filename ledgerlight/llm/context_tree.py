@@ -76,7 +76,7 @@ class Tally:
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         self.parts.append((keys, counts))
         self.waiting += len(keys)
-        if self.waiting > 4_000_000:
+        if self.waiting > 1_000_000:
             self.parts = [self.total()]
             self.waiting = 0
 
@@ -105,7 +105,7 @@ def packed(docs: DataFrame, id_col: str, text: str, chunks: int) -> DataFrame:
 
     def run(batches):
         squeeze = zstandard.ZstdCompressor(level=1, write_content_size=True)
-        for b in batches:
+        for b in _small(batches):
             small = [squeeze.compress(x) for x in b.column(3).cast(pa.large_binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(small, pa.binary())], names=schema.names)
 
@@ -119,36 +119,43 @@ def _word_keys(words: Words) -> np.ndarray:
 def gathered(rows: DataFrame) -> DataFrame:
     """(chunk, kind, key, n): the words and byte runs of each chunk, with their counts in training texts."""
 
-    def run(batches: Iterator[pa.RecordBatch]):
-        tallies: dict[tuple[int, int], Tally] = {}
-        for b in batches:
-            held, chunk = (np.array(b.column(k).to_pylist()) for k in (1, 2))
-            for first, end, raw, offsets in slices(_unpacked(b.column(3))):
-                words = Words(LOWER[raw], offsets, NOT_SPACE)
-                word_key, (gram, at) = _word_keys(words), grams(raw, offsets)
-                trained, own = ~held[first:end].astype(bool), chunk[first:end]
-                word_text, gram_text = words.text, np.repeat(np.arange(end - first), np.diff(at))
-                for c in np.unique(own):
-                    for kind, keys, text in ((WORD, word_key, word_text), (GRAM, gram, gram_text)):
-                        for train in (True, False):
-                            part = (own == c) & (trained == train)
-                            if not part.any():
-                                continue
-                            mine = keys if part.all() else keys[part[text]]
-                            if kind == WORD:
-                                mine = np.concatenate([mine, np.full(int(part.sum()), END)])
-                            key, n = np.unique(mine, return_counts=True)
-                            tallies.setdefault((int(c), kind), Tally()).add(key, n if train else np.zeros_like(n))
-        for (c, kind), tally in tallies.items():
+    def told(chunk: int, tallies: dict[int, Tally]):
+        for kind, tally in tallies.items():
             keys, n = tally.total()
             for k in range(0, len(keys), 100_000):
                 part = keys[k : k + 100_000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), c, np.int32)), pa.array(np.full(len(part), kind, np.int8)), pa.array(part.view(np.int64)), pa.array(n[k : k + 100_000])],
+                    [pa.array(np.full(len(part), chunk, np.int32)), pa.array(np.full(len(part), kind, np.int8)), pa.array(part.view(np.int64)), pa.array(n[k : k + 100_000])],
                     names=["chunk", "kind", "key", "n"],
                 )
 
-    return rows.repartition("chunk").mapInArrow(run, "chunk int, kind byte, key long, n long")
+    def run(batches: Iterator[pa.RecordBatch]):
+        now, tallies = -1, {WORD: Tally(), GRAM: Tally()}        # of one chunk at a time: rows come sorted by it
+        for b in _small(batches):
+            held, chunk = (np.array(b.column(k).to_pylist()) for k in (1, 2))
+            for c in np.unique(chunk).tolist():
+                if c != now:
+                    yield from told(now, tallies)
+                    now, tallies = c, {WORD: Tally(), GRAM: Tally()}
+                for train in (True, False):
+                    own = np.flatnonzero((chunk == c) & (held != train))
+                    if not len(own):
+                        continue
+                    for first, end, raw, offsets in slices(_unpacked(b.column(3).take(pa.array(own)))):
+                        keys = np.concatenate([_word_keys(Words(LOWER[raw], offsets, NOT_SPACE)), np.full(end - first, END)])
+                        for kind, mine in ((WORD, keys), (GRAM, grams(raw, offsets)[0])):
+                            key, n = np.unique(mine, return_counts=True)
+                            tallies[kind].add(key, n if train else np.zeros_like(n))
+        yield from told(now, tallies)
+
+    sorted_rows = rows.repartition("chunk").sortWithinPartitions("chunk")
+    return sorted_rows.mapInArrow(run, "chunk int, kind byte, key long, n long")
+
+
+def _small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
 
 
 class Branch:
