@@ -185,9 +185,10 @@ def permutation_importance(
     shuffles = [F.struct(F.lit("").alias("feature"), F.lit(0).alias("essai"), F.col("_i").alias("_from"))]
     for f in features:
         for r in range(repeats):
-            a = rng.randrange(1, min(n, 1_000_000) + 1)
+            # Neither near 0 nor near n, so that neighbours part; n below 3e9 keeps the product a long.
+            a = rng.randrange(n // 4 + 1, 3 * n // 4 + 2)
             while math.gcd(a, n) != 1:
-                a = rng.randrange(1, min(n, 1_000_000) + 1)
+                a = rng.randrange(n // 4 + 1, 3 * n // 4 + 2)
             b = rng.randrange(n)
             source = F.pmod(F.col("_i") * F.lit(a) + F.lit(b), F.lit(n))
             shuffles.append(F.struct(F.lit(f).alias("feature"), F.lit(r).alias("essai"), source.alias("_from")))

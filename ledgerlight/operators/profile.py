@@ -128,10 +128,6 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
     ).withColumn("ratio", safe_div(F.col("normales").cast("double"), F.col("fraudes"), 0.0))
 
 
-def two_way_counts(df: DataFrame, row: str, column: Column, values: Sequence, names: Sequence[str]) -> DataFrame:
-    """Pivot count with the columns given, so no extra pass looks for them."""
-    return df.groupBy(row).agg(*[F.count_if(column == v).alias(n) for v, n in zip(values, names)])
-
 
 def split_balance(df: DataFrame, label: str, part: str = "partie") -> DataFrame:
     """Label counts and percents, train beside test."""

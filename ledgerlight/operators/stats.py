@@ -215,9 +215,3 @@ def feature_verdicts(
         .withColumn("decision", effect_decision("force_effet"))
         .orderBy(F.desc("taille_effet"), "variable")
     )
-
-
-def variables_by_verdict(verdicts: DataFrame, verdict: str = KEEP) -> list[str]:
-    """Names of the kept (or dropped) features, strongest first; one row per feature."""
-    rows = verdicts.filter(F.col("decision") == verdict).orderBy(F.desc("taille_effet"), "variable")
-    return [row["variable"] for row in rows.select("variable").collect()]

@@ -19,6 +19,9 @@ from ledgerlight.plans import silver, star
 from ledgerlight.sources import tables as T
 from ledgerlight.sources.schemas import COLUMNS
 
+#: A file with a larger share of rows that do not fit its schema stops the run.
+MOST_BAD = 0.1
+
 
 @dataclass
 class Run:
@@ -30,6 +33,7 @@ class Run:
     as_of: Column
     at: datetime
     max_iter: int = M.MAX_ITER
+    exported: bool = False      # the files come from ``export_csv``
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.base}/{layer}/{table}"
@@ -43,7 +47,11 @@ class Run:
 
 def to_raw(run: Run) -> None:
     for entity in COLUMNS:
-        df = T.read_csv(run.spark, f"{run.files}/{entity}.csv", entity)
+        df, bad = T.split_bad_rows(T.read_csv(run.spark, f"{run.files}/{entity}.csv", entity, keep_bad_rows=True, exported=run.exported))
+        run.write(bad, "quarantine", entity)
+        good, refused = df.count(), run.read("quarantine", entity).count()
+        if refused > MOST_BAD * (good + refused):
+            raise ValueError(f"{entity}: {refused} of {good + refused} rows do not fit the schema")
         if entity == "transactions":
             T.write_monthly(df, run.path("raw", entity), "date_transaction")
         else:

@@ -4,34 +4,57 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ledgerlight.session import materialise
 from ledgerlight.sources.schemas import schema_of
 
 BAD_ROW = "_corrupt_record"
+EXPORTED_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 # --- sources ---------------------------------------------------------------
 
-def read_csv(spark: SparkSession, path: str, entity: str, keep_bad_rows: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, entity: str, keep_bad_rows: bool = False, exported: bool = False) -> DataFrame:
     """One source file (or folder of files) of a known entity.
 
     A value that does not fit its type becomes null; with ``keep_bad_rows``
-    the raw line is kept in ``_corrupt_record`` so it can be quarantined.
+    the raw line is kept in ``_corrupt_record`` so it can be quarantined; such
+    rows are written once, because Spark refuses to count that column straight from the file.
+    ``exported`` reads what ``export_csv`` wrote, without any loss.
     """
     schema = schema_of(entity)
     if keep_bad_rows:
         schema = StructType([*schema.fields, StructField(BAD_ROW, StringType())])
-    return (
+    reader = (
         spark.read.schema(schema)
         .option("header", True)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_ROW)
-        .csv(path)
     )
+    if not exported:
+        rows = reader.csv(path)
+        return materialise(rows) if keep_bad_rows else rows
+    rows = reader.option("timestampFormat", EXPORTED_TIME).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    rows = materialise(rows) if keep_bad_rows else rows
+    return rows.withColumns({f.name: _plain(F.col(f.name)) for f in schema if isinstance(f.dataType, StringType) and f.name != BAD_ROW})
+
+
+def _plain(text: Column) -> Column:
+    """Undo ``_one_line``: a letter after an odd number of backslashes is a line break."""
+    for letter, char in (("n", "\n"), ("r", "\r")):
+        text = F.regexp_replace(text, rf"(?<!\\)((?:\\\\)*)\\{letter}", f"$1{char}")
+    return F.when(text == "\\e", "").otherwise(F.replace(text, F.lit("\\\\"), F.lit("\\")))
+
+
+def _one_line(text: Column) -> Column:
+    """Line breaks as backslash and letter, so files stay splittable; an empty text, which CSV reads as null, as well."""
+    text = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    lines = F.replace(F.replace(text, F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+    return F.when(text == "", "\\e").otherwise(lines)
 
 
 def split_bad_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -52,11 +75,6 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def rows_frame(spark: SparkSession, rows: list, schema: str | StructType) -> DataFrame:
-    """A handful of driver-side rows (metrics, registry events) as a DataFrame."""
-    return spark.createDataFrame(rows, schema)
-
-
 # --- sinks -----------------------------------------------------------------
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -111,13 +129,12 @@ def register_table(df: DataFrame, database: str, table: str, location: str | Non
     return f"{database}.{table}"
 
 
-def register_path(spark: SparkSession, database: str, table: str, path: str) -> str:
-    """Catalogued copy of a table known only by its path."""
-    return register_table(read_table(spark, path), database, table)
-
-
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Quoted texts, escaped line breaks, times with microseconds."""
+    texts = {f.name: _one_line(F.col(f.name)) for f in df.schema if isinstance(f.dataType, StringType)}
+    writer = df.withColumns(texts).write.mode("overwrite").option("header", True).option("escape", '"')
+    writer = writer.option("timestampFormat", EXPORTED_TIME).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.csv(path)
 
 
 def inventory(tables: dict[str, DataFrame]) -> DataFrame:

@@ -14,7 +14,8 @@ from ledgerlight.operators.alerts import fraud_alerts
 from ledgerlight.operators.scoring import bare_features, verdict
 from ledgerlight.session import scratch_root
 
-LATENESS = "10 minutes"
+#: A file delivered again within this time of its first arrival raises no second alert in the stream.
+REPEATS = "24 hours"
 
 
 def incoming(
@@ -40,10 +41,17 @@ def alert_stream(
 ) -> DataFrame:
     """One alert per transaction, also when a source file is delivered twice.
 
-    The state holds the keys of frauds within the lateness window only.
+    The state is bounded by the time of arrival, not by the time of the transaction, so no fraud is
+    too late to be reported.  Deliveries further apart than ``REPEATS`` are folded by ``folded``.
     """
     alerts = fraud_alerts(scored_rows, key, user, at, payload, score)
-    return alerts.withWatermark("created_at", LATENESS).dropDuplicatesWithinWatermark(["alert_id"])
+    arrived = alerts.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", REPEATS)
+    return arrived.dropDuplicatesWithinWatermark(["alert_id"]).drop("_arrived")
+
+
+def folded(alerts: DataFrame) -> DataFrame:
+    """One row per alert of what the stream has written; deliveries of one alert are equal."""
+    return alerts.dropDuplicates(["alert_id"])
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -198,3 +198,5 @@ def test_stream_restart_and_duplicates(spark, tmp_path):
     assert run() == [1, 3, 5]
     deliver([3, 5, 7])
     assert run() == [1, 3, 5, 7]
+    deliver([-86399])          # a day before the others, and long after them
+    assert run() == [-86399, 1, 3, 5, 7]

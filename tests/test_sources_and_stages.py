@@ -44,6 +44,22 @@ def test_monthly_overwrite_keeps_other_months(spark, tmp_path):
     assert "PartitionFilters: [isnotnull" in january._jdf.queryExecution().toString() or "annee" in january._jdf.queryExecution().executedPlan().toString()
 
 
+def test_csv_round_trip_keeps_every_character(spark, tmp_path):
+    texts = ['Banque "Centre" Rabat', 'a, "b", c', "two\nlines\r\n", "back\\slash\\n", "\\", " edges ", "", None, "é漢"]
+    row = {f.name: None for f in schema_of("agences")}
+    rows = [row | {"agence_id": str(i), "nom_agence": t} for i, t in enumerate(texts)]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], schema_of("agences"))
+    T.export_csv(df, str(tmp_path / "x"))
+    good, bad = T.split_bad_rows(T.read_csv(spark, str(tmp_path / "x"), "agences", keep_bad_rows=True, exported=True))
+    assert bad.count() == 0 and {r.agence_id: r.nom_agence for r in good.collect()} == dict(zip(map(str, range(9)), texts))
+
+
+def test_bad_rows_can_be_counted(spark, tmp_path):
+    (tmp_path / "x.csv").write_text(",".join(f.name for f in schema_of("agences")) + "\nA,n,a,v,not_a_number,r,p,t,e,d,2020-13-45,Standard,1,2\nB,n,a,v,1,r,p,t,e,d,2020-01-02,Standard,1,2\n")
+    good, bad = T.split_bad_rows(T.read_csv(spark, str(tmp_path / "x.csv"), "agences", keep_bad_rows=True))
+    assert (good.count(), bad.count()) == (1, 1) and "not_a_number" in bad.first()[T.BAD_ROW]
+
+
 def test_inventory_is_ordered(spark):
     got = T.inventory({"b": spark.range(3), "a": spark.range(2)}).collect()
     assert [tuple(r) for r in got] == [("a", 2), ("b", 3)]
@@ -58,7 +74,7 @@ def test_whole_run(spark, tmp_path):
             df = df.withColumns({"lcr_ratio": risk.percent_ratio("hqla", "sorties"), "nsfr_ratio": risk.percent_ratio("stable", "requis"),
                                  "ratio_id": F.concat_ws("-", "agence_id", F.col("date_calcul").cast("string"))})
         T.export_csv(conform(df, entity), str(files / f"{entity}.csv"))
-    run = stages.Run(spark, str(files), str(tmp_path / "base"), F.lit("2026-01-01").cast("date"), dt.datetime(2026, 1, 1), max_iter=2)
+    run = stages.Run(spark, str(files), str(tmp_path / "base"), F.lit("2026-01-01").cast("date"), dt.datetime(2026, 1, 1), max_iter=2, exported=True)
     stages.run_all(run)
     n = bank(spark, SMALL, "transactions").count()
     assert run.read("gold", "fact_transactions").count() == run.read("ml", "scores").count() == n

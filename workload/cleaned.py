@@ -122,16 +122,16 @@ BEHAVIOUR_DOUBLES = (
 @query(
     "csv_round_trip",
     f"""select cast(transaction_id as varchar) as transaction_id, client_id, heure_transaction, montant, canal,
-        mode_paiement, {day('date_transaction')}, is_night, fraud_flag, fraud_type from transactions""",
+        mode_paiement, {ts('date_transaction')}, is_night, fraud_flag, fraud_type from transactions""",
 )
 def csv_round_trip(spark, sf):
     path = scratch(spark, "csv")
     T.export_csv(conform(bank(spark, sf, "transactions"), "transactions"), path)
-    good, _ = T.split_bad_rows(T.read_csv(spark, path, "transactions", keep_bad_rows=True))
+    good, _ = T.split_bad_rows(T.read_csv(spark, path, "transactions", keep_bad_rows=True, exported=True))
     return tidy(
         good.select(
             "transaction_id", "client_id", "heure_transaction", "montant", "canal", "mode_paiement",
-            F.to_date("date_transaction").alias("date_transaction"), "is_night", "fraud_flag", "fraud_type",
+            "date_transaction", "is_night", "fraud_flag", "fraud_type",
         )
     )
 

@@ -497,7 +497,7 @@ def streamed_alerts(spark, sf):
     rows = event_stream(spark, sf)
     out = stream.scored(rows.unionByName(event_stream(spark, sf)), rule_scorer(40.0))
     alerts = stream.alert_stream(out, "transaction_id", "user_id", "created_at", ["montant", "type_transaction"])
-    return tidy(stream.drain(alerts.select("alert_id", "user_id", "score", "niveau_risque")))
+    return tidy(stream.folded(stream.drain(alerts.select("alert_id", "user_id", "score", "niveau_risque"))))
 
 
 @query("streamed_model_scores")
