@@ -145,7 +145,7 @@ class FactorMachine:
 
 
 _SAMPLE = [
-    T.StructField("feature", T.ArrayType(T.IntegerType(), False)), T.StructField("value", T.ArrayType(T.DoubleType(), False)),
+    T.StructField("feature", T.ArrayType(T.IntegerType(), False)), T.StructField("value", T.ArrayType(T.FloatType(), False)),
     T.StructField("structure", T.ArrayType(T.DoubleType(), False)),
 ]
 
@@ -156,9 +156,9 @@ def _rows(column: pa.Array) -> list:
         text, feature, value, structure = features(data, offsets)
         cuts = np.searchsorted(text, np.arange(1, len(offsets) - 1))
         out[0].extend(np.split(feature.astype(np.int32), cuts))
-        out[1].extend(np.split(value, cuts))
+        out[1].extend(np.split(value.astype(np.float32), cuts))
         out[2].extend(structure)
-    return [pa.array(out[0], pa.list_(pa.int32())), pa.array(out[1], pa.list_(pa.float64())), pa.array(out[2], pa.list_(pa.float64()))]
+    return [pa.array(out[0], pa.list_(pa.int32())), pa.array(out[1], pa.list_(pa.float32())), pa.array(out[2], pa.list_(pa.float64()))]
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, where, most: int, id_col: str, text: str) -> DataFrame:
@@ -175,10 +175,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, where, most:
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id", text: str = "text", most: int = SAMPLE_ROWS) -> FactorMachine:
     """Fit on labelled rows outside of the held-out fold; ``most`` bounds them.  Without any, every score is 1/2."""
     train = labelled_sample(docs, labels, label, lambda c: remainder(c, FOLDS) != HELD_OUT, most, id_col, text)
-    rows = text_results(train, _SAMPLE, lambda: _rows, carry=["_id", "_label"]).toArrow().sort_by("_id").to_pydict()
-    sample = [tuple(np.array(x) for x in (f, v, s)) for f, v, s in zip(rows["feature"], rows["value"], rows["structure"], strict=True)]
-    sample = [(f.astype(np.int64), v.astype(np.float64), s) for f, v, s in sample]
-    return FactorMachine().fit(sample, np.array(rows["_label"], np.float64))
+    rows = text_results(train, _SAMPLE, lambda: _rows, carry=["_id", "_label"]).toArrow()
+    order = np.argsort(rows.column("_id").to_numpy(), kind="stable")
+    feature, value, structure = (_parts(rows.column(c)) for c in ("feature", "value", "structure"))
+    sample = [(feature[i], value[i], structure[i]) for i in order]
+    return FactorMachine().fit(sample, rows.column("_label").to_numpy()[order])
+
+
+def _parts(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """Arrays of the rows of a list column, as views of its buffers: no object per value."""
+    out: list[np.ndarray] = []
+    for chunk in column.chunks:
+        values, offsets = chunk.flatten().to_numpy(), chunk.offsets.to_numpy()
+        out.extend(values[a - offsets[0] : b - offsets[0]] for a, b in zip(offsets[:-1], offsets[1:], strict=True))
+    return out
 
 
 def quality_scores(
