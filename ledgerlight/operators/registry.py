@@ -17,6 +17,7 @@ from ledgerlight.operators.ordered import latest_per_key
 CHAMPION, CHALLENGER = "champion", "challenger"
 MINIMUM_LIFT = 2.0
 NO_ALIAS = "—"
+VERSION_SCHEMA = "model string, version int, run_id string, run_name string, user string, date timestamp"
 EVENT_SCHEMA = "model string, alias string, version int, at timestamp, event_id long"
 
 
@@ -35,6 +36,14 @@ def metrics_row(
     )
 
 
+def next_version(versions: DataFrame, model: str) -> int:
+    return (versions.filter(F.col("model") == model).agg(F.max("version")).first()[0] or 0) + 1
+
+
+def version_row(spark, model: str, version: int, run_id: str, at: datetime, run_name: str | None = None, user: str | None = None) -> DataFrame:
+    return spark.createDataFrame([(model, version, run_id, run_name, user, at)], VERSION_SCHEMA)
+
+
 def gate_alias(lift: str = "lift", minimum: float = MINIMUM_LIFT):
     return F.when(F.col(lift) >= minimum, CHAMPION).otherwise(CHALLENGER)
 

@@ -101,16 +101,18 @@ def scores_above(scores: DataFrame, threshold: float = 0.5, limit: int = 500, ke
 
 
 def score_upload(raw: DataFrame, scorer: Callable[[DataFrame], DataFrame], keep: Sequence[str] = ()) -> DataFrame:
-    """Result rows of an uploaded file: scored rows, and bad rows as ``ERREUR`` with the reason."""
+    """Result rows of an uploaded file: scored rows, and bad rows as ``ERREUR`` with the reason, whole in ``erreurs``."""
     clean.require_columns(raw, clean.REQUIRED_UPLOAD)
     good, bad = clean.quarantine(clean.validate_rows(raw))
     scored = verdict(scorer(bare_features(good))).select(
         *keep, F.col("montant_texte").alias("montant"), "type_transaction",
         F.round(SCORE, 4).alias("score"), "decision", "niveau_risque",
+        F.lit(None).cast("string").alias("erreurs"),
     )
     rejected = bad.select(
         *keep, F.col("montant_texte").alias("montant"), "type_transaction",
         F.lit(None).cast("double").alias("score"), F.lit(ERROR).alias("decision"),
         F.substring(F.array_join("errors", " ; "), 1, REASON_LENGTH).alias("niveau_risque"),
+        F.array_join("errors", " ; ").alias("erreurs"),
     )
     return scored.unionByName(rejected)

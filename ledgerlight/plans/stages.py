@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlight.operators import model as M
 from ledgerlight.operators import registry
@@ -21,6 +22,7 @@ from ledgerlight.sources.schemas import COLUMNS
 
 #: A file with a larger share of rows that do not fit its schema stops the run.
 MOST_BAD = 0.1
+MODEL = "fraud_detection_model"
 
 
 @dataclass
@@ -34,6 +36,7 @@ class Run:
     at: datetime
     max_iter: int = M.MAX_ITER
     exported: bool = False      # the files come from ``export_csv``
+    minimum_lift: float = registry.MINIMUM_LIFT
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.base}/{layer}/{table}"
@@ -44,6 +47,9 @@ class Run:
     def write(self, df: DataFrame, layer: str, table: str) -> None:
         T.write_table(df, self.path(layer, table))
 
+    def history(self, table: str, schema: str) -> DataFrame:
+        return T.read_history_or_empty(self.spark, self.path("ml", table), schema)
+
 
 def to_raw(run: Run) -> None:
     for entity in COLUMNS:
@@ -89,33 +95,44 @@ def to_features(run: Run) -> None:
 
 
 def train(run: Run) -> tuple[PipelineModel, DataFrame]:
-    """Split, encode, fit, evaluate; appends the metrics of the run."""
+    """Split, encode, fit, evaluate; appends the metrics, the version and its alias event.
+
+    Each version has its own folders, so a run below the gate leaves the champion as it is.  The
+    event comes last: a run that dies before leaves a version without an alias.
+    """
     parts = M.stratified_split(run.read("ml", "features_clean"), feat.KEY, feat.LABEL)
     run.write(parts, "ml", "split")
     parts = run.read("ml", "split")
     train_rows, test_rows = (parts.filter(parts["partie"] == p) for p in ("train", "test"))
-    run.write(M.fit_encoder(train_rows, feat.CATEGORICAL), "ml", "encoder")
-    encoder = run.read("ml", "encoder")
+    version = registry.next_version(run.history("versions", registry.VERSION_SCHEMA), MODEL)
+    run.write(M.fit_encoder(train_rows, feat.CATEGORICAL), "ml", f"encoder/{version}")
+    encoder = run.read("ml", f"encoder/{version}")
     fitted = M.fit_model(
         M.apply_encoder(train_rows, encoder, feat.CATEGORICAL), feat.FEATURES, feat.LABEL, max_iter=run.max_iter
     )
-    fitted.write().overwrite().save(run.path("ml", "model"))
+    fitted.write().overwrite().save(run.path("ml", f"model/{version}"))
     scored = model_scorer(fitted, encoder, feat.CATEGORICAL)(test_rows)
     summary = curve_summary(score_curve(scored, feat.LABEL, "fraud_proba"))
-    run_id = run.at.strftime("%Y%m%d%H%M%S")
+    run_id = f"{run.at:%Y%m%d%H%M%S}-{version}"
     metrics = registry.metrics_row(
-        summary, run_id, "fraud_detection_model", train_rows.count(), test_rows.count(), len(feat.FEATURES), run.at
+        summary, run_id, MODEL, train_rows.count(), test_rows.count(), len(feat.FEATURES), run.at
     )
     T.append_history(metrics, run.path("ml", "metrics"))
+    made = T.read_history(run.spark, run.path("ml", "metrics")).filter(F.col("run_id") == run_id)
+    row = registry.version_row(run.spark, MODEL, version, run_id, run.at)
+    T.append_history(row, run.path("ml", "versions"))
+    T.append_history(registry.gate_events(row, made, run.minimum_lift), run.path("ml", "events"))
     return fitted, encoder
 
 
 def to_scores(run: Run) -> None:
-    """Score every transaction with the saved model and encoder."""
-    fitted = PipelineModel.load(run.path("ml", "model"))
+    """Score every transaction with the model and encoder of the champion."""
+    versions, events = run.history("versions", registry.VERSION_SCHEMA), run.history("events", registry.EVENT_SCHEMA)
+    version = registry.resolve_champion(versions, events, MODEL)
+    fitted = PipelineModel.load(run.path("ml", f"model/{version}"))
     rows = require_columns(run.read("ml", "features_clean"), feat.FEATURES)
-    scorer = model_scorer(fitted, run.read("ml", "encoder"), feat.CATEGORICAL)
-    run.write(score_batch(rows, scorer, 1, run.at, feat.LABEL), "ml", "scores")
+    scorer = model_scorer(fitted, run.read("ml", f"encoder/{version}"), feat.CATEGORICAL)
+    run.write(score_batch(rows, scorer, version, run.at, feat.LABEL), "ml", "scores")
 
 
 STAGES: tuple[Callable[[Run], object], ...] = (to_raw, to_silver, to_star, to_features, train, to_scores)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -75,6 +76,16 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
+def read_history_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The same, or an empty table before the first row is written."""
+    try:
+        return read_history(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 # --- sinks -----------------------------------------------------------------
 
 def write_table(df: DataFrame, path: str) -> None:

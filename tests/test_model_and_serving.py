@@ -81,9 +81,9 @@ def test_importance_matches_brute_force(spark):
     n, gen, losses = len(numbered), random.Random(42), []
     import math
     for _ in range(3):
-        a = gen.randrange(1, n + 1)
+        a = gen.randrange(n // 4 + 1, 3 * n // 4 + 2)
         while math.gcd(a, n) != 1:
-            a = gen.randrange(1, n + 1)
+            a = gen.randrange(n // 4 + 1, 3 * n // 4 + 2)
         b = gen.randrange(n)
         losses.append(ap([(y, x) for _, y, x in numbered]) - ap([(numbered[i][1], numbered[(a * i + b) % n][2]) for i in range(n)]))
     mean = sum(losses) / 3
@@ -132,7 +132,7 @@ def test_upload(spark):
     assert (got["950"]["decision"], got["950"]["niveau_risque"], got["950"]["score"]) == ("FRAUDE", "Très élevé", 0.95)
     assert (got["80"]["decision"], got["80"]["niveau_risque"]) == ("NORMAL", "Faible")
     assert got["abc"]["decision"] == "ERREUR" and got["abc"]["score"] is None
-    assert "négatif" in got["-1"]["niveau_risque"] and "Heure" in got["-1"]["niveau_risque"]
+    assert "négatif" in got["-1"]["niveau_risque"] and "Heure" in got["-1"]["erreurs"] and got["80"]["erreurs"] is None
 
 
 def test_scores_above(spark):

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlight.operators import risk
+from ledgerlight.operators import registry, risk
 from ledgerlight.plans import stages
 from ledgerlight.sources import tables as T
 from ledgerlight.sources.schemas import COLUMNS, KEYS, schema_of
@@ -74,7 +74,7 @@ def test_whole_run(spark, tmp_path):
             df = df.withColumns({"lcr_ratio": risk.percent_ratio("hqla", "sorties"), "nsfr_ratio": risk.percent_ratio("stable", "requis"),
                                  "ratio_id": F.concat_ws("-", "agence_id", F.col("date_calcul").cast("string"))})
         T.export_csv(conform(df, entity), str(files / f"{entity}.csv"))
-    run = stages.Run(spark, str(files), str(tmp_path / "base"), F.lit("2026-01-01").cast("date"), dt.datetime(2026, 1, 1), max_iter=2, exported=True)
+    run = stages.Run(spark, str(files), str(tmp_path / "base"), F.lit("2026-01-01").cast("date"), dt.datetime(2026, 1, 1), max_iter=2, exported=True, minimum_lift=0.0)
     stages.run_all(run)
     n = bank(spark, SMALL, "transactions").count()
     assert run.read("gold", "fact_transactions").count() == run.read("ml", "scores").count() == n
@@ -84,3 +84,14 @@ def test_whole_run(spark, tmp_path):
     assert not {"nom", "prenom"} & set(run.read("silver", "clients").columns)
     metrics = T.read_history(spark, run.path("ml", "metrics")).first()
     assert metrics["n_features"] == 16 and metrics["n_train"] + metrics["n_test"] == n
+
+    # A weak run adds a version and leaves the champion; a stronger one replaces it.
+    def scored_by(minimum_lift, day):
+        run.minimum_lift, run.at = minimum_lift, dt.datetime(2026, 1, day)
+        stages.train(run)
+        stages.to_scores(run)
+        return {r.model_version for r in run.read("ml", "scores").select("model_version").distinct().collect()}
+
+    assert scored_by(1e9, 2) == {1} and scored_by(0.0, 3) == {3}
+    aliases = {(r.alias, r.version) for r in registry.alias_holders(run.history("events", registry.EVENT_SCHEMA)).collect()}
+    assert aliases == {("champion", 3), ("challenger", 2)}

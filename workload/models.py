@@ -15,11 +15,8 @@ from workload.cleaned import features
 from workload.registry import VIEWS, query, r, rs, tidy
 from workload.tables import bank, given
 
-STUDIED = (
-    "montant", "frais_transaction", "montant_moyen_client_30j", "nb_transactions_client_30j", "age", "revenu_mensuel",
-    "score_credit", "ratio_montant_revenu",
-)
-TESTED = ("type_transaction", "canal", "mode_paiement", "sens_operation", "tranche_horaire", "is_night", "is_weekend", "hors_agence")
+STUDIED = feat.STUDIED_NUMERIC
+TESTED = (*feat.STUDIED_CATEGORICAL, *feat.STUDIED_BINARY)
 RUN_AT = datetime(2026, 1, 1)
 
 
@@ -33,7 +30,7 @@ def label_correlations(spark, sf):
     return tidy(stats.label_correlations(features(spark, sf), STUDIED, "fraud_flag"))
 
 
-PAIRED = ("montant", "montant_moyen_client_30j", "ecart_type_client_30j", "nb_transactions_client_30j", "ratio_montant_revenu")
+PAIRED = feat.NUMERIC
 
 
 @query(
@@ -319,16 +316,17 @@ def split_balance(spark, sf):
 
 
 ENCODED = ("type_transaction", "mode_paiement", "canal", "ville_transaction")
+KNOWN_CHANNEL = "case when canal = 'Agence' then 'Guichet' else canal end"
 VIEWS["codes"] = " union all ".join(
     f"select '{c}' as variable, m as modalite, cast(row_number() over (order by m) - 1 as double) as code from "
-    f"(select distinct coalesce({c}, 'Inconnu') as m from parts where partie = 'train' and canal <> 'Agence')" for c in ENCODED
+    f"(select distinct coalesce({KNOWN_CHANNEL if c == 'canal' else c}, 'Inconnu') as m from parts where partie = 'train')" for c in ENCODED
 )
 
 
 def fitted_encoder(spark, sf) -> DataFrame:
-    """Fitted without one channel, so that the full table holds an unseen category."""
-    train = split_transactions(spark, sf).filter((F.col("partie") == "train") & (F.col("canal") != "Agence"))
-    return model.fit_encoder(train, ENCODED)
+    """Fitted with one channel under another name, so that the full table holds an unseen category."""
+    train = split_transactions(spark, sf).filter(F.col("partie") == "train")
+    return model.fit_encoder(train.withColumn("canal", F.expr(KNOWN_CHANNEL)), ENCODED)
 
 
 @query("encoder_values", "select variable, code, modalite from codes")
@@ -456,7 +454,7 @@ def rule_scorer(scale: float):
     f"""select ligne, montant, type_transaction, case when bad = '' then {r('s', 'score', 4)[:-len(' as score')]} end as score,
         case when bad <> '' then 'ERREUR' when s >= 0.5 then 'FRAUDE' else 'NORMAL' end as decision,
         case when bad <> '' then substr(bad, 1, 80) when s < 0.2 then 'Faible' when s < 0.5 then 'Moyen' when s < 0.8 then 'Élevé'
-            else 'Très élevé' end as niveau_risque from (select *, concat_ws(' ; ', e1, raison, e3) as bad,
+            else 'Très élevé' end as niveau_risque, case when bad <> '' then bad end as erreurs from (select *, concat_ws(' ; ', e1, raison, e3) as bad,
             case when concat_ws(' ; ', e1, raison, e3) = '' then try_cast(montant as double) / (try_cast(montant as double) + 300) end as s
             from saisies_jugees)""",
 )

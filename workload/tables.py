@@ -168,15 +168,16 @@ STAND_INS = {
         from {part}
     """,
     "metriques": """
-        select 'run-' || cast(p_partkey as string) as run_id, cast(p_size / 64.0 as double) as pr_auc,
+        select case when p_partkey % 13 = 0 then 'essai-' else 'run-' end || cast(p_partkey as string) as run_id, cast(p_size / 64.0 as double) as pr_auc,
             cast(0.5 + p_size / 128.0 as double) as roc_auc, cast(p_size / 16.0 as double) as lift
-        from {part} where p_partkey % 13 <> 0
+        from {part}
     """,
     "etats": """
-        select case when user_id % 5 = 0 and event_type = 'signup' then null else event_id end as alert_id, user_id,
+        select case when user_id % 5 = 0 and event_type = 'signup' then null
+                when event_id % 3 = 0 then event_id else -event_id end as alert_id, user_id,
             case when user_id % 5 = 0 and event_type = 'signup' then 'tout_lu'
                 when event_id % 9 = 0 then 'supprime' else 'lu' end as action, ts as at
-        from {events} where event_id % 3 = 0
+        from {events}
     """,
     "journal": """
         select event_id as log_id, user_id, event_type as action, props as details, ts as created_at from {events}
