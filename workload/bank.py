@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlight.functions import dates as D
 from ledgerlight.operators import alerts, joins, profile, quality, risk, scoring
 from ledgerlight.operators.ordered import latest_n
+from ledgerlight.plans import features as feat
 from ledgerlight.plans import silver, star
 from ledgerlight.session import materialise
 from workload.cleaned import clients_silver, features, transactions_silver
@@ -18,8 +19,12 @@ from workload.tables import bank, given
 # --- joins -------------------------------------------------------------------
 
 def some_customers(spark, sf) -> DataFrame:
-    """Customer dimension without one segment, so that orphans exist."""
-    return bank(spark, sf, "clients").filter(F.col("segment_client") != "BUILDING")
+    """All customers, those of one segment under other keys, so that orphans exist."""
+    return renamed(bank(spark, sf, "clients"), "client_id", F.col("segment_client") == "BUILDING")
+
+
+def renamed(df: DataFrame, key: str, rows) -> DataFrame:
+    return df.withColumn(key, F.when(rows, F.concat(F.lit("ANCIEN-"), key)).otherwise(F.col(key)))
 
 
 ORPHANS = """select count(*) as orphelins from transactions t
@@ -162,6 +167,20 @@ def fraud_rate_per_category(spark, sf):
     return tidy(profile.rate_per_category(bank(spark, sf, "transactions"), CATEGORIES, "fraud_flag"))
 
 
+STUDIED_CATEGORIES = (*feat.STUDIED_CATEGORICAL, *feat.STUDIED_BINARY)
+
+
+@query(
+    "fraud_rate_per_feature",
+    " union all ".join(
+        f"select '{c}' as variable, cast({c} as varchar) as modalite, count(*) as nb, {r('avg(fraud_flag)', 'taux_fraude')} "
+        f"from feature_rows where {c} is not null group by 2" for c in STUDIED_CATEGORIES
+    ),
+)
+def fraud_rate_per_feature(spark, sf):
+    return tidy(profile.rate_per_category(features(spark, sf), STUDIED_CATEGORIES, "fraud_flag"))
+
+
 KEYED = {
     "clients": "client_id", "comptes": "compte_id", "transactions": "transaction_id", "credits": "credit_id",
     "classification_creances": "classification_id",
@@ -182,7 +201,12 @@ def key_uniqueness(spark, sf):
     return quality.uniqueness_report(tables)
 
 
-PROFILED = ("client_id", "compte_source_id", "compte_destination_id", "mode_paiement", "pays_marchand", "pays_destination", "montant")
+PROFILED = (
+    "transaction_id", "compte_source_id", "compte_destination_id", "client_id", "agence_id", "date_transaction", "date_valeur",
+    "heure_transaction", "montant", "devise", "type_transaction", "canal", "mode_paiement", "statut_transaction", "pays_marchand",
+    "ville_transaction", "pays_origine", "pays_destination", "frais_transaction", "ip_address", "device_id", "is_international",
+    "is_weekend", "is_night", "fraud_flag", "fraud_type", "fraud_rule_triggered",
+)
 
 
 @query(
@@ -196,7 +220,12 @@ def null_profile(spark, sf):
     return profile.null_profile(bank(spark, sf, "transactions"), PROFILED)
 
 
-OVERVIEW = {"client_id": "string", "civilite": "string", "date_naissance": "date", "revenu_mensuel": "double", "score_credit": "int"}
+OVERVIEW = {
+    "client_id": "string", "agence_id": "string", "type_client": "string", "civilite": "string", "nom": "string", "prenom": "string",
+    "raison_sociale": "string", "date_naissance": "date", "email": "string", "ville": "string", "region": "string",
+    "revenu_mensuel": "double", "score_credit": "int", "segment_client": "string", "niveau_risque_client": "string",
+    "date_premier_contact": "date", "statut_client": "string",
+}
 
 
 @query(
@@ -224,7 +253,7 @@ def numeric_summary(spark, sf):
     return tidy(profile.describe(given(spark, sf, "lineitem"), MEASURES))
 
 
-COMPARED = ("montant", "frais_transaction", "montant_moyen_client_30j", "ecart_relatif_montant", "age", "revenu_mensuel")
+COMPARED = feat.STUDIED_NUMERIC
 
 
 @query(
@@ -496,7 +525,7 @@ def integrity_report(spark, sf):
     branch = F.when(F.col("agence_id") != "5-LOW", F.concat(F.lit("AG-"), F.substring("agence_id", 1, 1)))
     return star.integrity(
         moves, bank(spark, sf, "credits").select("client_id", "agence_id"), ratios(spark, sf).select(branch.alias("agence_id")),
-        some_customers(spark, sf), bank(spark, sf, "agences").filter(F.col("type_agence") != "Digitale"),
+        some_customers(spark, sf), renamed(bank(spark, sf, "agences"), "agence_id", F.col("type_agence") == "Digitale"),
         star.dim_temps(star.standard_bounds(spark)),
     )
 
