@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +49,18 @@ def missing_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key
     )
 
 
+def missing_links(child: DataFrame, links: dict[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """(lien, cle): distinct non-null keys of ``child`` absent from the parent of their link.
+
+    ``links``: name to (key, parent, key of the parent).  The child is read once.
+    """
+    named = lambda name, key: [F.lit(name).alias("lien"), F.col(key).cast("string").alias("cle")]
+    pairs = F.explode(F.array(*[F.struct(*named(name, link[0])) for name, link in links.items()])).alias("_p")
+    keys = child.select(pairs).select("_p.*").filter(F.col("cle").isNotNull()).distinct()
+    known = reduce(DataFrame.unionByName, [parent.select(*named(name, key)) for name, (_, parent, key) in links.items()])
+    return keys.join(known, ["lien", "cle"], "left_anti")
+
+
 def lookup(facts: DataFrame, key: str, table: DataFrame, table_key: str, value: str, default) -> DataFrame:
     """Value of ``table`` per key, with a default for unknown or null keys."""
     side = table.select(F.col(table_key).alias("_lk"), F.col(value).alias("_lv"))

@@ -16,6 +16,7 @@ above it the plan is the plain window: one exchange and one sort.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -28,12 +29,16 @@ from ledgerlight.session import materialise
 MAX_ROWS = 1_000_000      # rows one window task takes
 MAX_SEGMENTS = 200_000    # bounds the small tables that are broadcast
 SIZE_SAMPLE = 20_000      # sampled rows that make a group count as large
-SEG, COPY, CUTS = "_segment", "_copied", "_cuts"
+SEG, COPY, CUTS, BLOCK, NEAR = "_segment", "_copied", "_cuts", "_block", "_near"
 
 
 @dataclass
 class Segmented:
-    """``frame`` with the cuts of its group and a segment number per row; the table of cut groups."""
+    """``frame`` with a segment number per row; the table of cut groups.
+
+    Where groups were cut, rows of cut groups have a block, and those of a segment with a successor the
+    sampled point ``NEAR`` its end.
+    """
 
     frame: DataFrame
     keys: list[str]
@@ -111,8 +116,9 @@ def cut_hot_groups(
 
     ``order`` must be unique within a group.  Cuts are every ``per_segment``-th
     row of a sample taken by hash, so every segment but the last holds at least
-    that many rows.  A row finds its segment by a binary search in the cuts of
-    its key.
+    that many rows.  A row finds its segment by two binary searches in arrays
+    of about the square root of its key's cuts.  The numbered rows are written
+    once, because tails, totals and the windows all read them.
     """
     keys, order = list(keys), list(order)
     hot, limit = hot_groups(df, keys, max_rows)
@@ -138,11 +144,28 @@ def cut_hot_groups(
     longest = cuts.agg(F.max(F.size(CUTS))).first()[0]
     if longest is None:
         return Segmented(df.withColumn(SEG, F.lit(0)), keys, None)
-    steps = F.array(*[F.lit(1 << power) for power in reversed(range(longest.bit_length()))])
-    passed = lambda at, step: F.get(CUTS, at + step - 1)["at"] < position
-    segment = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(passed(at, step), step).otherwise(0))
-    frame = match_small(df, cuts, keys, "left").withColumn(SEG, F.when(F.col(CUTS).isNull(), 0).otherwise(segment))
-    return Segmented(frame, keys, cuts)
+    # All cuts of a key would be copied into every row: first the block of cuts, then the cut inside of it.
+    width = math.isqrt(longest) + 1
+    ends = F.transform(F.filter(CUTS, lambda _, i: (i + 1) % width == 0), lambda cut: F.struct(cut["at"].alias("at")))
+    blocks = cuts.select(*keys, ends.alias(CUTS))
+    last = F.floor((F.size(CUTS) - 1) / width).cast("int")
+    inside = cuts.withColumn(BLOCK, F.explode(F.sequence(F.lit(0), last))).withColumn(
+        CUTS, F.slice(CUTS, F.col(BLOCK) * width + 1, width)
+    )
+    placed = match_small(df, blocks, keys, "left")
+    block = F.when(F.col(CUTS).isNotNull(), passed_cuts(position, width))
+    placed = match_small(placed.withColumn(BLOCK, block).drop(CUTS), inside, [*keys, BLOCK], "left")
+    placed = placed.withColumn("_in", passed_cuts(position, width)).withColumns(
+        {SEG: F.coalesce(F.col(BLOCK) * width + F.col("_in"), F.lit(0)), NEAR: F.get(CUTS, F.col("_in"))["near"]}
+    )
+    return Segmented(materialise(placed.drop(CUTS, "_in")), keys, cuts)
+
+
+def passed_cuts(position: Column, most: int) -> Column:
+    """How many of the at most ``most`` rising cuts of a row lie below its position."""
+    steps = F.array(*[F.lit(1 << power) for power in reversed(range(most.bit_length()))])
+    below = lambda at, step: F.get(CUTS, at + step - 1)["at"] < position
+    return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(below(at, step), step).otherwise(0))
 
 
 def segment_tails(cut: Segmented, order: Sequence[str], previous: int) -> DataFrame:
@@ -151,8 +174,7 @@ def segment_tails(cut: Segmented, order: Sequence[str], previous: int) -> DataFr
     Only rows behind the sampled point ``near`` the end can be among them, so
     the rest is dropped before the sort.
     """
-    end = F.get(CUTS, F.col(SEG))
-    near_end = cut.frame.filter(end.isNotNull() & (F.struct(*order) > end["near"])).drop(CUTS)
+    near_end = cut.frame.filter(F.col(NEAR).isNotNull() & (F.struct(*order) > F.col(NEAR))).drop(BLOCK, NEAR)
     last_first = Window.partitionBy(*cut.keys, SEG).orderBy(*[F.col(c).desc() for c in order])
     return near_end.withColumn("_rn", F.row_number().over(last_first)).filter(F.col("_rn") <= previous).drop("_rn")
 
@@ -187,8 +209,8 @@ def ordered_features(
         )
 
     cut.frame = cut.frame.withColumns(values).withColumn(COPY, F.lit(False))
-    rows = cut.frame.drop(CUTS)
-    hot_rows = cut.frame.filter(F.col(CUTS).isNotNull())
+    rows = cut.frame.drop(BLOCK, NEAR)
+    hot_rows = cut.frame.filter(F.col(BLOCK).isNotNull())
     in_segment = [*cut.keys, SEG]
 
     both = rows

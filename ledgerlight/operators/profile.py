@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlight.functions.scalars import safe_div
 from ledgerlight.operators.ordered import MAX_ROWS, match_small, spread_join
 from ledgerlight.operators.ranks import moments_of, quantiles_of, value_counts
+from ledgerlight.session import materialise
 
 
 def _unpivot(one: DataFrame, structs: list[Column]) -> DataFrame:
@@ -148,8 +149,8 @@ def weighted_average(value: Column | str, weight: Column | str) -> Column:
 
 def category_shares(df: DataFrame, key: str) -> DataFrame:
     """Count and share of every category."""
-    share = F.col("nombre") / df.agg(F.count(F.lit(1))).scalar()
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("nombre"))
+    counts = materialise(df.groupBy(key).agg(F.count(F.lit(1)).alias("nombre")))
+    share = F.col("nombre") / counts.agg(F.sum("nombre")).scalar()
     return counts.withColumn("part", share).orderBy(F.desc("nombre"), key)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -25,31 +26,42 @@ def uniqueness_report(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     )
 
 
+def integrity_of(fact_name: str, fact: DataFrame, links: Sequence[tuple]) -> DataFrame:
+    """Total, orphans and allowed nulls of each foreign key of one fact.
+
+    ``links``: (key, name of the dimension, dimension, its key, nulls allowed).  The fact is read once and
+    reduced to counts per link and key, so its rows never meet a dimension and a hot key is one row.
+    """
+    named = lambda i, key: [F.lit(i).alias("_link"), F.col(key).cast("string").alias("_key")]
+    pairs = F.explode(F.array(*[F.struct(*named(i, link[0])) for i, link in enumerate(links)])).alias("_p")
+    per_key = fact.select(pairs).groupBy("_p._link", "_p._key").agg(F.count(F.lit(1)).alias("n"))
+    known = reduce(DataFrame.unionByName, [dim.select(*named(i, key)) for i, (_, _, dim, key, _) in enumerate(links)])
+    rows = per_key.join(known.distinct().withColumn("_known", F.lit(True)), ["_link", "_key"], "left")
+    missing, empty = F.col("_known").isNull(), F.col("_key").isNull()
+    count = lambda rule: F.coalesce(F.sum(F.when(rule, F.col("n"))), F.lit(0))
+    sums, out = [], []
+    for i, (key, dim_name, _, _, nulls_allowed) in enumerate(links):
+        mine = F.col("_link") == i
+        sums += [
+            count(mine).alias(f"t{i}"), count(mine & missing & ~(empty & F.lit(nulls_allowed))).alias(f"o{i}"),
+            count(mine & empty & F.lit(nulls_allowed)).alias(f"e{i}"),
+        ]
+        out.append(
+            F.struct(
+                F.lit(fact_name).alias("fait"), F.lit(dim_name).alias("dimension"), F.lit(key).alias("cle"),
+                F.col(f"t{i}").alias("total"), F.col(f"o{i}").alias("orphelins"), F.col(f"e{i}").alias("nuls_admis"),
+                F.when(F.col(f"o{i}") == 0, OK).otherwise(TO_CHECK).alias("statut"),
+            )
+        )
+    return rows.agg(*sums).select(F.inline(F.array(*out)))
+
+
 def integrity_check(
     fact_name: str, fact: DataFrame, dim_name: str, dim: DataFrame, key: str, dim_key: str | None = None,
     nulls_allowed: bool = False,
 ) -> DataFrame:
-    """Total, orphans and allowed nulls of one foreign key.
-
-    The fact is first reduced to counts per key, so its rows never meet the
-    dimension and a hot key is one row.
-    """
-    per_key = fact.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
-    known = dim.select(F.col(dim_key or key).alias("_key"), F.lit(True).alias("_known")).distinct()
-    rows = per_key.join(known, "_key", "left")
-    missing = F.col("_known").isNull()
-    empty = F.col("_key").isNull()
-    lost = missing & ~empty if nulls_allowed else missing
-    zero = F.lit(0)
-    return rows.agg(
-        F.coalesce(F.sum("n"), zero).alias("total"),
-        F.coalesce(F.sum(F.when(lost, F.col("n"))), zero).alias("orphelins"),
-        F.coalesce(F.sum(F.when(empty, F.col("n"))), zero).alias("nuls"),
-    ).select(
-        F.lit(fact_name).alias("fait"), F.lit(dim_name).alias("dimension"), F.lit(key).alias("cle"),
-        "total", "orphelins", F.when(F.lit(nulls_allowed), F.col("nuls")).otherwise(zero).alias("nuls_admis"),
-        F.when(F.col("orphelins") == 0, OK).otherwise(TO_CHECK).alias("statut"),
-    )
+    """``integrity_of`` for one foreign key."""
+    return integrity_of(fact_name, fact, [(key, dim_name, dim, dim_key or key, nulls_allowed)])
 
 
 def integrity_report(checks: list[DataFrame]) -> DataFrame:

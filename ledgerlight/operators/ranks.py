@@ -172,33 +172,35 @@ def score_curve(
     )
 
 
+def _highest() -> Column:
+    """Marks the highest threshold of a curve: no row lies above it."""
+    return F.col("tp") + F.col("fp") == F.col("pos") + F.col("neg")
+
+
+def _with_end(point: Column, end: Column, last: Column) -> Column:
+    """The points of a row: its own and, beside the last one, the end of the curve."""
+    return F.inline(F.when(last, F.array(point, end)).otherwise(F.array(point)))
+
+
 def precision_recall_points(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """PR curve by rising threshold, closed by the point (precision 1, recall 0)."""
-    end = curve.select(*by).distinct() if by else curve.agg(F.count(F.lit(1)).alias("_n")).filter("_n > 0")
-    end = end.select(
-        *by, F.lit(None).cast("double").alias("threshold"),
-        F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"),
+    end = F.struct(
+        F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
     )
-    return curve.select(*by, "threshold", "precision", "recall").unionByName(end)
+    return curve.select(*by, _with_end(F.struct("threshold", "precision", "recall"), end, _highest()))
 
 
 def roc_points(curve: DataFrame, drop_intermediate: bool = True, max_rows: int = MAX_ROWS) -> DataFrame:
     """ROC curve from (0, 0) on; points on a straight line are dropped on request."""
-    points = curve.select("threshold", "pos", "neg", "fpr", F.col("recall").alias("tpr"))
+    points = curve.select(
+        "threshold", "pos", "neg", "fpr", F.col("recall").alias("tpr"), _highest().alias("_last"), F.lit(0).alias("_all")
+    )
     if drop_intermediate:
-        points = lagged(
-            points.withColumn("_all", F.lit(0)), ["_all"], ["threshold"], {"_pos": "pos", "_neg": "neg"}, max_rows
-        )
-        top = curve.agg(F.max("threshold")).scalar()
-        straight = (
-            (F.col("pos") == F.col("_pos")) & (F.col("neg") == F.col("_neg")) & (F.col("threshold") != top)
-        )
+        points = lagged(points, ["_all"], ["threshold"], {"_pos": "pos", "_neg": "neg"}, max_rows)
+        straight = (F.col("pos") == F.col("_pos")) & (F.col("neg") == F.col("_neg")) & ~F.col("_last")
         points = points.filter(~F.coalesce(straight, F.lit(False)))
-    start = (
-        curve.agg(F.count(F.lit(1)).alias("_n")).filter("_n > 0")
-        .select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    )
-    return points.select("threshold", "fpr", "tpr").unionByName(start)
+    start = F.struct(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return points.select(_with_end(F.struct("threshold", "fpr", "tpr"), start, F.col("_last")))
 
 
 def curve_summary(

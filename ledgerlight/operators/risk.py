@@ -202,13 +202,16 @@ def monthly_changes(
 def running_balance(
     moves: DataFrame, accounts: DataFrame, account: str = "compte_id", amount: str = "mouvement",
     order: Sequence[str] = ("date_transaction", "transaction_id"), opening: str = "solde",
-    max_rows: int = MAX_ROWS,
+    max_rows: int = MAX_ROWS, beside: Sequence[str] = (),
 ) -> DataFrame:
-    """Balance before and after every signed move, one time-ordered ledger per account."""
+    """Balance before and after every signed move, one time-ordered ledger per account.
+
+    ``beside``: other columns of the account to add in the same join.
+    """
     after = ordered_features(moves, [account], order, running={"_cumul": F.col(amount)}, max_rows=max_rows)
     start = F.coalesce(F.col(opening), F.lit(0.0))
     return (
-        after.join(accounts.select(account, opening), account, "left")
+        after.join(accounts.select(account, opening, *beside), account, "left")
         .withColumns(
             {
                 "solde_avant": start + F.col("_cumul") - F.col(amount),

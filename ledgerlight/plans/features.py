@@ -24,6 +24,8 @@ FEATURE_TABLE = (
     "score_credit", "niveau_risque_client", "fraud_flag",
 )
 GROUND_TRUTH = ("fraud_type", "fraud_rule_triggered")
+# Those of the customer that the cleaned transactions do not have.
+CUSTOMER_COLUMNS = ("score_credit", "niveau_risque_client")
 
 # The model features.
 NUMERIC = (
@@ -49,8 +51,12 @@ STUDIED_BINARY = ("is_night", "is_weekend", "est_international", "hors_agence")
 
 
 def feature_table(transactions_silver: DataFrame, clients_silver: DataFrame) -> DataFrame:
-    """One row per transaction: allow-listed columns and two ratios."""
-    rows = enrich(transactions_silver, clients_silver, "client_id", ["score_credit", "niveau_risque_client"])
+    """One row per transaction: allow-listed columns and two ratios.
+
+    Customer columns that the transactions already carry are not joined again.
+    """
+    lacking = [c for c in CUSTOMER_COLUMNS if c not in transactions_silver.columns]
+    rows = enrich(transactions_silver, clients_silver, "client_id", lacking) if lacking else transactions_silver
     return clean.keep_columns(rows, FEATURE_TABLE, GROUND_TRUTH).withColumns(
         {
             "ratio_montant_revenu": safe_div("montant", "revenu_mensuel"),

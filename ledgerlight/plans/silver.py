@@ -85,11 +85,13 @@ def behaviour(transactions: DataFrame, previous: int = PREVIOUS_ROWS, max_rows:
     return rows.withColumn("ecart_relatif_montant", S.safe_div(F.col("montant") - F.col(mean), mean))
 
 
-def with_context(transactions: DataFrame, clients_silver: DataFrame, accounts_silver: DataFrame) -> DataFrame:
-    """Customer and account columns, time parts and flags; row-wise work only."""
+def with_context(
+    transactions: DataFrame, clients_silver: DataFrame, accounts_silver: DataFrame, more: Sequence[str] = ()
+) -> DataFrame:
+    """Customer columns (``more`` beside the table's own) and account columns, time parts and flags; row-wise work only."""
     rows = enrich(
         transactions, clients_silver, "client_id",
-        ["age", "ville", "segment_client", "tranche_revenu", "revenu_mensuel"],
+        ["age", "ville", "segment_client", "tranche_revenu", "revenu_mensuel", *more],
     )
     rows = enrich(rows, accounts_silver, "compte_source_id", ["type_compte"], right_key="compte_id")
     return rows.withColumns(
@@ -113,10 +115,15 @@ def transactions(
     transactions: DataFrame, clients_silver: DataFrame, accounts_silver: DataFrame,
     columns: Sequence[str] = TRANSACTION_COLUMNS, max_rows: int = MAX_ROWS,
 ) -> DataFrame:
-    """Cleaned transactions: joins, window features and flags in one plan."""
+    """Cleaned transactions: joins, window features and flags in one plan.
+
+    Columns that the table itself does not have are taken from the customer, in the same join; a column
+    found nowhere is an error.
+    """
     # Windows first: their exchange on the customer also serves the join that follows.
-    rows = with_context(behaviour(transactions, max_rows=max_rows), clients_silver, accounts_silver)
-    return clean.keep_columns(rows, [c for c in columns if c in rows.columns])
+    more = [c for c in columns if c not in TRANSACTION_COLUMNS]
+    rows = with_context(behaviour(transactions, max_rows=max_rows), clients_silver, accounts_silver, more)
+    return clean.keep_columns(rows, columns)
 
 
 def loans(credits: DataFrame) -> DataFrame:

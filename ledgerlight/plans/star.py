@@ -98,15 +98,13 @@ def integrity(
     clients: DataFrame, agences: DataFrame, temps: DataFrame,
 ) -> DataFrame:
     """The six foreign keys of the star; a liquidity row may have no branch."""
-    check = quality.integrity_check
+    client, agence = ("client_id", "dim_client", clients, "client_id"), ("agence_id", "dim_agence", agences, "agence_id")
+    temps_link = ("date_key", "dim_temps", temps, "date_key")
     return quality.integrity_report(
         [
-            check("fact_transactions", transactions, "dim_client", clients, "client_id"),
-            check("fact_transactions", transactions, "dim_agence", agences, "agence_id"),
-            check("fact_transactions", transactions, "dim_temps", temps, "date_key"),
-            check("fact_credits", credits, "dim_client", clients, "client_id"),
-            check("fact_credits", credits, "dim_agence", agences, "agence_id"),
-            check("fact_liquidite", liquidite, "dim_agence", agences, "agence_id", nulls_allowed=True),
+            quality.integrity_of("fact_transactions", transactions, [(*link, False) for link in (client, agence, temps_link)]),
+            quality.integrity_of("fact_credits", credits, [(*client, False), (*agence, False)]),
+            quality.integrity_of("fact_liquidite", liquidite, [(*agence, True)]),
         ]
     )
 

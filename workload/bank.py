@@ -101,18 +101,19 @@ def loan_categories(spark, sf):
         ) group by 1""",
 )
 def missing_foreign_keys(spark, sf):
-    moves, accounts = bank(spark, sf, "transactions"), bank(spark, sf, "comptes")
-    links = {
-        "source": (moves, "compte_source_id", accounts, "compte_id"),
-        "destination": (moves, "compte_destination_id", accounts, "compte_id"),
-        "client": (moves, "client_id", some_customers(spark, sf), "client_id"),
-        "credit": (bank(spark, sf, "classification_creances"), "credit_id", bank(spark, sf, "credits"), "credit_id"),
-    }
-    out = None
-    for name, (child, key, parent, parent_key) in links.items():
-        one = joins.missing_keys(child, key, parent, parent_key).select(F.lit(name).alias("lien"))
-        out = one if out is None else out.unionByName(one)
-    return out.groupBy("lien").agg(F.count(F.lit(1)).alias("cles"))
+    accounts = bank(spark, sf, "comptes")
+    moves = joins.missing_links(
+        bank(spark, sf, "transactions"),
+        {
+            "source": ("compte_source_id", accounts, "compte_id"),
+            "destination": ("compte_destination_id", accounts, "compte_id"),
+            "client": ("client_id", some_customers(spark, sf), "client_id"),
+        },
+    )
+    loans = joins.missing_links(
+        bank(spark, sf, "classification_creances"), {"credit": ("credit_id", bank(spark, sf, "credits"), "credit_id")}
+    )
+    return moves.unionByName(loans).groupBy("lien").agg(F.count(F.lit(1)).alias("cles"))
 
 
 # --- aggregates --------------------------------------------------------------
@@ -434,8 +435,8 @@ VIEWS["mouvements"] = """
 )
 def account_ledger(spark, sf):
     accounts = bank(spark, sf, "comptes")
-    ledger = risk.running_balance(risk.account_moves(bank(spark, sf, "transactions")), accounts)
-    ledger = joins.lookup(ledger, "compte_id", accounts, "compte_id", "decouvert_autorise", 0.0)
+    ledger = risk.running_balance(risk.account_moves(bank(spark, sf, "transactions")), accounts, beside=["decouvert_autorise"])
+    ledger = ledger.fillna({"decouvert_autorise": 0.0})
     return tidy(
         ledger.select(
             "compte_id", "transaction_id", "solde_avant", "solde_apres",
@@ -655,8 +656,8 @@ VIEWS["regles_notees"] = """
 def rule_labels(spark, sf):
     moves, accounts = bank(spark, sf, "transactions"), bank(spark, sf, "comptes")
     order = ["date_transaction", "transaction_id"]
-    ledger = risk.running_balance(risk.account_moves(moves), accounts)
-    ledger = joins.lookup(ledger, "compte_id", accounts, "compte_id", "decouvert_autorise", 0.0)
+    ledger = risk.running_balance(risk.account_moves(moves), accounts, beside=["decouvert_autorise"])
+    ledger = ledger.fillna({"decouvert_autorise": 0.0})
     overdrawn = ledger.groupBy("transaction_id").agg(
         F.max(risk.overdrawn_flag("solde_apres", "decouvert_autorise")).alias("solde_negatif_anormal")
     )

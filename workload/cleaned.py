@@ -34,12 +34,23 @@ def accounts_silver(spark, sf) -> DataFrame:
     return silver.accounts(bank(spark, sf, "comptes"), as_of())
 
 
-def transactions_silver(spark, sf) -> DataFrame:
-    return silver.transactions(bank(spark, sf, "transactions"), clients_silver(spark, sf), accounts_silver(spark, sf))
+#: Columns of the cleaned table for which the test tables have no source.
+NO_SOURCE = {
+    "categorie", "sous_categorie", "reference_transaction", "libelle", "merchant_id", "code_mcc", "nom_marchand",
+    "numero_carte_masque", "terminal_id", "solde_avant", "solde_apres", "latitude", "longitude",
+}
+SILVER_COLUMNS = tuple(c for c in silver.TRANSACTION_COLUMNS if c not in NO_SOURCE)
+
+
+def transactions_silver(spark, sf, columns=SILVER_COLUMNS) -> DataFrame:
+    return silver.transactions(
+        bank(spark, sf, "transactions"), clients_silver(spark, sf), accounts_silver(spark, sf), columns
+    )
 
 
 def features(spark, sf) -> DataFrame:
-    return feat.feature_table(transactions_silver(spark, sf), clients_silver(spark, sf))
+    rows = transactions_silver(spark, sf, (*SILVER_COLUMNS, *feat.CUSTOMER_COLUMNS))
+    return feat.feature_table(rows, clients_silver(spark, sf))
 
 
 def scratch(spark: SparkSession, what: str) -> str:
