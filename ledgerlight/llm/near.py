@@ -24,7 +24,7 @@ THRESHOLD = (80, 100)         # 100 * intersection >= 80 * union
 #: A pair is confirmed unless its estimate lies so many standard deviations below the threshold.
 MARGIN = 4.2
 BLOCK = 2048                  # members of a bucket estimated against each other in one task
-PART = 128                    # texts on either side of a task that confirms
+PART = 256                    # texts on either side of a task that confirms
 BROADCAST_IDS = 1_000_000     # ids up to this many (16 MB) are broadcast, beyond it a shuffle join is used
 SIGNATURE = [
     T.StructField("n_shingles", T.LongType()), T.StructField("_high", T.LongType()), T.StructField("_low", T.LongType()),
