@@ -23,11 +23,13 @@ KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{32,}")
-CANDIDATE = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
+#: An equals sign is padding at the end of a run; before other key characters it is an assignment and parts them.
+CANDIDATE = re.compile(rb"[A-Za-z0-9+/_-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 SENSITIVE = re.compile(rb"key|token|secret|passw|pwd|auth|bearer|credential|private|signature|session|[:=]\s*[\"']?$", re.I)
 LEAST_ASSIGN, LEAST_ACCESS = 8, 16
 BEFORE = 48                   # bytes in which a sensitive word is looked for
 AROUND = 256                  # bytes of context that the compressor has seen
+SHARED = 16                   # runs of so many bytes that are the candidate's own are no context
 NOVELTY = 0.5                 # marginal bytes per byte of a candidate
 FIELDS = [
     T.StructField("n_assign", T.LongType()), T.StructField("n_access", T.LongType()), T.StructField("n_hex", T.LongType()),
@@ -85,12 +87,10 @@ class Scanner:
                 continue
             if not SENSITIVE.search(text[max(0, a - BEFORE) : a]):
                 continue
-            # The text on both sides is known to the compressor, so a string that is written again is not novel.
-            context = text[max(0, a - AROUND) : a] if a else b""
-            context = text[b : b + AROUND] + context
+            context = _others(text, b, b + AROUND, word) + _others(text, max(0, a - AROUND), a, word)
             if self.marginal(context, word) >= NOVELTY * len(word):
                 found.append((a, 3, b))
-        return found
+        return _repeated(text, found, base)
 
     def candidates(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Numbers of the texts that can hold a span: whole bytes are searched, then only those texts are matched."""
@@ -133,6 +133,46 @@ class Scanner:
         return [*(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), pa.array(every, pa.string()), pa.array(redacted, pa.string())]
 
 
+def _others(text: bytes, start: int, end: int, word: bytes) -> bytes:
+    """The bytes from ``start`` to ``end`` without what is a copy of the word or of a long part of it."""
+    size, end = min(SHARED, len(word)), min(end, len(text))
+    out, at = [], start
+    for k in range(max(0, start - size + 1), end):
+        if text[k : k + size] in word and k + size <= len(text):
+            out.append(text[at : max(at, k)])
+            at = max(at, k + size)
+    return b"".join([*out, text[at : max(at, end)]])
+
+
+def _repeated(text: bytes, found: list[tuple[int, int, int]], base: Sequence[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The found spans and every other place of their strings, also inside longer runs; none inside of another."""
+    if not found:
+        return found
+    words = {text[a:b] for a, _, b in found}
+    lengths: dict[int, set[int]] = {}
+    for w in words:
+        lengths.setdefault(int.from_bytes(w[:8], "little"), set()).add(len(w))
+    raw = np.frombuffer(text, np.uint8).astype(np.uint64)
+    first = np.zeros(len(raw) - 7, np.uint64)
+    for k in range(8):
+        first |= raw[k : k + len(first)] << np.uint64(8 * k)
+    places = np.flatnonzero(np.isin(first, np.array(list(lengths), np.uint64)))
+    spans = {(a, b) for a, _, b in found}
+    for at in places.tolist():
+        spans |= {(at, at + n) for n in lengths[int(first[at])] if text[at : at + n] in words}
+    # The longest first where several start; what lies inside an earlier span or meets a fixed pattern is left out.
+    out: list[tuple[int, int, int]] = []
+    fixed, k, reached, last = sorted((s, e) for s, _, e in base), 0, 0, 0
+    for a, b in sorted(spans, key=lambda s: (s[0], -s[1])):
+        while k < len(fixed) and fixed[k][0] < b:
+            reached = max(reached, fixed[k][1])
+            k += 1
+        if b > last and a >= reached:
+            out.append((a, 3, b))
+            last = b
+    return out
+
+
 def _listed(text: bytes, spans: Sequence[tuple[int, int, int]]) -> str:
     """kind:start:end in code points."""
     out, byte, point = [], 0, 0
@@ -156,6 +196,7 @@ def secret_spans(docs: DataFrame, text: str = "text", carry: Sequence[str] | Non
     """The carried columns, counts of the fixed kinds, their digest, all spans, and the text with spans masked.
 
     ``redacted`` is null where nothing was found.  Null and empty texts have no spans; offsets are code
-    points, ends exclusive.  A context that holds the candidate again makes it known, so not novel.
+    points, ends exclusive.  Copies of a candidate do not make it known: they are left out of its context,
+    and each place of a string found novel is reported.
     """
     return text_results(docs, FIELDS, lambda: Scanner().tell, text, carry)

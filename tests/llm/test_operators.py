@@ -223,6 +223,19 @@ def test_novel_strings_in_sensitive_contexts():
     assert scan.marginal(b"key = ", b"authorization1234567") < scan.marginal(b"key = ", random_key)
 
 
+def test_novel_strings_written_twice():
+    scan = secrets.Scanner()
+    key = b"q7Zp1Lw9Xk3Vb8Tn5Rj2Hc6Md4Fs0Gy7Wa1Ue9Qo"
+    for text in (b"auth_key %s\nexport AUTH_KEY %s", b"auth: x\nauth_key=%s\nexport AUTH_KEY=%s\n", b"bearer %s" + b" filler" * 34 + b" key %s",
+                 b"session %s and far away a path/%s/x", b"key prod-%s\nkey test-%s"):
+        whole = text % (key, key)
+        masked = secrets._redacted(whole, scan.novel(whole, []))
+        assert key.decode() not in masked and masked.count("<novel>") == 2, whole
+    # Copies that a fixed pattern reports are not reported again.
+    whole = b"key %s token=%s" % (key, key)
+    assert [s[:2] for s in sorted(scan.base(whole) + scan.novel(whole, scan.base(whole)))] == [(4, 3), (45, 0)]
+
+
 # 3 language model ---------------------------------------------------------------------------------------------
 
 def test_tree_scores(spark):
