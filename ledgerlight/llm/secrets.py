@@ -1,8 +1,9 @@
 """Secret scans: fixed patterns, and strings that a primed compressor cannot make shorter.
 
-A candidate is a long run of key characters with letters and digits.  Where a sensitive word or an
-assignment stands before it, its marginal size is measured: bytes of context and candidate, less
-bytes of the context alone, under a dictionary of code and identifiers.  Novel strings are reported.
+A candidate is a long run of key characters with letters and digits.  Where a sensitive word stands
+before it in its line, or an assignment, its marginal size is measured: bytes of context and candidate,
+less bytes of the context alone, under a dictionary of code and identifiers.  Novel strings are reported.
+The lines after a sensitive one are sensitive as long as they hold candidates, or up to the END line.
 """
 
 from __future__ import annotations
@@ -25,9 +26,16 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{32,}")
 #: An equals sign is padding at the end of a run; before other key characters it is an assignment and parts them.
 CANDIDATE = re.compile(rb"[A-Za-z0-9+/_-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
-SENSITIVE = re.compile(rb"key|token|secret|passw|pwd|auth|bearer|credential|private|signature|session|[:=]\s*[\"']?$", re.I)
+SENSITIVE = re.compile(rb"key|token|secret|passw|pwd|auth|bearer|credential|private|signature|session", re.I)
+ASSIGNED = re.compile(rb"[:=]\s*[\"']?$")
+BEGIN, END = re.compile(rb"-----BEGIN [^-\n]*-----"), b"-----END"
+LINE = re.compile(rb"[^\n]+")
+#: What may stand around the one run of a line, and the mark of a list before it.
+EDGES = b" \t\r\"'`,;|>*\\()[]{}"
+MARK = re.compile(rb"(?:[-+]|[0-9]{1,4}[.)])[ \t]+[\"'`]?")
+RUN = re.compile(rb"[A-Za-z0-9+/_=-]+")
 LEAST_ASSIGN, LEAST_ACCESS = 8, 16
-BEFORE = 48                   # bytes in which a sensitive word is looked for
+BEFORE = 48                   # bytes in which a sensitive word is looked for, beyond the line
 AROUND = 256                  # bytes of context that the compressor has seen
 SHARED = 16                   # runs of so many bytes that are the candidate's own are no context
 NOVELTY = 0.5                 # marginal bytes per byte of a candidate
@@ -79,13 +87,16 @@ class Scanner:
         return sorted(found)
 
     def novel(self, text: bytes, base: Sequence[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        found = []
+        found, stretches, k = [], _stretches(text), 0
         for m in CANDIDATE.finditer(text):
             a, b = m.span()
             word = m[0]
-            if any(s < b and a < e for s, _, e in base) or not re.search(rb"[0-9]", word) or not re.search(rb"[A-Za-z]", word):
+            if any(s < b and a < e for s, _, e in base) or not _mixed(word):
                 continue
-            if not SENSITIVE.search(text[max(0, a - BEFORE) : a]):
+            while k < len(stretches) and stretches[k][1] <= a:
+                k += 1
+            near = text[max(0, a - BEFORE) : a]
+            if not (k < len(stretches) and stretches[k][0] <= a) and not SENSITIVE.search(near) and not ASSIGNED.search(near):
                 continue
             context = _others(text, b, b + AROUND, word) + _others(text, max(0, a - AROUND), a, word)
             if self.marginal(context, word) >= NOVELTY * len(word):
@@ -133,6 +144,44 @@ class Scanner:
         return [*(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), pa.array(every, pa.string()), pa.array(redacted, pa.string())]
 
 
+def _mixed(word: bytes) -> bool:
+    return bool(re.search(rb"[0-9]", word) and re.search(rb"[A-Za-z]", word))
+
+
+def _goes_on(line: bytes) -> bool:
+    """Whether a line after a sensitive one belongs to it: one run of key characters alone, or a candidate."""
+    core = line.strip(EDGES)
+    core = core[m.end() :] if (m := MARK.match(core)) else core
+    return bool(RUN.fullmatch(core)) or any(_mixed(m[0]) for m in CANDIDATE.finditer(line))
+
+
+def _stretches(text: bytes) -> list[tuple[int, int]]:
+    """Sensitive parts: lines from their first sensitive word on, the lines that go on from there, and blocks up to END."""
+    out, going, heading, block, before = [], False, False, False, 0
+    last = text.rfind(END)
+    for m in LINE.finditer(text):
+        start, end = m.span()
+        line = m[0].strip()
+        if block:
+            out.append((start, end))
+            block = END not in line
+            continue
+        if not line:
+            continue
+        # Empty lines end what goes on, but not directly after a heading.
+        going = going and (start <= before + 1 or heading) and _goes_on(line)
+        before, heading = end, line.endswith(b":")
+        word = SENSITIVE.search(text, start, end)
+        if going:
+            out.append((start, end))
+        elif word:
+            out.append((word.end(), end))
+            going = True
+        if word and last >= end and BEGIN.search(line):
+            block, going = END not in line, False
+    return out
+
+
 def _others(text: bytes, start: int, end: int, word: bytes) -> bytes:
     """The bytes from ``start`` to ``end`` without what is a copy of the word or of a long part of it."""
     size, end = min(SHARED, len(word)), min(end, len(text))

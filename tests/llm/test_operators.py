@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import string
 
 import numpy as np
 import pytest
@@ -236,6 +237,21 @@ def test_novel_strings_written_twice():
     assert [s[:2] for s in sorted(scan.base(whole) + scan.novel(whole, scan.base(whole)))] == [(4, 3), (45, 0)]
 
 
+def test_novel_strings_over_several_lines():
+    scan, rng = secrets.Scanner(), random.Random(5)
+
+    def run(n):
+        return "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n - 2)) + "7a"
+
+    pem, listed, wrapped, far = [run(64) for _ in range(6)], [run(32) for _ in range(20)], [run(40) for _ in range(3)], run(30)
+    block = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n\n" + "\n".join(pem) + "\n-----END RSA PRIVATE KEY-----\n"
+    text = block + "a line of plain words, and another after it\nbuild " + run(32) + "\n\ncredentials:\n\n" + "".join(f"  - {k}\r\n" for k in listed)
+    text += "\nno more of them\n" + run(32) + "\n\ntoken " + "\n".join(wrapped) + "\n\nthe private one of " + "us all, " * 20 + far
+    whole = text.encode()
+    got = [whole[a:b].decode() for a, _, b in scan.novel(whole, [])]
+    assert got == [*pem, *listed, *wrapped, far]
+
+
 # 3 language model ---------------------------------------------------------------------------------------------
 
 def test_tree_scores(spark):
