@@ -1,6 +1,7 @@
 """Split, encoder, importance, registry, scoring, alerts and streams."""
 
 import datetime as dt
+import inspect
 import json
 import random
 
@@ -61,6 +62,19 @@ def test_trees_beat_the_baseline(spark):
     assert {r["feature"]: r["importance_mean"] for r in importance}["gap"] == pytest.approx(0.0)
 
 
+def test_queries_train_the_full_model(monkeypatch):
+    from workload import models
+
+    calls, given = [], inspect.signature(model.fit_model)
+    monkeypatch.setattr(model, "fit_model", lambda *a, **b: calls.append(given.bind(*a, **b)))
+    monkeypatch.setattr(model, "fit_encoder", lambda *a: None)
+    monkeypatch.setattr(model, "apply_encoder", lambda df, *a: df)
+    monkeypatch.setattr(scoring, "model_scorer", lambda *a: None)
+    models.trained("rows")
+    calls[0].apply_defaults()
+    assert calls[0].arguments["max_iter"] == 300 and calls[0].arguments["max_depth"] == 6 and calls[0].arguments["train"] == "rows"
+
+
 def test_importance_matches_brute_force(spark):
     """The same shuffle done by hand on a small table gives the same loss."""
     rng = random.Random(4)

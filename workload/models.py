@@ -357,9 +357,6 @@ def unknown_categories(spark, sf):
 
 # --- model -------------------------------------------------------------------
 
-TREES, DEPTH = 5, 4    # small enough for a test run; the defaults are those of the full model
-
-
 def prepared(spark, sf) -> tuple[DataFrame, DataFrame]:
     """Split and written once, since training reads it many times: (train, test)."""
     clean = feat.clean_features(materialise(features(spark, sf)))
@@ -370,7 +367,7 @@ def prepared(spark, sf) -> tuple[DataFrame, DataFrame]:
 def trained(train: DataFrame):
     encoder = model.fit_encoder(train, feat.CATEGORICAL)
     rows = model.apply_encoder(train, encoder, feat.CATEGORICAL)
-    fitted = model.fit_model(rows, feat.FEATURES, feat.LABEL, max_iter=TREES, max_depth=DEPTH)
+    fitted = model.fit_model(rows, feat.FEATURES, feat.LABEL)
     return scoring.model_scorer(fitted, encoder, feat.CATEGORICAL)
 
 
