@@ -4,13 +4,15 @@ A candidate is a long run of key characters with letters and digits.  Where a se
 before it in its line, or an assignment, its marginal size is measured: bytes of context and candidate,
 less bytes of the context alone, under a dictionary of code and identifiers.  Novel strings are reported.
 The lines after a sensitive one are sensitive as long as they hold candidates, or up to the END line.
+Directly after a sensitive word, or in such a block, every run of 8 or more characters is a candidate,
+and after any assignment one with letters and digits; plain words are prose unless a sensitive name is assigned them.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,13 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{32,}")
 #: An equals sign is padding at the end of a run; before other key characters it is an assignment and parts them.
 CANDIDATE = re.compile(rb"[A-Za-z0-9+/_-]{16,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
-SENSITIVE = re.compile(rb"key|token|secret|passw|pwd|auth|bearer|credential|private|signature|session", re.I)
+#: A value after a sensitive word, and a shorter key after any assignment.
+VALUE = re.compile(rb"[A-Za-z0-9+/_.!@#$%^&*~?-]{8,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
+_SENSITIVE = (b"key", b"token", b"secret", b"passw", b"pwd", b"auth", b"bearer", b"credential", b"private", b"signature", b"session")
+SENSITIVE = re.compile(b"|".join(_SENSITIVE), re.I)
+DIRECT = re.compile(rb"(?:%s)[A-Za-z0-9_]*(?:[\"'`\])]*[ \t]*(?::=|=>|([:=]))[ \t]*[\"'`(]*|(?:[ \t]+is)?[ \t]+[\"'`]?)$" % SENSITIVE.pattern, re.I)
+PLAIN = re.compile(rb"(?:[A-Za-z][a-z]*|[A-Z]+)(?:[-/._](?:[A-Za-z][a-z]*|[A-Z]+))*")
+SHORT = re.compile(rb"[A-Za-z0-9+/_-]{8,}")
 ASSIGNED = re.compile(rb"[:=]\s*[\"']?$")
 BEGIN, END = re.compile(rb"-----BEGIN [^-\n]*-----"), b"-----END"
 LINE = re.compile(rb"[^\n]+")
@@ -35,6 +43,7 @@ EDGES = b" \t\r\"'`,;|>*\\()[]{}"
 MARK = re.compile(rb"(?:[-+]|[0-9]{1,4}[.)])[ \t]+[\"'`]?")
 RUN = re.compile(rb"[A-Za-z0-9+/_=-]+")
 LEAST_ASSIGN, LEAST_ACCESS = 8, 16
+LEAST = 8                     # characters of a candidate in a strong context
 BEFORE = 48                   # bytes in which a sensitive word is looked for, beyond the line
 AROUND = 256                  # bytes of context that the compressor has seen
 SHARED = 16                   # runs of so many bytes that are the candidate's own are no context
@@ -64,7 +73,6 @@ _KEY[48:58] = _KEY[65:91] = _KEY[97:123] = True
 _KEY[list(b"+/_=-")] = True
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
-_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 
 class Scanner:
@@ -87,26 +95,22 @@ class Scanner:
         return sorted(found)
 
     def novel(self, text: bytes, base: Sequence[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        found, stretches, k = [], _stretches(text), 0
-        for m in CANDIDATE.finditer(text):
-            a, b = m.span()
-            word = m[0]
-            if any(s < b and a < e for s, _, e in base) or not _mixed(word):
-                continue
-            while k < len(stretches) and stretches[k][1] <= a:
-                k += 1
-            near = text[max(0, a - BEFORE) : a]
-            if not (k < len(stretches) and stretches[k][0] <= a) and not SENSITIVE.search(near) and not ASSIGNED.search(near):
+        found: list[tuple[int, int, int]] = []
+        stretches, done = _stretches(text), 0
+        for a, b in _candidates(text, stretches):
+            word = text[a:b]
+            if a < done or any(s < b and a < e for s, _, e in base):
                 continue
             context = _others(text, b, b + AROUND, word) + _others(text, max(0, a - AROUND), a, word)
             if self.marginal(context, word) >= NOVELTY * len(word):
                 found.append((a, 3, b))
+                done = b
         return _repeated(text, found, base)
 
     def candidates(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Numbers of the texts that can hold a span: whole bytes are searched, then only those texts are matched."""
         low, places = LOWER[raw].tobytes(), []
-        for word in _WORDS:
+        for word in _SENSITIVE:
             at = low.find(word)
             while at >= 0:
                 places.append(at)
@@ -117,7 +121,7 @@ class Scanner:
             places.append(at)
             at = whole.find(b"AKIA", at + 1)
         runs = Words(raw, offsets, _KEY)
-        long = np.flatnonzero(runs.ends - runs.starts >= 16)
+        long = np.flatnonzero(runs.ends - runs.starts >= LEAST)
         digits = np.concatenate([[0], np.cumsum(_DIGIT[raw])])
         long = long[digits[runs.ends[long]] > digits[runs.starts[long]]]
         hexes = Words(raw, offsets, _HEX)
@@ -155,15 +159,39 @@ def _goes_on(line: bytes) -> bool:
     return bool(RUN.fullmatch(core)) or any(_mixed(m[0]) for m in CANDIDATE.finditer(line))
 
 
-def _stretches(text: bytes) -> list[tuple[int, int]]:
-    """Sensitive parts: lines from their first sensitive word on, the lines that go on from there, and blocks up to END."""
+def _candidates(text: bytes, stretches: Sequence[tuple[int, int, bool]]) -> Iterator[tuple[int, int]]:
+    """Bounds of what is measured, in order: whole values first, then the long runs inside of them."""
+    k = 0
+    for m in VALUE.finditer(text):
+        a, value = m.start(), m[0].rstrip(b".!?")
+        while k < len(stretches) and stretches[k][1] <= a:
+            k += 1
+        inside = k < len(stretches) and stretches[k][0] <= a
+        before = text[max(0, a - BEFORE) : a]
+        direct = DIRECT.search(before)
+        assigned = ASSIGNED.search(before)
+        strong = direct and assigned or (direct or inside and stretches[k][2]) and not PLAIN.fullmatch(value)
+        if strong and len(value) >= LEAST and b"-----" not in value:
+            yield a, a + len(value)
+        weak = inside or SENSITIVE.search(before) or assigned
+        for run in CANDIDATE.finditer(text, a, m.end()) if len(value) >= 16 else ():
+            if _mixed(run[0]):
+                near = text[max(0, run.start() - BEFORE) : run.start()]
+                if weak or k < len(stretches) and stretches[k][0] <= run.start() or SENSITIVE.search(near):
+                    yield run.span()
+        if assigned and not value.startswith(b"//") and (short := SHORT.match(value)) and _mixed(short[0]):
+            yield a, a + short.end()
+
+
+def _stretches(text: bytes) -> list[tuple[int, int, bool]]:
+    """Sensitive parts: lines from their first sensitive word on, the lines that go on from there, and (true) blocks up to END."""
     out, going, heading, block, before = [], False, False, False, 0
     last = text.rfind(END)
     for m in LINE.finditer(text):
         start, end = m.span()
         line = m[0].strip()
         if block:
-            out.append((start, end))
+            out.append((start, end, True))
             block = END not in line
             continue
         if not line:
@@ -173,9 +201,9 @@ def _stretches(text: bytes) -> list[tuple[int, int]]:
         before, heading = end, line.endswith(b":")
         word = SENSITIVE.search(text, start, end)
         if going:
-            out.append((start, end))
+            out.append((start, end, False))
         elif word:
-            out.append((word.end(), end))
+            out.append((word.end(), end, False))
             going = True
         if word and last >= end and BEGIN.search(line):
             block, going = END not in line, False

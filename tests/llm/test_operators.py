@@ -252,6 +252,19 @@ def test_novel_strings_over_several_lines():
     assert got == [*pem, *listed, *wrapped, far]
 
 
+def test_short_and_plain_secrets_after_sensitive_words(spark):
+    lines = ["pwd: %s", "Authorization: Bearer %s", "auth=%s", "my credential is '%s'", "db_pwd = \"%s\","]
+    values = ["x7Kq9Zp2", "qZvLwXkJbTnRgYhP", "8305917264", "Zq.7!v@K#x$2", "wjxqzvkh"]
+    df = spark.createDataFrame([(0, "wait for us"), *((k + 1, a % b) for k, (a, b) in enumerate(zip(lines, values, strict=True)))], "doc_id long, text string")
+    got = by_id(secrets.secret_spans(df), "spans", "redacted")
+    assert got.pop(0) == ("", None)
+    assert {k: v[1] for k, v in got.items()} == {k + 1: a % "<novel>" for k, a in enumerate(lines)}
+    scan = secrets.Scanner()
+    assert scan.novel(b"the secret ingredient of a private conversation, key questions: remaining. http://page1234.org", []) == []
+    pem = b"-----BEGIN PRIVATE KEY-----\nqZvLwXkJbTnRgYhPqWmKcVdS\n-----END PRIVATE KEY-----"
+    assert [pem[a:b] for a, _, b in scan.novel(pem, [])] == [b"qZvLwXkJbTnRgYhPqWmKcVdS"]
+
+
 # 3 language model ---------------------------------------------------------------------------------------------
 
 def test_tree_scores(spark):
