@@ -17,6 +17,10 @@ from ledgerlight.llm import exact, leaks, mixing, near, quality
 from ledgerlight.session import scratch_root
 
 
+#: Words of a shingle of the near-duplicate stage; the contract of op1_near_dedup has four.
+NEAR_SHINGLE = 5
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -31,7 +35,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near.near_duplicates(docs).where("kept").select(*docs.columns)
+    return near.near_duplicates(docs, shingle=NEAR_SHINGLE).where("kept").select(*docs.columns)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -87,7 +87,7 @@ class _Sets:
 LINKS = "a long, b long"
 
 
-def confirm(tasks: DataFrame, texts: DataFrame) -> DataFrame:
+def confirm(tasks: DataFrame, texts: DataFrame, shingle: int = sketch.SHINGLE) -> DataFrame:
     """Links (a, b) of tasks (task, rep, partners): each rep against its partners, on full shingle sets.
 
     All partners of a task are rows of it.  Pairs that links of the same task already connect are skipped.
@@ -99,7 +99,7 @@ def confirm(tasks: DataFrame, texts: DataFrame) -> DataFrame:
             wanted: list[tuple[int, int]] = []
             text = rows.column("text").combine_chunks()
             text = text.chunk(0) if isinstance(text, pa.ChunkedArray) else text
-            sets = [s for _, _, data, offsets in slices(text) for s in sketch.shingle_sets(data, offsets)]
+            sets = [s for _, _, data, offsets in slices(text) for s in sketch.shingle_sets(data, offsets, shingle)]
             for rep, partners, s in zip(rows.column("rep").to_pylist(), rows.column("partners").to_pylist(), sets, strict=True):
                 found.setdefault(rep, []).append(s)
                 wanted.extend((rep, p) for p in partners)
@@ -216,7 +216,7 @@ def components(links: DataFrame) -> DataFrame:
     return materialise(roots.join(least, "root").select("rep", F.least("rep", "component").alias("component")))
 
 
-def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _links(docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
     """Components over the class representatives (rep, n, bands) of ``docs`` (rep, text)."""
     rows = classes.select("rep", F.posexplode("bands").alias("band", "value")).where("value <> -1")
     rows = rows.select("rep", "band", F.xxhash64("band", "value").alias("key"))
@@ -229,7 +229,7 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     stars = stars.join(sides, "rep").join(sides.toDF("pivot", "bands_p", "n_p"), "pivot").select(
         "pivot", "rep", "bands_p", "bands", "n_p", "n"
     )
-    first = confirm(star_tasks(stars), docs)
+    first = confirm(star_tasks(stars), docs, shingle)
 
     known = components(first)
     members = members.where("size > 2 and pivot <> rep").join(known, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
@@ -246,14 +246,14 @@ def _links(docs: DataFrame, classes: DataFrame) -> DataFrame:
         F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"),
     )
     placed = one.unionByName(many).join(sides, "rep").select("task", "band", "side", "rep", "n", "bands", "component")
-    second = confirm(near_pairs(placed), docs)
+    second = confirm(near_pairs(placed), docs, shingle)
     return components(first.unionByName(second))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = sketch.SHINGLE) -> DataFrame:
     """All columns, and n_shingles, component_id, kept (a column of such a name is replaced).
 
-    Words are runs without white space, A-Z lower-cased; a set is the distinct runs of four words, or
+    Words are runs without white space, A-Z lower-cased; a set is the distinct runs of ``shingle`` words, or
     all words as one run if there are fewer.  Documents whose sets have a Jaccard similarity of 0.8 or
     more are linked; component_id is the smallest id reached, kept marks it.  Texts without words
     (null, empty) have no set and stay alone.  A row with a null id stays alone, with a null component,
@@ -264,12 +264,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     """
     ids = F.col(f"`{id_col}`")
     long_ids = docs.where(ids.isNotNull()).select(ids.cast("long").alias("rep"), F.col(f"`{text}`").cast("string").alias("text"))
-    signed = materialise(text_results(long_ids, SIGNATURE, lambda: sketch.signatures, carry=["rep"]))
+    signed = materialise(text_results(long_ids, SIGNATURE, lambda: lambda column: sketch.signatures(column, shingle), carry=["rep"]))
     classes = signed.where("n_shingles > 0").groupBy("_high", "_low", F.col("n_shingles").alias("n")).agg(
         F.min("rep").alias("rep"), F.count("*").alias("copies"), F.first("_bands").alias("bands")
     )
     classes = materialise(classes)
-    found = _links(long_ids, classes.select("rep", "n", "bands"))
+    found = _links(long_ids, classes.select("rep", "n", "bands"), shingle)
     groups = classes.select("_high", "_low", "n", "copies", "rep").join(found, "rep", "left")
     groups = materialise(groups.where("copies > 1 or component is not null").select(
         "_high", "_low", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component")

@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near.near_duplicates(table(spark, sf_dir, "documents"))
+    found = near.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 
 from ledgerlight.llm.texts import LOWER, NOT_SPACE, Words, mix, slices
 
-SHINGLE = 4
+SHINGLE = 4                   # words, where nothing else is asked for
 BUCKET_BITS = 7
 BUCKETS = 1 << BUCKET_BITS
 MANTISSA_BITS = 10
@@ -19,15 +19,15 @@ CHANCE = 0.169919487159739093975315012348
 _LOW = np.arange(BUCKETS, dtype=np.uint64) << np.uint64(64 - BUCKET_BITS)
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text; texts of fewer words have one shingle of all of them."""
     words = Words(LOWER[data], offsets, NOT_SPACE)
     hashes = words.hashes()
-    at, value = words.runs(hashes, SHINGLE)
+    at, value = words.runs(hashes, shingle)
     cuts = np.searchsorted(words.text[at], np.arange(len(offsets)))
     sets = []
     for k in range(len(offsets) - 1):
-        if words.counts[k] >= SHINGLE:
+        if words.counts[k] >= shingle:
             sets.append(np.unique(value[cuts[k] : cuts[k + 1]]))
         else:
             whole = np.uint64(words.counts[k])
@@ -63,11 +63,11 @@ def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.n
     return np.maximum(0, equal - chance) / np.maximum(1, either)
 
 
-def signatures(column: pa.Array) -> list:
+def signatures(column: pa.Array, shingle: int = SHINGLE) -> list:
     """n_shingles, two digest words of the set, registers packed into one 64-bit value per band."""
     counts, high, low, packed = [], [], [], []
     for _, _, data, offsets in slices(column):
-        sets = shingle_sets(data, offsets)
+        sets = shingle_sets(data, offsets, shingle)
         for s in sets:
             counts.append(len(s))
             high.append(int(np.add.reduce(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5))).view(np.int64)) if len(s) else 0)

@@ -82,6 +82,18 @@ def test_empty_tables(spark, none):
     assert language.language_predictions(none, language.fit_language(none)).count() == 0
 
 
+def test_near_shingles_of_five_words(spark):
+    import corpus_pipeline
+
+    # One word changed in 44: 37 of 45 runs of four are shared by both (0.82), 35 of 45 of five (0.78).
+    words = [f"w{k}" for k in range(44)]
+    rows = [(1, " ".join(words), "en", "a"), (2, " ".join([*words[:20], "other", *words[21:]]), "en", "a"), (3, " ".join(words) + " end", "en", "a")]
+    df = spark.createDataFrame(rows, DOCS)
+    assert by_id(near.near_duplicates(df), "component_id") == {1: (1,), 2: (1,), 3: (1,)}
+    assert by_id(near.near_duplicates(df, shingle=5), "n_shingles", "component_id") == {1: (40, 1), 2: (40, 2), 3: (41, 1)}
+    assert sorted(r.doc_id for r in corpus_pipeline.near_stage(spark, df, "").collect()) == [1, 2]
+
+
 # 8 mixing -----------------------------------------------------------------------------------------------------
 
 def test_mixing_budgets(docs):
