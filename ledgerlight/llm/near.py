@@ -8,7 +8,9 @@ may reach the threshold are confirmed on full texts in small tasks.  No pairs of
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,7 @@ from ledgerlight.llm.texts import beside, slices, text_results
 from ledgerlight.session import materialise
 
 THRESHOLD = (80, 100)         # 100 * intersection >= 80 * union
-#: A pair is confirmed unless its estimate lies so many standard deviations below the threshold.
-MARGIN = 4.2
+LOST = 1e-6                   # of the pairs at the threshold, so many at most are not confirmed
 BLOCK = 2048                  # members of a bucket estimated against each other in one task
 PART = 256                    # texts on either side of a task that confirms
 BROADCAST_IDS = 1_000_000     # ids up to this many (16 MB) are broadcast, beyond it a shuffle join is used
@@ -39,12 +40,26 @@ def _registers(bands: pa.Array) -> np.ndarray:
     return flat.view(np.uint16).reshape(-1, sketch.BUCKETS)
 
 
+def _least_equal(n: int) -> int:
+    """The most equal registers of n that a pair at the threshold stays below with a probability of LOST at most."""
+    t, below = Fraction(*THRESHOLD), Fraction(0)
+    for k in range(n + 1):
+        below += math.comb(n, k) * t**k * (1 - t) ** (n - k)
+        if below > LOST:
+            return k
+    return n
+
+
+#: By the number of filled registers.
+LEAST_EQUAL = np.array([_least_equal(n) for n in range(sketch.BUCKETS + 1)])
+
+
 def _may_reach(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     most, whole = THRESHOLD
-    t = most / whole
     either = np.maximum(1, ((a != sketch.EMPTY) | (b != sketch.EMPTY)).sum(-1))
     sizes = np.minimum(n, m) * whole >= most * np.maximum(n, m)
-    return sizes & (sketch.estimate(a, b, n, m) >= t - MARGIN * np.sqrt(t * (1 - t) / either))
+    # The estimate is less the equal registers by chance, a small part of one.
+    return sizes & (sketch.estimate(a, b, n, m) * either > LEAST_EQUAL[either] - 0.5)
 
 
 def _linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -260,7 +275,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     and is kept.  Rows that repeat an id are one node and share its component.
 
     Two texts at exactly the threshold miss each other in all bands once in about 20 million, and fall
-    below the margin of the estimate about once in 70,000; above it both shrink fast.
+    below the cut of the estimate once in a million or less (exact binomial); above it both shrink fast.
     """
     ids = F.col(f"`{id_col}`")
     long_ids = docs.where(ids.isNotNull()).select(ids.cast("long").alias("rep"), F.col(f"`{text}`").cast("string").alias("text"))

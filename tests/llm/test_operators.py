@@ -1,6 +1,7 @@
 """The operators against plain restatements, on hand-made rows with every odd case."""
 
 import hashlib
+import math
 import random
 import re
 import string
@@ -82,6 +83,20 @@ def test_empty_tables(spark, none):
     assert language.language_predictions(none, language.fit_language(none)).count() == 0
 
 
+def test_pairs_at_the_threshold_are_confirmed():
+    for filled in (12, 40, 128):
+        a = np.full((filled + 1, sketch.BUCKETS), sketch.EMPTY, np.uint16)
+        a[:, :filled] = 5
+        b = a.copy()
+        for k in range(filled + 1):
+            b[k, k:filled] = 9          # k equal registers
+        size = np.full(filled + 1, 1000)
+        reach = near._may_reach(a, b, size, size)
+        share = [math.comb(filled, k) * 0.8**k * 0.2 ** (filled - k) for k in range(filled + 1)]
+        lost = sum(p for p, r in zip(share, reach, strict=True) if not r)
+        assert lost <= 1e-6 and lost + share[filled - reach.sum() + 1] > 1e-6
+
+
 def test_near_shingles_of_five_words(spark):
     import corpus_pipeline
 
