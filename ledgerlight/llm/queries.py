@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.llm import context_tree, exact, language, leaks, mixing, near, personal, quality, secrets, toxic
+from ledgerlight.llm import context_tree, exact, language, leaks, mixing, near, personal, quality, ranked, secrets, simhash, toxic, whitening
 from ledgerlight.llm.texts import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,7 +71,20 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), carry=["vec_id"])
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_duplicates(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_near_dedup, op2_secrets, op3_lm_scores, op4_decontamination, op5_personal_data, op6_quality, op7_exact_dedup, op8_mixing, op9_toxicity, op10_language)
+    f.__name__: f for f in (op1_near_dedup, op2_secrets, op3_lm_scores, op4_decontamination, op5_personal_data, op6_quality, op7_exact_dedup, op8_mixing, op9_toxicity, op10_language, op11_whitening,
+                                 op12_ranked_search, op13_simhash)
 }
-ORACLES = {"op1_near_dedup": near.SQL, "op4_decontamination": leaks.SQL, "op7_exact_dedup": exact.SQL, "op8_mixing": mixing.SQL}
+ORACLES = {"op1_near_dedup": near.SQL, "op4_decontamination": leaks.SQL, "op7_exact_dedup": exact.SQL, "op8_mixing": mixing.SQL, "op12_ranked_search": ranked.SQL}
