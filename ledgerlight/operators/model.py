@@ -6,17 +6,15 @@ import math
 import random
 from collections.abc import Callable, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlight.operators import boosting
+from ledgerlight.operators.boosting import BoostedTrees, Settings, fit_trees
 from ledgerlight.operators.clean import UNKNOWN
 from ledgerlight.operators.ordered import MAX_ROWS, running_totals
 from ledgerlight.operators.ranks import curve_summary, score_curve
-from ledgerlight.session import materialise, scratch_root
+from ledgerlight.session import materialise
 
 SEED = 42
 TEST_SHARE = 0.2
@@ -25,7 +23,7 @@ UNKNOWN_CODE = -1
 MAX_CLASSES = 1000
 BROADCAST_CODES = 100_000
 # Hyper-parameters of the trees.
-MAX_ITER, MAX_DEPTH, STEP = 300, 6, 0.05
+MAX_ITER, MAX_DEPTH, STEP, L2 = 300, 6, 0.05, 1.0
 
 
 # --- split -------------------------------------------------------------------
@@ -123,38 +121,24 @@ def encoder_values(encoder: DataFrame) -> DataFrame:
 
 def fit_model(
     train: DataFrame, features: Sequence[str], label: str, max_iter: int = MAX_ITER, max_depth: int = MAX_DEPTH,
-    step: float = STEP, fraud_weight: float = FRAUD_WEIGHT, seed: int = SEED,
-) -> PipelineModel:
-    """Boosted trees on the encoded features, frauds weighted up.
+    step: float = STEP, fraud_weight: float = FRAUD_WEIGHT, seed: int = SEED, l2: float = L2, **more,
+) -> BoostedTrees:
+    """Boosted trees on the encoded features, frauds weighted up; nulls and NaN have a branch of their own.
 
-    Nulls in the features count as 0, since the trees have no missing branch.
+    ``more``: further fields of ``boosting.Settings``.
     """
-    scratch_root(train.sparkSession)   # lets the trees cut their lineage
-    rows = train.select(
-        *[F.coalesce(F.col(f).cast("double"), F.lit(0.0)).alias(f) for f in features],
-        F.col(label).cast("double").alias("_label"),
-        F.when(F.col(label) == 1, float(fraud_weight)).otherwise(1.0).alias("_weight"),
-    )
-    trees = GBTClassifier(
-        featuresCol="_features", labelCol="_label", weightCol="_weight", maxIter=max_iter,
-        maxDepth=max_depth, stepSize=step, seed=seed,
-    )
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="_features"), trees]).fit(rows)
+    settings = Settings(max_iter=max_iter, max_depth=max_depth, step=step, l2=l2, **more)
+    weight = F.when(F.col(label) == 1, float(fraud_weight)).otherwise(1.0)
+    return fit_trees(train, features, label, weight, settings, seed)
 
 
-def model_features(model: PipelineModel) -> list[str]:
-    return model.stages[0].getInputCols()
+def model_features(model: BoostedTrees) -> list[str]:
+    return model.features
 
 
-def add_probability(df: DataFrame, model: PipelineModel, score: str = "fraud_proba") -> DataFrame:
+def add_probability(df: DataFrame, model: BoostedTrees, score: str = "fraud_proba") -> DataFrame:
     """Probability of the fraud class; the feature columns of ``df`` stay as they are."""
-    features = model_features(model)
-    kept = {f"_keep_{f}": F.col(f) for f in features}
-    ready = df.withColumns(kept).withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features})
-    scored = model.transform(ready).withColumn(score, vector_to_array("probability")[1])
-    return scored.drop("_features", "rawPrediction", "probability", "prediction").withColumns(
-        {f: F.col(f"_keep_{f}") for f in features}
-    ).drop(*kept)
+    return boosting.add_probability(df, model, score)
 
 
 # --- permutation importance --------------------------------------------------

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.functions import dates as D
 from ledgerlight.functions import scalars as S
 from ledgerlight.operators import clean, quality
+from ledgerlight.operators.boosting import BoostedTrees
 from ledgerlight.operators.model import add_probability, apply_encoder, model_features
 
 SCORE = "fraud_proba"
@@ -45,7 +45,7 @@ def bare_features(rows: DataFrame) -> DataFrame:
     )
 
 
-def model_scorer(model: PipelineModel, encoder: DataFrame, encoded: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+def model_scorer(model: BoostedTrees, encoder: DataFrame, encoded: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
     """Function that adds ``fraud_proba``; the encoder is only applied, never fitted."""
     quality.require_encoder_match(list(encoded), model_features(model))
 

@@ -6,12 +6,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlight.operators import model as M
 from ledgerlight.operators import registry
+from ledgerlight.operators.boosting import BoostedTrees
 from ledgerlight.operators.clean import assert_no_nulls, require_columns
 from ledgerlight.operators.ranks import curve_summary, score_curve
 from ledgerlight.operators.scoring import model_scorer, score_batch
@@ -94,7 +94,7 @@ def to_features(run: Run) -> None:
     assert_no_nulls(run.read("ml", "features_clean"), [*feat.FEATURES, "age", "score_credit", feat.LABEL])
 
 
-def train(run: Run) -> tuple[PipelineModel, DataFrame]:
+def train(run: Run) -> tuple[BoostedTrees, DataFrame]:
     """Split, encode, fit, evaluate; appends the metrics, the version and its alias event.
 
     Each version has its own folders, so a run below the gate leaves the champion as it is.  The
@@ -110,7 +110,7 @@ def train(run: Run) -> tuple[PipelineModel, DataFrame]:
     fitted = M.fit_model(
         M.apply_encoder(train_rows, encoder, feat.CATEGORICAL), feat.FEATURES, feat.LABEL, max_iter=run.max_iter
     )
-    fitted.write().overwrite().save(run.path("ml", f"model/{version}"))
+    fitted.save(run.spark, run.path("ml", f"model/{version}"))
     scored = model_scorer(fitted, encoder, feat.CATEGORICAL)(test_rows)
     summary = curve_summary(score_curve(scored, feat.LABEL, "fraud_proba"))
     run_id = f"{run.at:%Y%m%d%H%M%S}-{version}"
@@ -129,7 +129,7 @@ def to_scores(run: Run) -> None:
     """Score every transaction with the model and encoder of the champion."""
     versions, events = run.history("versions", registry.VERSION_SCHEMA), run.history("events", registry.EVENT_SCHEMA)
     version = registry.resolve_champion(versions, events, MODEL)
-    fitted = PipelineModel.load(run.path("ml", f"model/{version}"))
+    fitted = BoostedTrees.load(run.spark, run.path("ml", f"model/{version}"))
     rows = require_columns(run.read("ml", "features_clean"), feat.FEATURES)
     scorer = model_scorer(fitted, run.read("ml", f"encoder/{version}"), feat.CATEGORICAL)
     run.write(score_batch(rows, scorer, version, run.at, feat.LABEL), "ml", "scores")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -357,25 +358,31 @@ def unknown_categories(spark, sf):
 
 # --- model -------------------------------------------------------------------
 
-def prepared(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Split and written once, since training reads it many times: (train, test)."""
-    clean = feat.clean_features(materialise(features(spark, sf)))
-    parts = materialise(model.stratified_split(clean, feat.KEY, feat.LABEL))
-    return parts.filter("partie = 'train'"), parts.filter("partie = 'test'")
-
-
-def trained(train: DataFrame):
+def trained(train: DataFrame) -> Callable[[DataFrame], DataFrame]:
     encoder = model.fit_encoder(train, feat.CATEGORICAL)
-    rows = model.apply_encoder(train, encoder, feat.CATEGORICAL)
-    fitted = model.fit_model(rows, feat.FEATURES, feat.LABEL)
+    fitted = model.fit_model(model.apply_encoder(train, encoder, feat.CATEGORICAL), feat.FEATURES, feat.LABEL)
     return scoring.model_scorer(fitted, encoder, feat.CATEGORICAL)
 
 
+PREPARED: dict[tuple, tuple] = {}
+
+
+def prepared(spark, sf) -> tuple[DataFrame, DataFrame, Callable[[DataFrame], DataFrame]]:
+    """(train, test, scorer of trees fitted on train), made once per application and table folder."""
+    of = (spark.sparkContext.applicationId, sf)
+    if of not in PREPARED:
+        clean = feat.clean_features(materialise(features(spark, sf)))
+        parts = materialise(model.stratified_split(clean, feat.KEY, feat.LABEL))
+        train, test = parts.filter("partie = 'train'"), parts.filter("partie = 'test'")
+        PREPARED.clear()
+        PREPARED[of] = train, test, trained(train)
+    return PREPARED[of]
+
+
 @query("model_scores")
 def model_scores(spark, sf):
     """Every transaction scored by trees trained on the training part."""
-    train, test = prepared(spark, sf)
-    scorer = trained(train)
+    train, test, scorer = prepared(spark, sf)
     out = scoring.score_batch(train.unionByName(test), scorer, 1, RUN_AT, feat.LABEL)
     return tidy(out.withColumn("fraud_proba", F.round("fraud_proba", 6)))
 
@@ -383,8 +390,8 @@ def model_scores(spark, sf):
 @query("model_run")
 def model_run(spark, sf):
     """Train, score the test part, and return the metrics row with its registry alias."""
-    train, test = prepared(spark, sf)
-    points = ranks.score_curve(trained(train)(test), feat.LABEL, "fraud_proba")
+    train, test, scorer = prepared(spark, sf)
+    points = ranks.score_curve(scorer(test), feat.LABEL, "fraud_proba")
     row = registry.metrics_row(
         ranks.curve_summary(points), "run-1", "fraud_detection_model", train.count(), test.count(), len(feat.FEATURES), RUN_AT
     )
@@ -393,8 +400,8 @@ def model_run(spark, sf):
 
 @query("permutation_importance")
 def permutation_importance(spark, sf):
-    train, test = prepared(spark, sf)
-    out = model.permutation_importance(test, trained(train), feat.FEATURES, feat.KEY, feat.LABEL)
+    _, test, scorer = prepared(spark, sf)
+    out = model.permutation_importance(test, scorer, feat.FEATURES, feat.KEY, feat.LABEL)
     return tidy(model.top_importance(out, len(feat.FEATURES)))
 
 
@@ -498,6 +505,5 @@ def streamed_alerts(spark, sf):
 @query("streamed_model_scores")
 def streamed_model_scores(spark, sf):
     """The stream scored by the trained trees."""
-    train, _ = prepared(spark, sf)
-    out = stream.scored(event_stream(spark, sf), trained(train))
+    out = stream.scored(event_stream(spark, sf), prepared(spark, sf)[2])
     return stream.drain(out.select("transaction_id", F.round("fraud_proba", 6).alias("fraud_proba"), "decision"))
