@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import random
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -143,17 +142,51 @@ def add_probability(df: DataFrame, model: BoostedTrees, score: str = "fraud_prob
 
 # --- permutation importance --------------------------------------------------
 
-def permutation_importance(
-    df: DataFrame, scorer: Callable[[DataFrame], DataFrame], features: Sequence[str], key: str, label: str,
-    score: str = "fraud_proba", repeats: int = 5, sample: int | None = None, seed: int = SEED,
-    max_rows: int = MAX_ROWS,
+ROUNDS = 6
+
+
+def permutation_sides(n: int) -> tuple[int, int]:
+    """Sides a, b of the rectangle with the fewest cells beside the n rows, a among the 64 numbers from the root of n on."""
+    root = math.isqrt(max(n, 1) - 1) + 1
+    return min(((a, -(-n // a)) for a in range(root, root + 64)), key=lambda s: (s[0] * s[1] - n, s[0]))
+
+
+def permuted(i: Column, n: int, key: Column) -> Column:
+    """A random permutation of 0 .. n-1, as an expression: where row ``i`` goes.
+
+    A Feistel network over a rectangle of cells: in turn each coordinate moves by a keyed hash of the other,
+    so every round can be undone.  A cell outside of the rows is sent on until it falls on a row; the cells outside are
+    few and a path never meets one twice, so as many steps are enough.
+    """
+    a, b = permutation_sides(n)
+
+    def move(v: Column, k: Column) -> Column:
+        text = F.concat_ws(":", v.cast("string"), key, k.cast("string"))
+        return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+
+    def one_round(s: Column, k: Column) -> Column:
+        left = F.when(k % 2 == 0, (s["l"] + move(s["r"], k)) % a).otherwise(s["l"])
+        right = F.when(k % 2 == 1, (s["r"] + move(s["l"], k)) % b).otherwise(s["r"])
+        return F.struct(left.alias("l"), right.alias("r"))
+
+    def network(x: Column) -> Column:
+        start = F.struct(F.floor(x / F.lit(b)).cast("long").alias("l"), (x % b).cast("long").alias("r"))
+        return F.aggregate(F.array(*[F.lit(k) for k in range(ROUNDS)]), start, one_round, lambda s: s["l"] * b + s["r"])
+
+    x = network(i.cast("long"))
+    spare = a * b - n
+    return F.aggregate(F.sequence(F.lit(1), F.lit(spare)), x, lambda at, _: F.when(at < n, at).otherwise(network(at))) if spare else x
+
+
+def permuted_rows(
+    df: DataFrame, features: Sequence[str], key: str, label: str, repeats: int = 5, sample: int | None = None,
+    seed: int = SEED, max_rows: int = MAX_ROWS,
 ) -> DataFrame:
-    """Loss of average precision when one feature is shuffled: (feature, importance_mean, importance_std).
+    """(feature, essai, key, label, features...): every row once as it is (feature "") and once for each feature and
+    repeat, that feature taken from another row by a random permutation of its own.
 
-    Rows get a number in hash order; a shuffle is the map ``i -> a*i + b mod n``
-    with ``a`` coprime to ``n``, so every row fetches one value by an equi-join on the number.
-    All shuffles are scored and ranked in one job, beside the unshuffled rows.
-    ``sample`` evaluates a random sample of that many rows instead of all.
+    Rows get a number in hash order and fetch the one value by an equi-join on the number.
+    ``sample`` takes a random sample of that many rows instead of all.
     """
     rows = df.select(*features, F.col(label).alias("_y"), F.col(key).alias("_id")).withColumn("_h", shuffle_key("_id", seed))
     if sample is not None:
@@ -165,28 +198,32 @@ def permutation_importance(
     n = numbered.count()
     if n == 0:
         raise ValueError("no rows to evaluate")
-    rng = random.Random(seed)
-    shuffles = [F.struct(F.lit("").alias("feature"), F.lit(0).alias("essai"), F.col("_i").alias("_from"))]
-    for f in features:
-        for r in range(repeats):
-            # Neither near 0 nor near n, so that neighbours part; n below 3e9 keeps the product a long.
-            a = rng.randrange(n // 4 + 1, 3 * n // 4 + 2)
-            while math.gcd(a, n) != 1:
-                a = rng.randrange(n // 4 + 1, 3 * n // 4 + 2)
-            b = rng.randrange(n)
-            source = F.pmod(F.col("_i") * F.lit(a) + F.lit(b), F.lit(n))
-            shuffles.append(F.struct(F.lit(f).alias("feature"), F.lit(r).alias("essai"), source.alias("_from")))
+    shuffles = [F.struct(F.lit("").alias("feature"), F.lit(0).alias("essai"))]
+    shuffles += [F.struct(F.lit(f).alias("feature"), F.lit(r).alias("essai")) for f in features for r in range(repeats)]
     # Every row becomes 1 + features * repeats rows, so the rows are spread over the tasks first.
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = numbered.repartition(tasks, "_i")
+    each = numbered.repartition(tasks, "_i").withColumn("_s", F.explode(F.array(*shuffles))).select("*", "_s.*").drop("_s")
+    named = F.concat_ws(":", F.lit(str(seed)), "feature", F.col("essai").cast("string"))
     donors = numbered.select(F.col("_i").alias("_from"), *[F.col(f).alias(f"_d_{f}") for f in features])
-    shuffled = (
-        spread.withColumn("_s", F.explode(F.array(*shuffles))).select("*", "_s.*").drop("_s")
+    return (
+        each.withColumn("_from", F.when(F.col("feature") == "", F.col("_i")).otherwise(permuted(F.col("_i"), n, named)))
         .join(donors, "_from")
         .withColumns({f: F.when(F.col("feature") == f, F.col(f"_d_{f}")).otherwise(F.col(f)) for f in features})
-        .select("feature", "essai", "_y", *features)
+        .select("feature", "essai", F.col("_id").alias(key), F.col("_y").alias(label), *features)
     )
-    curve = score_curve(scorer(shuffled), "_y", score, ["feature", "essai"], max_rows)
+
+
+def permutation_importance(
+    df: DataFrame, scorer: Callable[[DataFrame], DataFrame], features: Sequence[str], key: str, label: str,
+    score: str = "fraud_proba", repeats: int = 5, sample: int | None = None, seed: int = SEED,
+    max_rows: int = MAX_ROWS,
+) -> DataFrame:
+    """Loss of average precision when one feature is shuffled: (feature, importance_mean, importance_std).
+
+    All shuffles are scored and ranked in one job, beside the unshuffled rows (see ``permuted_rows``).
+    """
+    shuffled = permuted_rows(df, features, key, label, repeats, sample, seed, max_rows)
+    curve = score_curve(scorer(shuffled), label, score, ["feature", "essai"], max_rows)
     ap = materialise(curve_summary(curve, ["feature", "essai"]).select("feature", "essai", "pr_auc"))
     loss = ap.filter(F.col("feature") == "").select("pr_auc").scalar() - F.col("pr_auc")
     return (

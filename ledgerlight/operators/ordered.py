@@ -246,6 +246,43 @@ def ordered_features(
     return out.drop(SEG, COPY, *values)
 
 
+def time_features(
+    df: DataFrame, keys: Sequence[str], time: str, order: Sequence[str], days: float, frame: dict[str, Column],
+    max_rows: int = MAX_ROWS,
+) -> DataFrame:
+    """Aggregates over the rows of the ``days`` before the current one's time; rows of the same time do not count.
+
+    ``order`` is a total order that begins with ``time``.  A cut group hands every segment the rows of
+    earlier segments that lie within ``days`` of its first row, so segments are windowed alone.  Rows of a null time
+    see each other only, as in SQL.  A group is cut by its rows, whatever its span: where many segments lie within
+    ``days``, a row is copied to each of them.
+    """
+    keys, order, at, span = list(keys), list(order), "_at", int(days * 86_400_000_000)
+    timed = df.withColumn(at, F.unix_micros(F.col(time).cast("timestamp")))
+    windowed = lambda rows, by: rows.withColumns(
+        {n: agg.over(Window.partitionBy(*by).orderBy(at).rangeBetween(-span, -1)) for n, agg in frame.items()}
+    )
+    cut = cut_hot_groups(timed, keys, order, max_rows)
+    if cut.cuts is None:
+        return windowed(timed, keys).drop(at)
+    rows, by = cut.frame.drop(BLOCK, NEAR), [*keys, SEG]
+    hot = cut.frame.filter(F.col(BLOCK).isNotNull() & F.col(at).isNotNull()).drop(BLOCK, NEAR)
+    # At most 2 * MAX_SEGMENTS rows.  The last segment that begins within ``days`` of a segment's end:
+    bounds = materialise(hot.groupBy(*by).agg(F.min(at).alias("_first"), F.max(at).alias("_last")))
+    starts = bounds.select(*keys, SEG, F.col("_first").alias("_p"), F.lit(0).alias("_kind"))
+    ends = bounds.select(*keys, SEG, (F.col("_last") + span).alias("_p"), F.lit(1).alias("_kind"))
+    begun = Window.partitionBy(*keys).orderBy("_p", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reach = (
+        starts.unionByName(ends).withColumn("_reach", F.max(F.when(F.col("_kind") == 0, F.col(SEG))).over(begun))
+        .filter((F.col("_kind") == 1) & (F.col("_reach") > F.col(SEG))).select(*by, "_reach")
+    )
+    later = F.explode(F.sequence(F.col(SEG) + 1, F.col("_reach")))
+    copies = match_small(hot, reach, by, "inner").withColumn(SEG, later).drop("_reach")
+    copies = match_small(copies, bounds.select(*by, "_first"), by, "inner").filter(F.col(at) >= F.col("_first") - span)
+    both = rows.withColumn(COPY, F.lit(False)).unionByName(copies.drop("_first").withColumn(COPY, F.lit(True)))
+    return windowed(both, by).filter(~F.col(COPY)).drop(COPY, SEG, at)
+
+
 def running_totals(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[str, Column], max_rows: int = MAX_ROWS
 ) -> DataFrame:

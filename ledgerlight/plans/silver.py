@@ -11,7 +11,7 @@ from ledgerlight.functions import dates as D
 from ledgerlight.functions import scalars as S
 from ledgerlight.operators import clean, risk
 from ledgerlight.operators.joins import enrich
-from ledgerlight.operators.ordered import MAX_ROWS, ordered_features
+from ledgerlight.operators.ordered import MAX_ROWS, ordered_features, time_features
 
 PREVIOUS_ROWS = 30
 
@@ -65,20 +65,28 @@ def accounts(comptes: DataFrame, as_of: Column | None = None) -> DataFrame:
     )
 
 
-def behaviour(transactions: DataFrame, previous: int = PREVIOUS_ROWS, max_rows: int = MAX_ROWS) -> DataFrame:
-    """What the customer did before: mean, deviation and count of the previous rows, gap, cumulative amount."""
+def behaviour(
+    transactions: DataFrame, previous: int = PREVIOUS_ROWS, max_rows: int = MAX_ROWS, mode: str = "rows"
+) -> DataFrame:
+    """What the customer did before: mean, deviation and count, gap, cumulative amount.
+
+    ``mode``: "rows" looks at the ``previous`` rows, "days" at the rows of the ``previous`` days before.
+    """
+    if mode not in ("rows", "days"):
+        raise ValueError("mode is rows or days")
     order = ["date_transaction", "transaction_id"]
     mean = "montant_moyen_client_30j"
+    frame = {
+        mean: F.avg("montant"),
+        "ecart_type_client_30j": F.stddev("montant"),
+        "nb_transactions_client_30j": F.count("transaction_id"),
+    }
     rows = ordered_features(
-        transactions, ["client_id"], order, previous,
-        frame={
-            mean: F.avg("montant"),
-            "ecart_type_client_30j": F.stddev("montant"),
-            "nb_transactions_client_30j": F.count("transaction_id"),
-        },
-        running={"montant_cumule_client": F.col("montant")},
-        max_rows=max_rows,
+        transactions, ["client_id"], order, previous, frame=frame if mode == "rows" else None,
+        running={"montant_cumule_client": F.col("montant")}, max_rows=max_rows,
     )
+    if mode == "days":
+        rows = time_features(rows, ["client_id"], "date_transaction", order, previous, frame, max_rows)
     rows = clean.fill_defaults(
         rows, {mean: 0.0, "ecart_type_client_30j": 0.0, "nb_transactions_client_30j": 0}
     )

@@ -82,8 +82,6 @@ def test_importance_matches_brute_force(spark):
     df = spark.createDataFrame(rows, "id int, y int, x double")
     got = model.permutation_importance(df, lambda d: d.withColumn("fraud_proba", F.col("x")), ["x"], "id", "y", repeats=3).first()
 
-    numbered = [tuple(r) for r in df.withColumn("h", model.shuffle_key("id")).orderBy("h", "id").select("id", "y", "x").collect()]
-
     def ap(pairs):
         pos = sum(y for y, _ in pairs)
         out = 0.0
@@ -92,19 +90,31 @@ def test_importance_matches_brute_force(spark):
             out += sum(y for y, s in pairs if s == t) / pos * sum(hit) / len(hit)
         return out
 
-    n, gen, losses = len(numbered), random.Random(42), []
-    import math
-    for _ in range(3):
-        a = gen.randrange(n // 4 + 1, 3 * n // 4 + 2)
-        while math.gcd(a, n) != 1:
-            a = gen.randrange(n // 4 + 1, 3 * n // 4 + 2)
-        b = gen.randrange(n)
-        losses.append(ap([(y, x) for _, y, x in numbered]) - ap([(numbered[i][1], numbered[(a * i + b) % n][2]) for i in range(n)]))
+    losses = []
+    for essai in range(3):
+        number = model.permuted(F.col("i"), 40, F.lit(f"42:x:{essai}"))
+        numbered = df.withColumn("h", model.shuffle_key("id")).orderBy("h", "id").select("y", "x").collect()
+        to = [r[0] for r in spark.range(40).select(F.col("id").alias("i")).orderBy("i").select(number).collect()]
+        losses.append(ap([tuple(r) for r in numbered]) - ap([(numbered[i]["y"], numbered[to[i]]["x"]) for i in range(40)]))
     mean = sum(losses) / 3
     assert got["importance_mean"] == pytest.approx(mean)
     assert got["importance_std"] == pytest.approx((sum((v - mean) ** 2 for v in losses) / 3) ** 0.5)
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 40, 97, 1000, 2503])
+def test_permutations_are_bijections(spark, n):
+    a, b = model.permutation_sides(n)
+    assert n <= a * b
+    one, two = (F.lit(k) for k in ("k", "l"))
+    got = spark.range(n).orderBy("id").select(model.permuted(F.col("id"), n, one), model.permuted(F.col("id"), n, two)).collect()
+    first = [r[0] for r in got]
+    assert sorted(first) == list(range(n)) and sorted(r[1] for r in got) == list(range(n))
+    if n >= 1000:
+        steps = {(y - x) % n for x, y in zip(first, first[1:])}
+        assert len(steps) > n / 3 and first != [r[1] for r in got]       # neighbours part, keys differ
+        assert sum(x == y for x, y in enumerate(first)) < 10             # about one fixed point is expected
+
+
 def test_registry(spark):
     versions = spark.createDataFrame(
         [("m", v, f"r{v}", None, None, dt.datetime(2026, 1, v)) for v in (2, 9, 10)],

@@ -101,3 +101,26 @@ def test_latest_and_first_per_key(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "id int, k string, t int, x double")
     assert len(features(df, 10)) == 0
+
+
+@pytest.mark.parametrize("max_rows,days", [(70, 3), (70, 30), (100, 0.5), (10**6, 7)])
+def test_time_frames_equal_brute_force(spark, max_rows, days):
+    data = [(i, k, None if i % 97 == 0 else t / 4, x) for i, k, t, x in rows(8, 700)]
+    at = F.when(F.col("d").isNotNull(), F.timestamp_micros((F.col("d") * 86_400_000_000).cast("long")))
+    df = spark.createDataFrame(data, "id int, k string, d double, x double").withColumn("t", at)
+    got = O.time_features(df, ["k"], "t", ["t", "id"], days, {"mean": F.avg("x"), "n": F.count("id")}, max_rows)
+    assert set(got.columns) == {"id", "k", "d", "x", "t", "mean", "n"}
+    got = {r["id"]: r for r in got.collect()}
+    assert len(got) == len(data)
+    for i, k, d, _ in data:
+        before = [x for _, j, e, x in data if j == k and d is not None and e is not None and d - days <= e < d]
+        if d is not None:
+            assert got[i]["n"] == len(before)
+            assert got[i]["mean"] == (pytest.approx(sum(before) / len(before)) if before else None)
+
+
+def test_time_frames_of_cut_groups_equal_plain_windows(spark):
+    df = spark.createDataFrame(rows(n=1500), "id int, k string, t int, x double").withColumn("t", F.timestamp_seconds(F.col("t") * 40_000))
+    frame = {"mean": F.avg("x"), "dev": F.stddev("x"), "n": F.count("id")}
+    plain, cut = (O.time_features(df, ["k"], "t", ["t", "id"], 4, frame, m).orderBy("id").toPandas() for m in (10**6, 80))
+    pd.testing.assert_frame_equal(plain, cut[plain.columns], check_exact=False, rtol=1e-12)

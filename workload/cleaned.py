@@ -259,6 +259,41 @@ def rolling_behaviour(spark, sf):
     return tidy(out.withColumn("montant_cumule_client", F.round("montant_cumule_client", 2)))
 
 
+def _days_sql(days: int) -> str:
+    return f"""select *, coalesce(avg(montant) over prev, 0.0) as montant_moyen_client_30j,
+        coalesce(stddev_samp(montant) over prev, 0.0) as ecart_type_client_30j, count(transaction_id) over prev as nb_transactions_client_30j
+        from transactions window prev as (partition by client_id order by date_transaction
+            range between interval {days} day preceding and interval 1 microsecond preceding)"""
+
+
+def _by_days(spark, sf, days: int):
+    narrow = bank(spark, sf, "transactions").select("transaction_id", "client_id", "date_transaction", "montant")
+    out = silver.behaviour(narrow, days, mode="days").drop("date_transaction", "montant", "montant_cumule_client")
+    return tidy(out, 4)
+
+
+@query(
+    "rolling_behaviour_days",
+    f"""select transaction_id, client_id, {rs('montant_moyen_client_30j', 'ecart_type_client_30j', digits=4)}, nb_transactions_client_30j,
+        {r('case when montant_moyen_client_30j <> 0 then (montant - montant_moyen_client_30j) / montant_moyen_client_30j else 0.0 end', 'ecart_relatif_montant', 4)}
+        from ({_days_sql(30)})""",
+)
+def rolling_behaviour_days(spark, sf):
+    """The same features over the 30 days before, as their names promise."""
+    return _by_days(spark, sf, 30)
+
+
+@query(
+    "yearly_behaviour",
+    f"""select transaction_id, client_id, {rs('montant_moyen_client_30j', 'ecart_type_client_30j', digits=4)}, nb_transactions_client_30j,
+        {r('case when montant_moyen_client_30j <> 0 then (montant - montant_moyen_client_30j) / montant_moyen_client_30j else 0.0 end', 'ecart_relatif_montant', 4)}
+        from ({_days_sql(365)})""",
+)
+def yearly_behaviour(spark, sf):
+    """The same features over the year before."""
+    return _by_days(spark, sf, 365)
+
+
 @query(
     "silver_transactions",
     f"""select transaction_id, compte_id, client_id, agence_id, {ts('date_transaction')}, compte_touche, sens_operation,

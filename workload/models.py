@@ -405,6 +405,30 @@ def permutation_importance(spark, sf):
     return tidy(model.top_importance(out, len(feat.FEATURES)))
 
 
+@query(
+    "permuted_rows",
+    f"""select s.essai, s.transaction_id, {r('d.montant', 'montant')} from (
+        with recursive numbered as (select transaction_id, row_number() over (order by md5(transaction_id::varchar || ':42'), transaction_id) - 1 as i from transactions),
+        sides as (select a, cast(ceil(n::double / a) as bigint) as b, n from (
+            select unnest(range(root, root + 64)) as a, n from (select count(*) as n, cast(ceil(sqrt(count(*))) as bigint) as root from numbered))
+            order by a * cast(ceil(n::double / a) as bigint) - n, a limit 1),
+        walk as (
+            select essai, transaction_id, i // b as l, i % b as r, 0 as k from numbered, sides, (select unnest([0, 1, 2]) as essai)
+            union all
+            select essai, transaction_id,
+                case when k % 2 = 0 then (l + ('0x' || substr(md5(r || ':42:montant:' || essai || ':' || (k % 6)), 1, 8))::bigint) % a else l end,
+                case when k % 2 = 1 then (r + ('0x' || substr(md5(l || ':42:montant:' || essai || ':' || (k % 6)), 1, 8))::bigint) % b else r end,
+                k % 6 + 1 from walk, sides where k < 6 or l * b + r >= n
+        ) select essai, transaction_id, l * b + r as i from walk, sides where k = 6 and l * b + r < n) s
+        join (select montant, row_number() over (order by md5(transaction_id::varchar || ':42'), transaction_id) - 1 as i from transactions) d on d.i = s.i""",
+)
+def permuted_rows(spark, sf):
+    """The amounts that permutation importance gives the rows, three times over."""
+    rows = bank(spark, sf, "transactions").select("transaction_id", "fraud_flag", "montant")
+    out = model.permuted_rows(rows, ["montant"], "transaction_id", "fraud_flag", repeats=3)
+    return tidy(out.filter("feature <> ''").select("essai", "transaction_id", "montant"))
+
+
 # --- registry ----------------------------------------------------------------
 
 VIEWS["evenements"] = """
