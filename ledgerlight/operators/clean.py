@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlight.functions.dates import DEFAULT_HOUR, lenient_hour
 from ledgerlight.operators.ordered import MAX_ROWS, first_per_key
 from ledgerlight.operators.ranks import exact_medians
+from ledgerlight.operators.sketches import approximate_quantiles
 
 # Category texts for missing values.
 NOT_APPLICABLE = "Non_applicable"
@@ -48,23 +49,29 @@ def fill_defaults(df: DataFrame, values: dict) -> DataFrame:
     return df.fillna(values)
 
 
-def median_values(df: DataFrame, columns: Sequence[str], max_rows: int = MAX_ROWS) -> dict[str, float]:
-    """Exact medians of several columns from one pass; a column of nulls is missing."""
-    rows = exact_medians(df, columns, max_rows=max_rows).collect()   # one row per column
+def median_values(
+    df: DataFrame, columns: Sequence[str], max_rows: int = MAX_ROWS, approximate: bool = False
+) -> dict[str, float]:
+    """Medians of several columns from one pass; a column of nulls is missing.
+
+    ``approximate`` takes them from sketches: no shuffle by value, a rank error of ``sketches.RANK_ERROR``.
+    """
+    found = approximate_quantiles(df, columns, {"mediane": 0.5}) if approximate else exact_medians(df, columns, max_rows=max_rows)
+    rows = found.collect()   # one row per column
     return {row["variable"]: row["mediane"] for row in rows}
 
 
 def impute_medians(
     df: DataFrame, columns: Sequence[str], indicators: dict[str, str] | None = None, fit_on: DataFrame | None = None,
-    max_rows: int = MAX_ROWS,
+    max_rows: int = MAX_ROWS, approximate: bool = False,
 ) -> DataFrame:
-    """Fill nulls with exact medians; ``indicators`` names a 0/1 column per column that gets one.
+    """Fill nulls with exact (or ``approximate``) medians; ``indicators`` names a 0/1 column per column that gets one.
 
     ``fit_on`` takes the medians from other rows (the training part) so that
     the test part does not leak into them.  The columns become doubles whether
     or not they hold nulls, so the schema does not depend on the data.
     """
-    middle = median_values(df if fit_on is None else fit_on, columns, max_rows)
+    middle = median_values(df if fit_on is None else fit_on, columns, max_rows, approximate)
     flags = {flag: F.col(c).isNull().cast("int") for c, flag in (indicators or {}).items()}
     fills = {
         c: F.coalesce(F.col(c).cast("double"), F.lit(middle.get(c)).cast("double")) for c in columns

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -14,7 +15,7 @@ from pyspark.sql.types import DoubleType
 
 from ledgerlight.functions.scalars import KEEP, effect_decision, effect_label
 from ledgerlight.operators.ordered import MAX_ROWS
-from ledgerlight.operators.ranks import class_counts, rank_sums
+from ledgerlight.operators.ranks import class_counts, long_form, rank_sums
 from ledgerlight.session import materialise
 
 
@@ -89,11 +90,42 @@ def correlation_pairs(df: DataFrame, features: Sequence[str]) -> DataFrame:
     ).orderBy(F.abs("correlation").desc_nulls_last(), "variable_1", "variable_2")
 
 
+RANK_TOLERANCE = 1e-12
+
+
+def pivoted_cholesky(unit: np.ndarray, tolerance: float = RANK_TOLERANCE) -> tuple[np.ndarray, list[int]]:
+    """(lower factor in pivot order, pivots) of a positive semi-definite matrix with ones on its diagonal.
+
+    The largest remaining diagonal entry leads; the factor ends where that is below the tolerance, so the
+    number of pivots is the numerical rank.
+    """
+    k = len(unit)
+    rest, order, rows = np.diag(unit).copy(), list(range(k)), np.zeros((k, k))
+    for step in range(k):
+        lead = max(range(step, k), key=lambda i: rest[order[i]])
+        if rest[order[lead]] <= tolerance:
+            return rows[order][:step, :step], order[:step]
+        order[step], order[lead] = order[lead], order[step]
+        p = order[step]
+        rows[p, step] = math.sqrt(rest[p])
+        for q in order[step + 1 :]:
+            rows[q, step] = (unit[q, p] - rows[q, :step] @ rows[p, :step]) / rows[p, step]
+            rest[q] -= rows[q, step] ** 2
+    return rows[order], order
+
+
+def _spanned(unit: np.ndarray, pivots: list[int], i: int) -> bool:
+    """Whether column i is a combination of the other columns that all pivots but it span."""
+    others = [p for p in range(len(unit)) if p != i]
+    return len(pivoted_cholesky(unit[np.ix_(others, others)])[1]) == len(pivots)
+
+
 def variance_inflation(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """VIF without intercept: ``G[i,i] * inv(G)[i,i]`` of the Gram matrix G.
 
-    The sums run on Spark in one pass; only the small matrix is inverted on
-    the driver.  Nulls count as 0.  A singular matrix gives an infinite VIF.
+    The sums run on Spark in one pass; only the small matrix is factored on the driver.  Nulls count as 0.
+    The rank is decided by a pivoted Cholesky factor of the matrix scaled to ones on its diagonal: a feature that is a combination
+    of others has an infinite VIF, the rest theirs among a set of independent features; a feature of zeros has 1.
     """
     k = len(features)
     x = {f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features}
@@ -102,13 +134,19 @@ def variance_inflation(df: DataFrame, features: Sequence[str]) -> DataFrame:
     gram = np.zeros((k, k))
     for i, j in cells:
         gram[i, j] = gram[j, i] = sums[f"g_{i}_{j}"] or 0.0
-    scale = np.sqrt(np.diag(gram))
-    scale[scale == 0] = 1.0
-    unit = gram / np.outer(scale, scale)
-    try:
-        vif = np.diag(unit) * np.diag(np.linalg.inv(unit))
-    except np.linalg.LinAlgError:
-        vif = np.full(k, math.inf)
+    some = [i for i in range(k) if gram[i, i] > 0]
+    vif = np.ones(k)
+    if some:
+        scale = np.sqrt(np.diag(gram)[some])
+        unit = gram[np.ix_(some, some)] / np.outer(scale, scale)
+        factor, pivots = pivoted_cholesky(unit)
+        inverse = np.linalg.inv(factor)
+        for at, p in enumerate(pivots):
+            vif[some[p]] = float(np.square(inverse[:, at]).sum())
+        if len(pivots) < len(some):
+            for i in range(len(some)):
+                if i not in pivots or _spanned(unit, pivots, i):
+                    vif[some[i]] = math.inf
     return df.sparkSession.createDataFrame(
         [(f, float(v)) for f, v in zip(features, vif)], "variable string, vif double"
     ).orderBy(F.desc("vif"), "variable")
@@ -138,6 +176,53 @@ def mann_whitney(df: DataFrame, features: Sequence[str], label: str, max_rows: i
     )
 
 
+#: Classes up to this size are tested exactly.
+SMALL_CLASS = 20
+
+
+def exact_rank_tests(df: DataFrame, features: Sequence[str], label: str, by: Sequence[str] = (), most: int = SMALL_CLASS) -> DataFrame:
+    """(by..., variable, n1, n0, u, p_value) of features and groups whose classes both have 1 to ``most`` rows.
+
+    The two-sided p-value is the share of all ways to choose the positive rows whose rank sum is at least as far from its
+    mean; ties share their middle rank.  The ways are counted value by value: a table by rows chosen and rank sum (in
+    halves), which takes at most ``most`` times 2 * most * (2 * most + 1) numbers, whatever the number of ways.
+    """
+    by = list(by)
+    counts = (
+        long_form(df.filter(F.col(label).isNotNull()), features, [*by, F.col(label).alias("_y")])
+        .groupBy(*by, "variable", "value").agg(*class_counts(F.col("_y")))
+    )
+    # Groups beyond the size leave before their rows are gathered; the rest have 2 * most rows at most.
+    sizes = counts.groupBy(*by, "variable").agg(F.sum("pos").alias("n1"), F.sum("neg").alias("n0"))
+    small = sizes.filter(F.col("n1").between(1, most) & F.col("n0").between(1, most))
+    small = small.withColumnsRenamed({c: f"_k_{c}" for c in [*by, "variable"]})
+    same = reduce(lambda a, b: a & b, [counts[c].eqNullSafe(small[f"_k_{c}"]) for c in [*by, "variable"]])
+    rows = counts.join(small, same).select(*by, "variable", "n1", "n0", F.struct("value", "pos", "neg").alias("cell"))
+    cells = rows.groupBy(*by, "variable", "n1", "n0").agg(F.sort_array(F.collect_list("cell")).alias("cells"))
+
+    def test(tables: pd.Series) -> pd.DataFrame:
+        out = []
+        for table in tables:
+            pos = np.array([c["pos"] for c in table])
+            size = pos + np.array([c["neg"] for c in table])
+            n1, n = int(pos.sum()), int(size.sum())
+            rank2 = 2 * (np.cumsum(size) - size) + size + 1            # twice the middle rank
+            ways = np.zeros((n1 + 1, n * (n + 1) + 1))
+            ways[0, 0] = 1.0
+            for t, r in zip(size.tolist(), rank2.tolist()):
+                before, ways = ways, ways.copy()
+                for j in range(1, min(t, n1) + 1):
+                    ways[j:, j * r :] += math.comb(t, j) * before[: n1 + 1 - j, : ways.shape[1] - j * r]
+            seen = float((pos * rank2).sum())
+            mean = n1 * (n + 1)
+            far = np.abs(np.arange(ways.shape[1]) - mean) >= abs(seen - mean)
+            out.append((seen / 2 - n1 * (n1 + 1) / 2, ways[n1, far].sum() / math.comb(n, n1)))
+        return pd.DataFrame(out, columns=["u", "p_value"])
+
+    tested = F.pandas_udf(test, "u double, p_value double")("cells")
+    return cells.select(*by, "variable", "n1", "n0", tested.alias("t")).select(*by, "variable", "n1", "n0", "t.*")
+
+
 def contingency(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
     """(variable, modalite, pos, neg) for every column in one pass; null categories left out."""
     pairs = [F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("modalite")) for c in columns]
@@ -204,8 +289,14 @@ def adjusted_p(tests: DataFrame, p: str = "p_value", key: str = "variable") -> D
 def feature_verdicts(
     df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], label: str, max_rows: int = MAX_ROWS
 ) -> DataFrame:
-    """Both families of tests, adjusted together, with effect label and keep/drop verdict."""
+    """Both families of tests, adjusted together, with effect label and keep/drop verdict.
+
+    Rank tests of classes up to SMALL_CLASS rows have exact p-values.
+    """
     num = mann_whitney(df, numeric, label, max_rows).withColumn("p_value", two_sided_normal("z"))
+    if num.filter((F.col("n1") <= SMALL_CLASS) & (F.col("n0") <= SMALL_CLASS)).limit(1).count():
+        exact = exact_rank_tests(df, numeric, label).select("variable", F.col("p_value").alias("_exact"))
+        num = num.join(exact, "variable", "left").withColumn("p_value", F.coalesce("_exact", "p_value")).drop("_exact")
     cat = chi_square(df, categorical, label).withColumn("p_value", chi2_tail("chi2", "dof"))
     cols = ["variable", "type", "p_value", "taille_effet"]
     tests = num.select(cols).unionByName(cat.select(cols))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlight.functions import dates as D
-from ledgerlight.operators import alerts, joins, profile, quality, risk, scoring
+from ledgerlight.operators import alerts, joins, profile, quality, risk, scoring, sketches
 from ledgerlight.operators.ordered import latest_n
 from ledgerlight.plans import features as feat
 from ledgerlight.plans import silver, star
@@ -210,6 +212,44 @@ PROFILED = (
 )
 
 
+QUARTS = {"q25": 0.25, "mediane": 0.5, "q75": 0.75}
+
+
+@query(
+    "approximate_quartiles",
+    " union all ".join(
+        f"select '{c}' as variable, count({c}) as nombre, true as q25, true as mediane, true as q75 from feature_rows"
+        for c in feat.STUDIED_NUMERIC
+    ),
+)
+def approximate_quartiles(spark, sf):
+    """Quartiles merged from monthly sketches: are their ranks within the error that the sketch promises?"""
+    rows = materialise(features(spark, sf).select("date_transaction", *feat.STUDIED_NUMERIC))
+    monthly = sketches.quantile_sketches(rows, feat.STUDIED_NUMERIC, [F.date_trunc("month", "date_transaction").alias("mois")])
+    found = materialise(sketches.sketched_quantiles(monthly, QUARTS))
+    gaps = sketches.rank_gaps(rows, found, QUARTS)
+    return gaps.select("variable", "nombre", *[(F.col(q) <= sketches.RANK_ERROR).alias(q) for q in QUARTS])
+
+
+KEYS = ("transaction_id", "client_id", "agence_id", "compte_source_id", "device_id")
+
+
+@query(
+    "approximate_key_counts",
+    " union all ".join(
+        f"select '{c}' as variable, count(*) as lignes, count(distinct {c}) as distincts, true as dans_la_borne from transactions" for c in KEYS
+    ),
+)
+def approximate_key_counts(spark, sf):
+    """Distinct keys merged from monthly sketches beside the exact counts, and whether the error is in its bound."""
+    rows = bank(spark, sf, "transactions")
+    monthly = sketches.distinct_sketches(rows, KEYS, [F.date_trunc("month", "date_transaction").alias("mois")])
+    about = sketches.sketched_distincts(monthly).withColumnRenamed("distincts", "estimes")
+    exact = reduce(DataFrame.unionByName, [profile.key_uniqueness(rows, c).select(F.lit(c).alias("variable"), "distincts") for c in KEYS])
+    close = F.abs(F.col("estimes") - F.col("distincts")) <= F.greatest(F.lit(1.0), F.col("distincts") * sketches.DISTINCT_ERROR)
+    return about.join(exact, "variable").select("variable", "lignes", "distincts", close.alias("dans_la_borne"))
+
+
 @query(
     "null_profile",
     " union all ".join(

@@ -59,7 +59,21 @@ def variance_inflation(spark, sf):
     return tidy(stats.variance_inflation(given(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice", "l_partkey"]), 4)
 
 
-@query("variance_inflation_all_features")
+K9 = "[1, 2, 3, 4, 5, 6, 7, 8, 9]"
+VIEWS["sommes_croisees"] = "select " + ", ".join(
+    f"sum(coalesce(cast({a} as double), 0) * coalesce(cast({b} as double), 0)) as g{i}_{j}" for i, a in enumerate(feat.NUMERIC, 1) for j, b in enumerate(feat.NUMERIC, 1)
+) + " from feature_rows"
+
+
+@query(
+    "variance_inflation_all_features",
+    f"""select * from (with recursive balaye as (
+        select 1 as k, [[unites[i][j] for j in {K9}] for i in {K9}] as a from (select [{', '.join('[' + ', '.join(f'g{i}_{j} / sqrt(g{i}_{i} * g{j}_{j})' for j in range(1, 10)) + ']' for i in range(1, 10))}] as unites from sommes_croisees)
+        union all
+        select k + 1, [[case when i = k and j = k then 1 / a[k][k] when i = k then a[k][j] / a[k][k] when j = k then -a[i][k] / a[k][k]
+            else a[i][j] - a[i][k] * a[k][j] / a[k][k] end for j in {K9}] for i in {K9}] from balaye where k <= 9
+    ) select [{', '.join(f"'{c}'" for c in feat.NUMERIC)}][i] as variable, {r('a[i][i]', 'vif', 4)} from balaye, (select unnest({K9}) as i) where k = 10)""",
+)
 def variance_inflation_all_features(spark, sf):
     return tidy(stats.variance_inflation(features(spark, sf), feat.NUMERIC), 4)
 
@@ -87,6 +101,33 @@ def mann_whitney(spark, sf):
     return tidy(stats.mann_whitney(features(spark, sf), STUDIED, "fraud_flag"))
 
 
+VIEWS["par_client"] = """
+    select client_id, transaction_id, fraud_flag as y, 2 * rank() over v + count(*) over (partition by client_id, montant) - 1 as r2,
+        row_number() over (partition by client_id order by montant, transaction_id) as pos, count(*) over c as n, sum(fraud_flag) over c as n1
+    from transactions where montant is not null and fraud_flag is not null
+    window v as (partition by client_id order by montant), c as (partition by client_id)
+"""
+
+
+@query(
+    "exact_rank_tests",
+    f"""select * from (with recursive petits as materialized (select * from par_client where n1 between 1 and 20 and n - n1 between 1 and 20),
+        facons as (
+            select client_id, 0::bigint as pos, 0::bigint as k, 0::bigint as s, 1.0::double as ways from (select distinct client_id from petits)
+            union all
+            select f.client_id, f.pos + 1, f.k + j, f.s + j * p.r2, sum(ways) from facons f join petits p on p.client_id = f.client_id and p.pos = f.pos + 1,
+                (select unnest([0, 1]::bigint[]) as j) where f.k + j <= p.n1 group by all
+        ), vus as (select client_id, any_value(n1)::bigint as n1, any_value(n)::bigint as n, sum(y * r2)::bigint as seen from petits group by 1)
+        select f.client_id, 'montant' as variable, n1, n - n1 as n0, {r('any_value(seen) / 2.0 - n1 * (n1 + 1) / 2.0', 'u', 1)},
+            {r('sum(case when abs(s - n1 * (n + 1)) >= abs(seen - n1 * (n + 1)) then ways else 0 end) / sum(ways)', 'p_value')}
+        from facons f join vus v on v.client_id = f.client_id and f.pos = v.n and f.k = v.n1 group by f.client_id, n1, n)""",
+)
+def exact_rank_tests(spark, sf):
+    """Do a customer's frauds have other amounts than the rest?  One exact test per customer with both."""
+    rows = bank(spark, sf, "transactions").select("client_id", "montant", "fraud_flag")
+    return tidy(stats.exact_rank_tests(rows, ["montant"], "fraud_flag", ["client_id"]))
+
+
 @query("univariate_auc", f"select variable, {r('u / (cast(n1 as double) * n0)', 'auc')} from rangs")
 def univariate_auc(spark, sf):
     return tidy(ranks.univariate_auc(features(spark, sf), STUDIED, "fraud_flag"))
