@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerlight.functions import scalars as S
 from ledgerlight.operators.ordered import latest_n, spread_join
+from ledgerlight.sources.tables import append_once
 
 # Actions on alerts.
 READ, READ_ALL, DELETED = "lu", "tout_lu", "supprime"
@@ -34,6 +35,25 @@ def fraud_alerts(
     )
 
 
+# --- appends: every event once, however often its lot is delivered ----------
+
+def append_alerts(alerts: DataFrame, path: str, lot: str) -> None:
+    append_once(alerts, path, lot, ["alert_id"], "created_at")
+
+
+def append_states(states: DataFrame, path: str, lot: str) -> None:
+    """Read, read-all and delete actions, known by all their parts."""
+    append_once(states, path, lot, ["alert_id", "user_id", "action", "at"], "at")
+
+
+def append_audit(audit: DataFrame, path: str, lot: str) -> None:
+    append_once(audit, path, lot, ["log_id"], "created_at")
+
+
+def append_imports(imports: DataFrame, path: str, lot: str) -> None:
+    append_once(imports, path, lot, ["import_id"], "created_at")
+
+
 def fold_states(alerts: DataFrame, states: DataFrame) -> DataFrame:
     """Alerts not deleted, with ``lu`` 0/1.
 
@@ -64,9 +84,14 @@ def unread_counts(folded: DataFrame) -> DataFrame:
     return folded.groupBy("user_id").agg(F.count_if(F.col("lu") == 0).alias("non_lues"))
 
 
-def latest_alerts(folded: DataFrame, limit: int = ALERT_LIMIT, unread_only: bool = False, user=None) -> DataFrame:
-    """Newest alerts per user, by time and then id."""
+def latest_alerts(
+    folded: DataFrame, limit: int = ALERT_LIMIT, unread_only: bool = False, user=None, decision: str | None = None,
+    level: str | None = None,
+) -> DataFrame:
+    """Newest alerts per user, by time and then id; of one user, decision or risk level if given."""
     rows = folded if user is None else folded.filter(F.col("user_id") == user)
+    rows = rows if decision is None else rows.filter(F.col("decision") == decision)
+    rows = rows if level is None else rows.filter(F.col("niveau_risque") == level)
     rows = rows.filter(F.col("lu") == 0) if unread_only else rows
     return latest_n(rows, ["user_id"], ["created_at", "alert_id"], limit)
 

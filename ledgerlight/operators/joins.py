@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.operators.ordered import latest_per_key
+from ledgerlight.operators.ordered import latest_per_key, running_totals
+from ledgerlight.session import materialise
 
 
 def enrich(facts: DataFrame, side: DataFrame, key: str, columns: Sequence[str], right_key: str | None = None) -> DataFrame:
@@ -84,6 +86,57 @@ def range_lookup(col: Column | str, bands: Sequence[tuple], field: int) -> Colum
     return out.otherwise(F.lit(bands[0][field]))
 
 
+MAX_BLOCK = 4_096            # bands of one block, and blocks that are searched in one array
+
+
+def band_join(
+    facts: DataFrame, value: str, bands: DataFrame, low: str, high: str, columns: Sequence[str], block: int = MAX_BLOCK
+) -> DataFrame:
+    """Left join of the band that holds ``value``: the one with the greatest ``low`` at or below it, if its ``high`` reaches it.
+
+    Bands come from a table and may have gaps; where they overlap, the later start wins, and of equal starts the greater
+    ``high``.  Null values and values in a gap get nulls.  A null ``low`` is no band; a null ``high`` has no end.
+
+    Up to ``block`` bands are one sorted array, which every task searches by halving: no shuffle of the facts.
+    More bands are cut into blocks of about that size by their starts; the facts find their block in the
+    array of block starts and meet the block's array in an equi-join, so no row is paired with more than one block.
+    More than ``block`` blocks are searched in larger blocks.
+    """
+    rows = bands.filter(F.col(low).isNotNull()).select(
+        F.col(low).alias("low"), F.struct(F.col(high).isNull().alias("open"), F.col(high).alias("high"), *[F.col(c).alias(f"_b_{c}") for c in columns]).alias("own")
+    )
+    # One band per start; open ends sort last.
+    rows = materialise(rows.groupBy("low").agg(F.max("own").alias("own")).select("low", "own.*"))
+    n = rows.count()
+    at = F.col(value)
+    if n <= block:
+        packed = rows.agg(F.sort_array(F.collect_list(F.struct("low", "open", "high", *[f"_b_{c}" for c in columns]))).alias("_bands"))
+        met, longest = facts.crossJoin(F.broadcast(packed)), max(n, 1)   # one row
+    else:
+        size = max(block, math.ceil(n / block))
+        # Starts at even steps of the order, from counted ranks; bands are as many as distinct starts.
+        ranked = running_totals(rows.withColumn("_all", F.lit(0)), ["_all"], ["low"], {"_n": F.lit(1)})
+        cut = ranked.withColumn("_block", F.floor((F.col("_n") - 1) / size).cast("int"))
+        blocks = materialise(
+            cut.groupBy("_block").agg(F.sort_array(F.collect_list(F.struct("low", "open", "high", *[f"_b_{c}" for c in columns]))).alias("_bands"))
+        )
+        starts = blocks.agg(F.sort_array(F.collect_list(F.struct(F.col("_bands")[0]["low"].alias("low")))).alias("_starts"))
+        found = facts.crossJoin(F.broadcast(starts))                     # one row of at most ``block`` starts
+        found = found.withColumn("_block", _last_start("_starts", at, math.ceil(n / size))).drop("_starts")
+        met, longest = found.join(blocks, "_block", "left").drop("_block"), size
+    own = F.get("_bands", _last_start("_bands", at, longest))
+    inside = own["open"] | (at <= own["high"])
+    met = met.withColumn("_own", F.when(inside, own))
+    return met.select(*facts.columns, *[F.col("_own")[f"_b_{c}"].alias(c) for c in columns])
+
+
+def _last_start(array: str, at: Column, longest: int) -> Column:
+    """Index of the last element whose ``low`` is at or below ``at`` in a sorted array of at most ``longest``; -1: none."""
+    steps = F.array(*[F.lit(1 << power) for power in reversed(range(longest.bit_length()))])
+    below = lambda k, step: F.get(array, k + step - 1)["low"] <= at
+    return F.aggregate(steps, F.lit(0), lambda k, step: k + F.when(below(k, step), step).otherwise(0)) - 1
+
+
 def latest_join(facts: DataFrame, versions: DataFrame, key: str, newest: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Left join of the newest version per key, so the join never adds rows."""
     needed = list(dict.fromkeys([key, *newest, *columns]))

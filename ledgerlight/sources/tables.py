@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ledgerlight.session import materialise
 from ledgerlight.sources.schemas import schema_of
@@ -76,7 +78,7 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def read_history_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_history_or_empty(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """The same, or an empty table before the first row is written."""
     try:
         return read_history(spark, path)
@@ -96,21 +98,97 @@ def with_month_partition(df: DataFrame, time_col: str) -> DataFrame:
     return df.withColumn("annee", F.year(time_col)).withColumn("mois", F.month(time_col))
 
 
-def write_monthly(df: DataFrame, path: str, time_col: str) -> None:
-    """Overwrite only the (annee, mois) partitions present in ``df``.
+#: Beside the data of a monthly table: its schemas, one row of text each.
+SCHEMAS = "_schemas"
+#: Types that one column may have in different months, and the type it is read with.
+WIDER = {("int", "bigint"): "bigint", ("float", "double"): "double", ("int", "double"): "double"}
+
+
+def write_monthly(df: DataFrame, path: str, time_col: str, whole: bool = False) -> None:
+    """Overwrite only the (annee, mois) partitions present in ``df``; with ``whole`` all, and the schemas as well.
 
     The rebalance hint gathers each month into few files and lets AQE split a
     month that is far larger than the rest, which a plain repartition on the
     two columns would put into one task.
+
+    Months may differ in columns: the schema of each write is kept beside the data, and ``read_monthly``
+    reads all months by all of them.  A column whose type changed to one that does not hold the old values is refused,
+    unless the whole table is overwritten.
     """
-    (
-        with_month_partition(df, time_col)
-        .hint("rebalance", "annee", "mois")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("annee", "mois")
-        .parquet(path)
-    )
+    spark, schema = df.sparkSession, df.schema
+    known = [] if whole else _kept_schemas(spark, path)
+    merged_schema([*known, schema])
+    if whole:
+        with_month_partition(df, time_col).hint("rebalance", "annee", "mois").write.mode("overwrite").partitionBy("annee", "mois").parquet(path)
+    # The schema comes before the months that need it; without its months it only adds nulls.
+    if schema not in known:
+        text = spark.createDataFrame([(len(known), schema.json())], "version int, schema string")
+        text.coalesce(1).write.mode("append").parquet(f"{path}/{SCHEMAS}")
+    if not whole:
+        (
+            with_month_partition(df, time_col)
+            .hint("rebalance", "annee", "mois")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("annee", "mois")
+            .parquet(path)
+        )
+
+
+def _kept_schemas(spark: SparkSession, path: str) -> list[StructType]:
+    rows = read_history_or_empty(spark, f"{path}/{SCHEMAS}", "version int, schema string").orderBy("version", "schema").collect()
+    return [StructType.fromJson(json.loads(r["schema"])) for r in rows]
+
+
+def merged_schema(schemas: Sequence[StructType]) -> StructType:
+    """All columns of the schemas in the order they came, each with the widest of its types."""
+    types: dict[str, StructField] = {}
+    for f in (f for s in schemas for f in s.fields):
+        seen = types.get(f.name)
+        wide = f.dataType
+        if seen is not None and seen.dataType != f.dataType:
+            pair = (seen.dataType.simpleString(), f.dataType.simpleString())
+            name = WIDER.get(pair) or WIDER.get(pair[::-1])
+            if name is None:
+                raise ValueError(f"column {f.name} was {pair[0]} and is {pair[1]}: overwrite the whole table")
+            wide = seen.dataType if name == pair[0] else f.dataType
+        types[f.name] = StructField(f.name, wide)
+    return StructType(list(types.values()))
+
+
+def read_monthly(spark: SparkSession, path: str) -> DataFrame:
+    """A monthly table with the columns of all its writes; null in months that were written without one."""
+    kept = _kept_schemas(spark, path)
+    if not kept:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    return spark.read.schema(merged_schema(kept).add("annee", IntegerType()).add("mois", IntegerType())).parquet(path)
+
+
+def append_once(df: DataFrame, path: str, lot: str, key: Sequence[str], time_col: str) -> None:
+    """Append the events of one lot, each once, in folders by day and lot.
+
+    A lot that comes again replaces its own folders, so a repeated run changes nothing.  Events whose key an
+    earlier lot has already delivered are left out; only the days of the new events are read for that, since an event that
+    comes twice has the same time.  Of events with one key in the lot one stays.  Null parts of a key are
+    equal to each other.
+    """
+    spark, key = df.sparkSession, list(key)
+    rows = materialise(df.dropDuplicates(key).withColumn("jour", F.coalesce(F.date_format(time_col, "yyyy-MM-dd"), F.lit("sans"))))
+    days = rows.select("jour").distinct()
+    before = read_history_or_empty(spark, path, rows.withColumn("lot", F.lit("")).schema).withColumn("jour", F.col("jour").cast("string"))
+    known = before.filter(F.col("lot") != lot).join(F.broadcast(days), "jour", "left_semi")
+    known = known.select(*[F.col(c).alias(f"_k_{c}") for c in ["jour", *key]])
+    same = reduce(lambda x, y: x & y, [rows[c].eqNullSafe(known[f"_k_{c}"]) for c in ["jour", *key]])
+    # Written apart first, because a table cannot be read and overwritten in one go.
+    new = materialise(rows.join(known, same, "left_anti").withColumn("lot", F.lit(lot)))
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("jour", "lot").parquet(path)
+
+
+def read_appended(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """The events of all lots; empty before the first."""
+    schema = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    partitioned = StructType([*schema.fields, StructField("jour", StringType()), StructField("lot", StringType())])
+    return read_history_or_empty(spark, path, partitioned).select(*schema.names)
 
 
 def month_range(df: DataFrame, time_col: str, first: str, last: str) -> DataFrame:

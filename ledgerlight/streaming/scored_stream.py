@@ -72,3 +72,26 @@ def drain(df: DataFrame) -> DataFrame:
     base = f"{scratch_root(spark)}/stream-{uuid.uuid4().hex}"
     write_stream(df, f"{base}/rows", f"{base}/progress").awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{base}/rows")
+
+
+def score_with_champion(
+    stream: DataFrame, champion: Callable[[], int], scorer_of: Callable[[int], Callable[[DataFrame], DataFrame]],
+    path: str, checkpoint: str,
+) -> StreamingQuery:
+    """Score what is there with the model that is champion when a micro-batch starts, and stamp its version.
+
+    ``champion`` reads the registry, ``scorer_of`` loads a version; both run once per micro-batch, the second only when
+    the version has changed.  A batch is one folder and replaces it when it runs again, so rows of a batch have one
+    version and none is written twice.
+    """
+    loaded: dict[int, Callable[[DataFrame], DataFrame]] = {}
+
+    def one_batch(rows: DataFrame, batch: int) -> None:
+        version = champion()
+        if version not in loaded:
+            loaded.clear()
+            loaded[version] = scorer_of(version)
+        out = scored(rows, loaded[version]).withColumn("model_version", F.lit(version))
+        out.write.mode("overwrite").parquet(f"{path}/lot={batch}")
+
+    return stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -13,7 +13,8 @@ from ledgerlight.operators.ordered import latest_n
 from ledgerlight.plans import features as feat
 from ledgerlight.plans import silver, star
 from ledgerlight.session import materialise
-from workload.cleaned import clients_silver, features, transactions_silver
+from ledgerlight.sources import tables
+from workload.cleaned import clients_silver, features, scratch, transactions_silver
 from workload.registry import VIEWS, day, query, r, rs, tidy, ts
 from workload.tables import bank, given
 
@@ -72,6 +73,22 @@ CATEGORY_SQL = """case when jours_retard between 0 and 89 then 'Saine' when jour
     when jours_retard between 181 and 360 then 'Douteuse' when jours_retard between 361 and 3650 then 'Compromise' else 'Saine' end"""
 
 
+@query(
+    "banded_amounts",
+    """select transaction_id, case when montant <= haut then palier end as palier, case when montant <= haut then palier end as par_blocs
+        from transactions t asof left join (select c_custkey as palier, c_custkey * 300.0::double as bas, c_custkey * 300.0::double + 200 as haut
+            from customer) p on t.montant >= p.bas""",
+)
+def banded_amounts(spark, sf):
+    """Bands from a table with gaps, one per customer key; searched in one array and in blocks."""
+    low = F.col("c_custkey") * F.lit(300.0)
+    bands = given(spark, sf, "customer").select(F.col("c_custkey").alias("palier"), low.alias("bas"), (low + 200).alias("haut"))
+    rows = bank(spark, sf, "transactions").select("transaction_id", "montant")
+    out = joins.band_join(rows, "montant", bands, "bas", "haut", ["palier"])
+    again = joins.band_join(out, "montant", bands.withColumnRenamed("palier", "par_blocs"), "bas", "haut", ["par_blocs"], block=64)
+    return again.select("transaction_id", "palier", "par_blocs")
+
+
 @query(
     "loan_categories",
     f"""select categorie, taux, count(*) as nombre, cast(min(jours_retard) as int) as du, cast(max(jours_retard) as int) as au from (
@@ -939,6 +956,47 @@ def activity_stats(spark, sf):
     return alerts.activity_stats(users, folded(spark, sf))
 
 
+@query(
+    "appended_once",
+    f"""select 'journal' as nom, user_id, count(*) as nombre, count(distinct log_id) as distincts, {ts('max(created_at)', 'dernier')} from journal group by 2
+        union all select 'imports', user_id, count(*), count(distinct import_id), {ts('max(created_at)', 'dernier')} from imports group by 2""",
+)
+def appended_once(spark, sf):
+    """Log rows and imports in three lots, the second delivered twice and the third with rows of the first."""
+    out = []
+    for name, key, append in (("journal", "log_id", alerts.append_audit), ("imports", "import_id", alerts.append_imports)):
+        rows, path = bank(spark, sf, name), scratch(spark, name)
+        part = F.pmod(F.col(key), F.lit(3))
+        for lot, some in (("a", part == 0), ("b", part == 1), ("b", part == 1), ("c", (part == 2) | (F.col(key) % 6 == 0))):
+            append(rows.filter(some), path, lot)
+        read = tables.read_appended(spark, path, rows.schema)
+        out.append(read.groupBy(F.lit(name).alias("nom"), "user_id").agg(
+            F.count(F.lit(1)).alias("nombre"), F.count_distinct(key).alias("distincts"), F.max("created_at").alias("dernier")
+        ))
+    return tidy(out[0].unionByName(out[1]))
+
+
+@query(
+    "alerts_of_a_level",
+    f"""select user_id, alert_id, {r('score')}, niveau_risque, cast(rang as int) as rang from (select *, row_number() over (partition by user_id
+        order by created_at desc, alert_id desc) as rang from alertes_lues where niveau_risque = 'Élevé') where rang <= 5""",
+)
+def alerts_of_a_level(spark, sf):
+    out = alerts.latest_alerts(folded(spark, sf), 5, decision="FRAUDE", level="Élevé")
+    return tidy(out.select("user_id", "alert_id", "score", "niveau_risque", "rang"))
+
+
+@query(
+    "alerts_of_a_user",
+    f"""select user_id, alert_id, {r('score')}, lu, cast(row_number() over (order by created_at desc, alert_id desc) as int) as rang from alertes_lues
+        where user_id = (select min(user_id) from alertes_lues) order by rang limit 50""",
+)
+def alerts_of_a_user(spark, sf):
+    rows = materialise(folded(spark, sf))
+    first = rows.agg(F.min("user_id")).first()[0]
+    return tidy(alerts.latest_alerts(rows, user=first).select("user_id", "alert_id", "score", "lu", "rang"))
+
+
 @query(
     "audit_trail",
     f"select log_id, user_id, action, details, {ts('created_at')} from journal order by journal.created_at desc, log_id desc limit 100",

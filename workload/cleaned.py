@@ -147,6 +147,23 @@ def csv_round_trip(spark, sf):
     )
 
 
+@query(
+    "schema_evolution",
+    f"""select annee, mois, count(*) as nombre, {r('sum(montant)', 'montant', 2)}, count(canal) as canaux, cast(sum(jour) as bigint) as jours from (
+        select cast(year(date_transaction) as int) as annee, cast(month(date_transaction) as int) as mois, montant,
+            case when month(date_transaction) % 2 = 0 then canal end as canal, day(date_transaction) as jour from transactions) group by 1, 2""",
+)
+def schema_evolution(spark, sf):
+    """Odd months written without the channel and with a narrower number, even months later with both; all read together."""
+    path = scratch(spark, "evolved")
+    rows = bank(spark, sf, "transactions").select("transaction_id", "date_transaction", "montant", "canal", F.dayofmonth("date_transaction").alias("jour"))
+    rows, even = rows.drop("canal"), rows.withColumn("jour", F.col("jour").cast("long")).filter(F.month("date_transaction") % 2 == 0)
+    T.write_monthly(rows, path, "date_transaction")
+    T.write_monthly(even, path, "date_transaction")
+    out = T.read_monthly(spark, path).groupBy("annee", "mois")
+    return tidy(out.agg(F.count(F.lit(1)).alias("nombre"), F.sum("montant").alias("montant"), F.count("canal").alias("canaux"), F.sum("jour").alias("jours")), 2)
+
+
 @query(
     "monthly_partitions",
     f"""select cast(year(date_transaction) as int) as annee, cast(month(date_transaction) as int) as mois,

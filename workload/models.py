@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ledgerlight.operators import evaluate, model, profile, quality, ranks, registry, scoring, stats
 from ledgerlight.plans import features as feat
 from ledgerlight.session import materialise
+from ledgerlight.sources import tables
 from ledgerlight.streaming import scored_stream as stream
-from workload.cleaned import features
+from workload.cleaned import features, scratch
 from workload.registry import VIEWS, query, r, rs, tidy
 from workload.tables import bank, given
 
@@ -567,6 +568,37 @@ def streamed_alerts(spark, sf):
     return tidy(stream.folded(stream.drain(alerts.select("alert_id", "user_id", "score", "niveau_risque"))))
 
 
+@query(
+    "streamed_versions",
+    f"""select event_id as transaction_id, case when event_id % 2 = 0 then 1 else 2 end as model_version,
+        {r('value / (value + case when event_id % 2 = 0 then 40 else 10 end)', 'fraud_proba')},
+        case when value / (value + case when event_id % 2 = 0 then 40 else 10 end) >= 0.5 then 'FRAUDE' else 'NORMAL' end as decision from events""",
+)
+def streamed_versions(spark, sf):
+    """Half of the events arrive before version 2 is promoted, half after; each row names the version that scored it."""
+    base = scratch(spark, "versions")
+    for version in (1, 2):
+        tables.append_history(registry.version_row(spark, "m", version, f"run-{version}", RUN_AT), f"{base}/versions")
+
+    def champion() -> int:
+        versions, events = tables.read_history(spark, f"{base}/versions"), tables.read_history(spark, f"{base}/events")
+        return registry.resolve_champion(versions, events, "m")
+
+    rows = given(spark, sf, "events")
+    kind = F.when(F.col("event_type") == "purchase", "Paiement").otherwise("Virement")
+    for version in (1, 2):
+        tables.append_history(registry.promotion_event(spark, "m", version, RUN_AT, version), f"{base}/events")
+        rows.filter(F.col("event_id") % 2 == version - 1).write.mode("append").parquet(f"{base}/arrived")
+        arrived = stream.incoming(spark, f"{base}/arrived", rows.schema).select(
+            F.col("event_id").alias("transaction_id"), F.col("value").alias("montant"), kind.alias("type_transaction"),
+            F.lit("Carte").alias("mode_paiement"), F.hour("ts").alias("heure"), F.lit(0).alias("is_weekend"), F.lit(0).alias("est_international"),
+        )
+        scorer_of = lambda v: rule_scorer({1: 40.0, 2: 10.0}[v])
+        stream.score_with_champion(arrived, champion, scorer_of, f"{base}/scored", f"{base}/progress").awaitTermination()
+    out = spark.read.parquet(f"{base}/scored")
+    return tidy(out.select("transaction_id", "model_version", "fraud_proba", "decision"))
+
+
 @query("streamed_model_scores")
 def streamed_model_scores(spark, sf):
     """The stream scored by the trained trees."""
