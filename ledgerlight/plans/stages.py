@@ -90,7 +90,10 @@ def to_star(run: Run) -> None:
 def to_features(run: Run) -> None:
     rows = feat.feature_table(run.read("silver", "transactions"), run.read("silver", "clients"))
     run.write(rows, "gold", "features")
-    run.write(feat.clean_features(run.read("gold", "features")), "ml", "features_clean")
+    # Medians come from the training rows; the split depends on keys and labels alone, so training finds the same one.
+    features = run.read("gold", "features")
+    fit_on = M.stratified_split(features, feat.KEY, feat.LABEL).filter("partie = 'train'")
+    run.write(feat.clean_features(features, fit_on), "ml", "features_clean")
     assert_no_nulls(run.read("ml", "features_clean"), [*feat.FEATURES, "age", "score_credit", feat.LABEL])
 
 

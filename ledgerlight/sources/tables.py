@@ -20,13 +20,17 @@ EXPORTED_TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 # --- sources ---------------------------------------------------------------
 
-def read_csv(spark: SparkSession, path: str, entity: str, keep_bad_rows: bool = False, exported: bool = False) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, entity: str, keep_bad_rows: bool = False, exported: bool = False,
+    multiline: bool = False,
+) -> DataFrame:
     """One source file (or folder of files) of a known entity.
 
     A value that does not fit its type becomes null; with ``keep_bad_rows``
     the raw line is kept in ``_corrupt_record`` so it can be quarantined; such
     rows are written once, because Spark refuses to count that column straight from the file.
-    ``exported`` reads what ``export_csv`` wrote, without any loss.
+    ``exported`` reads what ``export_csv`` wrote, without any loss.  ``multiline`` reads files of others with line breaks
+    inside quotes; such a file is read by one task, so large ones come in several files.
     """
     schema = schema_of(entity)
     if keep_bad_rows:
@@ -37,6 +41,7 @@ def read_csv(spark: SparkSession, path: str, entity: str, keep_bad_rows: bool =
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_ROW)
+        .option("multiLine", multiline)
     )
     if not exported:
         rows = reader.csv(path)

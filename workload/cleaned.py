@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -327,6 +328,15 @@ def silver_transactions(spark, sf):
     )
 
 
+@query("no_nulls_left", "select count(*) as lignes, count(*) as completes from feature_rows")
+def no_nulls_left(spark, sf):
+    """The cleaned features pass the check that stops the daily run on a null."""
+    wanted = [*feat.FEATURES, "score_credit", feat.LABEL]
+    rows = clean.assert_no_nulls(materialise(feat.clean_features(features(spark, sf)).select(*wanted)), wanted)
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in wanted])
+    return rows.agg(F.count(F.lit(1)).alias("lignes"), F.count_if(whole).alias("completes"))
+
+
 @query(
     "deduplicated_lines",
     """select l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice from (

@@ -471,6 +471,47 @@ def permuted_rows(spark, sf):
     return tidy(out.filter("feature <> ''").select("essai", "transaction_id", "montant"))
 
 
+@query(
+    "model_scores_checked",
+    f"""select transaction_id, client_id, {r('montant', digits=2)}, fraud_flag as fraud_flag_reel, 1 as model_version,
+        '2026-01-01 00:00:00.000000' as date_scoring, true as coherent from transactions""",
+)
+def model_scores_checked(spark, sf):
+    """What SQL can say of ``model_scores``: every transaction once, its truth, and decisions that follow the scores."""
+    train, test, scorer = prepared(spark, sf)
+    out = scoring.score_batch(train.unionByName(test), scorer, 1, RUN_AT, feat.LABEL)
+    p = F.col("fraud_proba")
+    sound = p.between(0, 1) & ~F.isnan(p) & (F.col("fraud_predicted") == (p >= 0.5).cast("int"))
+    return tidy(out.withColumn("coherent", sound).drop("fraud_proba", "fraud_predicted").withColumn("montant", F.round("montant", 2)))
+
+
+@query(
+    "model_run_checked",
+    """select 'run-1' as run_id, 'fraud_detection_model' as model_name, count(*) filter (partie = 'train') as n_train,
+        count(*) filter (partie = 'test') as n_test, 16 as n_features, true as mesures_bornees, true as alias_coherent,
+        true as mieux_que_le_hasard from parts""",
+)
+def model_run_checked(spark, sf):
+    """What SQL can say of ``model_run``: row counts, the rule of the alias, measures within their bounds and above chance."""
+    run = model_run(spark, sf)
+    shares = [F.col(c).between(0, 1) for c in ("pr_auc", "roc_auc", "baseline_pr_auc", "recall_at_precision_80", "best_f1", "best_threshold_f1")]
+    champion = F.when(F.col("lift") >= registry.MINIMUM_LIFT, "champion").otherwise("challenger")
+    return run.select(
+        "run_id", "model_name", "n_train", "n_test", "n_features", F.forall(F.array(*shares), lambda c: c).alias("mesures_bornees"),
+        (F.col("alias") == champion).alias("alias_coherent"), ((F.col("roc_auc") > 0.5) & (F.col("lift") > 1)).alias("mieux_que_le_hasard"),
+    )
+
+
+@query(
+    "importance_checked",
+    " union all ".join(f"select '{f}' as feature, true as bornee" for f in feat.FEATURES),
+)
+def importance_checked(spark, sf):
+    """What SQL can say of ``permutation_importance``: one row per feature, losses that a precision can have."""
+    bounded = F.col("importance_mean").between(-1, 1) & (F.col("importance_std") >= 0)
+    return permutation_importance(spark, sf).select("feature", bounded.alias("bornee"))
+
+
 # --- registry ----------------------------------------------------------------
 
 VIEWS["evenements"] = """
@@ -492,6 +533,22 @@ def alias_holders(spark, sf):
     return registry.alias_holders(alias_events(spark, sf))
 
 
+@query(
+    "manual_promotion",
+    """select model, case when rang = 1 then 'champion' else 'challenger' end as alias, version from (
+        select model, min(version) as version, 1 as rang from versions group by 1
+        union all select model, version, 2 from titulaires where alias = 'challenger')""",
+)
+def manual_promotion(spark, sf):
+    """The oldest version of each model promoted by hand, after all that the gate has said."""
+    versions = materialise(bank(spark, sf, "versions"))
+    oldest = versions.groupBy("model").agg(F.min("version").alias("version")).collect()      # one row per model
+    events = alias_events(spark, sf)
+    for k, m in enumerate(oldest):
+        events = events.unionByName(registry.promotion_event(spark, m["model"], m["version"], datetime(2099, 1, 1), 10**9 + k))
+    return registry.alias_holders(events)
+
+
 @query(
     "serving_versions",
     """select v.model, coalesce(t.version, v.newest) as version, case when t.version is null then 0 else 1 end as est_champion from (
