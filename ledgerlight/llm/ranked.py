@@ -262,8 +262,11 @@ def open_documents(index: DataFrame, batch: Batch, last: dict[int, tuple[int, in
     return _bounds(index, batch, take, "item int, id long, bound double").select("item", "id")
 
 
-def score(docs: DataFrame, wanted: DataFrame, batch: Batch) -> DataFrame:
-    """(item, id, score) above 0 of the pairs ``wanted`` (item, id), from whole texts; every row of an id is scored."""
+def score(docs: DataFrame, wanted: DataFrame, batch: Batch, top: int) -> DataFrame:
+    """(item, id, score) above 0 of the pairs ``wanted`` (item, id), from whole texts; every row of an id is scored.
+
+    A task hands on its ``top`` best rows of each item, ties by id, which no other row of the task can beat.
+    """
     per_id = materialise(wanted.groupBy("id").agg(F.collect_set("item").alias("items")))
     few = per_id.limit(FEW + 1).count() <= FEW
     wanted_ids = per_id.withColumnRenamed("id", "wanted_id")
@@ -272,9 +275,14 @@ def score(docs: DataFrame, wanted: DataFrame, batch: Batch) -> DataFrame:
     words, size = Vocabulary(batch.terms), len(batch.terms)
 
     def run(batches):
+        best: dict[int, list] = {}
+
+        def keep(number: int) -> list:
+            best[number] = sorted(best[number], key=lambda o: (-o[0], o[1] is None, o[1] or 0))[:top]
+            return best[number]
+
         for b in batches:
             ids, items = b.column(0).to_pylist(), b.column(1).to_pylist()
-            out = []
             for first, w in _terms(b.column(2)):
                 found, times = np.unique(_pair_keys(words.find(w), size), return_counts=True)
                 cuts = np.searchsorted(found // size, np.arange(len(w.counts) + 1))
@@ -286,9 +294,12 @@ def score(docs: DataFrame, wanted: DataFrame, batch: Batch) -> DataFrame:
                         terms, weights = batch.items[number]
                         points = int((weights * gains(tf[terms], m[k])).sum())
                         if points > 0:
-                            out.append((number, ids[first + k], points))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], kind) for c, kind in enumerate((pa.int32(), pa.int64(), pa.int64()))], names=["item", "id", "score"])
+                            best.setdefault(number, []).append((points, ids[first + k]))
+                            if len(best[number]) >= 8 * top:
+                                keep(number)
+        out = [(number, i, points) for number in best for points, i in keep(number)]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], kind) for c, kind in enumerate((pa.int32(), pa.int64(), pa.int64()))], names=["item", "id", "score"])
 
     return rows.mapInArrow(run, "item int, id long, score long")
 
@@ -320,9 +331,9 @@ def _search(docs: DataFrame, index: DataFrame, rows: list, top: int) -> tuple[li
     of = Collection(of.documents, of.words, np.array([holding[t] for t in number], np.int64))
     items = [tuple(np.array(c, np.int64) for c in zip(*found, strict=True)) for found in per_item.values()]
     batch = Batch(list(number), items, of)
-    known = materialise(_best(score(docs, materialise(likely(index, batch, top)), batch), top))
+    known = materialise(_best(score(docs, materialise(likely(index, batch, top)), batch, top), top))
     last = {r["item"]: (r["score"], r["id"]) for r in known.where(F.col("rank") == top).collect()}
-    found = _best(score(docs, materialise(open_documents(index, batch, last)), batch), top)
+    found = _best(score(docs, materialise(open_documents(index, batch, last)), batch, top), top)
     return list(per_item), found
 
 

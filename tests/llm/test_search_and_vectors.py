@@ -152,7 +152,7 @@ def test_bounds_are_never_below_scores_and_prune(spark):
     batch = ranked.Batch(terms, [(np.arange(len(terms)), weights)], of)
     index = ranked.build_index(d)
     every = d.select(F.lit(0).alias("item"), "id")
-    exact = {(r["id"], r["score"]) for r in ranked.score(d, every, batch).collect()}
+    exact = {(r["id"], r["score"]) for r in ranked.score(d, every, batch, 10**6).collect()}
     bounds = ranked._bounds(index, batch, lambda found: (ranked._rows(np.full(len(i), n), i, k, b) for i, k, n, b in found), "item int, id long, bound double")
     best = {}
     for r in bounds.collect():
