@@ -25,7 +25,8 @@ from ledgerlight.session import materialise
 THRESHOLD = (80, 100)         # 100 * intersection >= 80 * union
 LOST = 1e-6                   # of the pairs at the threshold, so many at most are not confirmed
 BLOCK = 2048                  # members of a bucket estimated against each other in one task
-PART = 256                    # texts on either side of a task that confirms
+PART = 256                    # partners of a pivot in a task that confirms
+PART_SHINGLES = 1 << 18       # shingles on either side of any other task that confirms, or one longer text
 BROADCAST_IDS = 1_000_000     # ids up to this many (16 MB) are broadcast, beyond it a shuffle join is used
 SIGNATURE = [
     T.StructField("n_shingles", T.LongType()), T.StructField("_high", T.LongType()), T.StructField("_low", T.LongType()),
@@ -166,8 +167,9 @@ def near_pairs(members: DataFrame) -> DataFrame:
             if not pairs:
                 continue
             parts: dict[tuple[int, int], dict[int, list[int]]] = {}
+            part = (np.cumsum(n) // PART_SHINGLES).tolist()      # parts of equal weight, so short texts meet in few tasks
             for i, j in pairs:
-                one = parts.setdefault((i // PART, j // PART), {})
+                one = parts.setdefault((part[i], part[j]), {})
                 one.setdefault(i, []).append(int(rep[j]))
                 one.setdefault(j, [])
             out = [(hash((task, *k)), int(rep[i]), p) for k, one in parts.items() for i, p in one.items()]
