@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.llm.texts import SPACES, beside
+from ledgerlight.llm.texts import SPACES, beside, own_names
 from ledgerlight.session import materialise
 
 SALTS = 32
@@ -22,6 +22,7 @@ def sha256_hex(content: Column) -> Column:
     return F.sha2(content.cast("binary"), 256)
 
 
+@own_names("id_col", "text")
 def exact_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text: str = "text", salts: int = SALTS,
     digest: Callable[[Column], Column] = sha256_hex,

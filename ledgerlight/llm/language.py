@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlight.llm.texts import LOWER, remainder, slices, text_results
+from ledgerlight.llm.texts import LOWER, own_names, remainder, slices, text_results
 
 STEPS = 48
 HIDDEN = 8
@@ -211,6 +211,7 @@ def fit_language(docs: DataFrame, id_col: str = "doc_id", text: str = "text", la
     return Network(labels).fit(np.array(x), np.array(mask, np.float32), np.array(y), rounds)
 
 
+@own_names("text")
 def language_predictions(docs: DataFrame, network: Network, text: str = "text", carry: Sequence[str] | None = None) -> DataFrame:
     """The carried columns, lang_pred and score, the mean probability of the label over all positions.
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlight.llm.texts import ALNUM, LOWER, Words, slices, text_results
+from ledgerlight.llm.texts import ALNUM, LOWER, Words, own_names, slices, text_results
 
 WINDOW = 10
 #: Bytes of item text in one broadcast set.  A larger benchmark is met in several sets, each over all
@@ -104,6 +104,7 @@ def item_sets(benchmark: DataFrame, id_col: str, text: str, set_bytes: int) -> I
         yield [("" if r.i is None else r.i, r.t) for r in part.collect()]
 
 
+@own_names("text")
 def benchmark_hits(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text: str = "text", item_id: str = "item_id",
     item_text: str = "text", carry: Sequence[str] | None = None, set_bytes: int = SET_BYTES,

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlight.llm.texts import WORD, beside
+from ledgerlight.llm.texts import WORD, beside, own_names
 from ledgerlight.session import materialise
 
 WEIGHTS = (5, 2, 1)          # by source in code-point order, repeating
@@ -48,6 +48,7 @@ def source_targets(
     )
 
 
+@own_names("id_col", "text", "source")
 def mix_sources(
     docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, most: float = MOST,
     id_col: str = "doc_id", text: str = "text", source: str = "source", bucket_rows: int = BUCKET_ROWS, seed: str = SEED,

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlight.llm import sketch
-from ledgerlight.llm.texts import beside, slices, text_results
+from ledgerlight.llm.texts import beside, own_names, slices, text_results
 from ledgerlight.session import materialise
 
 THRESHOLD = (80, 100)         # 100 * intersection >= 80 * union
@@ -267,6 +267,7 @@ def _links(docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
     return components(first.unionByName(second))
 
 
+@own_names("id_col", "text")
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = sketch.SHINGLE) -> DataFrame:
     """All columns, and n_shingles, component_id, kept (a column of such a name is replaced).
 

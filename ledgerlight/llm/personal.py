@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.llm.texts import beside
+from ledgerlight.llm.texts import beside, own_names
 from ledgerlight.session import materialise
 
 KINDS = ("email", "ip", "card", "phone")
@@ -199,6 +199,7 @@ def _features(votes: Sequence[int], size: int) -> list[float]:
     return [1.0, *[float(v == 1) for v in votes], *[float(v == 0) for v in votes], size / 8]
 
 
+@own_names("text")
 def personal_spans(docs: DataFrame, text: str = "text", carry: Sequence[str] | None = None) -> DataFrame:
     """The carried columns, counts of the fixed kinds, their digest, and all spans as kind:start:end.
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlight.llm.texts import LOWER, NOT_SPACE, SPACE, Words, mix, remainder, slices, text_results
+from ledgerlight.llm.texts import LOWER, NOT_SPACE, SPACE, Words, mix, own_names, remainder, slices, text_results
 
 HASHED = 1 << 13
 FACTORS = 8
@@ -191,6 +191,7 @@ def _parts(column: pa.ChunkedArray) -> list[np.ndarray]:
     return out
 
 
+@own_names("text")
 def quality_scores(
     docs: DataFrame, model: FactorMachine, threshold: float = THRESHOLD, text: str = "text", carry: Sequence[str] | None = None
 ) -> DataFrame:

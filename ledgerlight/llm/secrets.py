@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ledgerlight.llm.texts import LOWER, Words, slices, text_results
+from ledgerlight.llm.texts import LOWER, Words, own_names, slices, text_results
 
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I)
@@ -269,6 +269,7 @@ def _redacted(text: bytes, spans: Sequence[tuple[int, int, int]]) -> str:
     return b"".join([*out, text[at:]]).decode()
 
 
+@own_names("text")
 def secret_spans(docs: DataFrame, text: str = "text", carry: Sequence[str] | None = None) -> DataFrame:
     """The carried columns, counts of the fixed kinds, their digest, all spans, and the text with spans masked.
 

@@ -6,6 +6,8 @@ slice take about 40 bytes for each byte of text; a slice holds ``SLICE_BYTES`` o
 
 from __future__ import annotations
 
+import functools
+import inspect
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -116,6 +118,39 @@ def beside(docs: DataFrame, made: Sequence[str], carry: Sequence[str] | None = N
     return [c for c in (docs.columns if carry is None else carry) if c.lower() not in taken]
 
 
+def own_names(*parameters: str):
+    """For operators on a table: its columns carry neutral names inside, so no name of a helper column can clash.
+
+    ``parameters`` name the arguments that hold column names; ``carry`` is one as well.  Afterwards the columns have
+    their names again, but for those that a result column replaces.
+    """
+
+    def wrap(operator):
+        signature = inspect.signature(operator)
+
+        @functools.wraps(operator)
+        def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+            given = signature.bind(docs, *args, **kwargs)
+            given.apply_defaults()
+            inner = {c: f"in{k}_" for k, c in enumerate(docs.columns)}
+            folded = {c.lower(): i for c, i in inner.items()} | inner
+            name = lambda c: folded.get(c, folded.get(c.lower(), c))
+            for p in parameters:
+                given.arguments[p] = name(given.arguments[p])
+            if given.arguments.get("carry") is not None:
+                given.arguments["carry"] = [name(c) for c in given.arguments["carry"]]
+            first = next(iter(signature.parameters))
+            given.arguments[first] = docs.select(*[F.col(f"`{c}`").alias(i) for c, i in inner.items()])
+            out = operator(*given.args, **given.kwargs)
+            outer = {i: c for c, i in inner.items()}
+            made = {c.lower() for c in out.columns if c not in outer}
+            return out.select(*[F.col(f"`{c}`").alias(outer.get(c, c)) for c in out.columns if c not in outer or outer[c].lower() not in made])
+
+        return run
+
+    return wrap
+
+
 def text_results(
     docs: DataFrame,
     fields: Sequence[T.StructField],

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ledgerlight.llm.quality import labelled_sample
-from ledgerlight.llm.texts import ALNUM, LOWER, NOT_SPACE, Words, remainder, slices, text_results
+from ledgerlight.llm.texts import ALNUM, LOWER, NOT_SPACE, Words, own_names, remainder, slices, text_results
 
 ORDER, DECAY = 3, 0.7        # letters of a subsequence; weight of each letter it spans
 SPAN = 7                     # letters that a subsequence spans at most
@@ -302,6 +302,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_co
     return StringMachine().fit(rows.column("units").to_pylist(), rows.column("_label").to_numpy())
 
 
+@own_names("text")
 def toxicity_scores(
     docs: DataFrame, machine: StringMachine, threshold: float = THRESHOLD, text: str = "text", carry: Sequence[str] | None = None
 ) -> DataFrame:
