@@ -9,8 +9,10 @@ keeps those it holds likelier than not.
 
 from __future__ import annotations
 
+import functools
 import math
-from collections.abc import Sequence
+import operator
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +22,11 @@ from ledgerlight.session import materialise
 
 KINDS = ("email", "ip", "card", "phone")
 #: The fixed patterns, written so that each start is tried once: possessive runs cannot backtrack, and a
-#: run is entered only at its beginning or where the last match ended.
+#: run is entered only at its beginning or where the last match ended.  A card's run has 13 to 19 digits.
 FIXED = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9]++(?:[\x20-][0-9]++)*+",
+    "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 #: What must occur in a text for the pattern to be tried.
@@ -58,29 +60,79 @@ FOR = {
 }
 AGAINST = r"(?i)version|isbn|issn|order|invoice|serial|build|license|figure|table|chapter|page|§"
 BESIDE = 40
+BLOCK = 256         # matches whose places are counted together
+CHUNK = 512         # code points of a chunk that spans are seen in, more than BESIDE
 #: Fixed votes of the reliabilities before the first step: how often a labeler is thought to be right.
 PRIOR, ROUNDS, PRIOR_COUNT = 0.8, 50, 4.0
 VOTES = ("check", "gazetteer", "context", "shape")
 MADE = (*(f"n_{k}" for k in KINDS), "base_sha256", "spans")
 
 
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), where the value is worked out once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _found(text: Column, pattern: str, needed: str) -> Column:
-    """(start, end, match) of each match, code points.  Lengths of the pieces between matches give the places."""
+    """(start, end, match) of each match, code points.  Lengths of the pieces between matches give the places.
+
+    An array that grows by one is copied each time, so places are counted in blocks, then blocks are put
+    after each other: the cost of a text is linear in its matches.
+    """
     possible = F.contains(text, F.lit(needed)) if needed == "@" else text.rlike(needed)
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
     lengths = F.transform(F.arrays_zip(pieces.alias("p"), matches.alias("m")), lambda z: F.struct(
         F.length(z["p"]).alias("p"), F.coalesce(F.length(z["m"]), F.lit(0)).alias("l"), z["m"].alias("m")))
     empty = F.expr("struct(0 as at, cast(array() as array<struct<start:int,end:int,match:string>>) as out)")
+    nowhere = F.expr("struct(0 as at, cast(array() as array<struct<at:int,out:array<struct<start:int,end:int,match:string>>>>) as out)")
 
     def step(state, z):
         start = state["at"] + z["p"]
         end = start + z["l"]
-        # Only what may pass the length checks is held, so long tables of numbers stay cheap.
         return F.struct(end.alias("at"), F.when(z["l"] >= 5, F.concat(state["out"], F.array(F.struct(
             start.alias("start"), end.alias("end"), z["m"].alias("match"))))).otherwise(state["out"]).alias("out"))
 
-    return F.when(possible, F.aggregate(lengths, empty, step)["out"])
+    def after(state, block):
+        return F.struct((state["at"] + block["at"]).alias("at"), F.concat(state["out"], F.array(F.struct(
+            state["at"].alias("at"), block["out"].alias("out")))).alias("out"))
+
+    def moved(block):
+        return F.transform(block["out"], lambda s: F.struct(
+            (s["start"] + block["at"]).alias("start"), (s["end"] + block["at"]).alias("end"), s["match"].alias("match")))
+
+    def places(z):
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(z) - 1) / BLOCK).cast("int")),
+            lambda k: F.aggregate(F.slice(z, k * BLOCK + 1, F.lit(BLOCK)), empty, step),
+        )
+        return F.flatten(F.transform(F.aggregate(blocks, nowhere, after)["out"], moved))
+
+    return F.when(possible, _with(lengths, places))
+
+
+def _around(chunks: Column, span: Column) -> Column:
+    """The text beside a span, from chunks of the text: a place far inside is not reached from the beginning."""
+    def cut(start, length):
+        chunk = F.floor(start / CHUNK).cast("int")
+        near = F.concat(F.get(chunks, chunk), F.coalesce(F.get(chunks, chunk + 1), F.lit("")))
+        return F.coalesce(F.substring(near, start - chunk * CHUNK + 1, length), F.lit(""))
+    start = F.greatest(F.lit(0), span["start"] - BESIDE)
+    return F.concat_ws(" ", cut(start, span["start"] - start), cut(span["end"], F.lit(BESIDE)))
+
+
+def _meets(span: Column, others: Column) -> Column:
+    """Whether a span meets one of the others, which are disjoint and in order."""
+    def half(at, _):
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        going, below = at["low"] < at["high"], F.get(others, middle)["start"] < span["end"]
+        return F.struct(F.when(going & below, middle + 1).otherwise(at["low"]).alias("low"),
+                        F.when(going & ~below, middle).otherwise(at["high"]).alias("high"))
+    # The first that starts at or after the end of the span, by halving.
+    bounds = F.struct(F.lit(0).alias("low"), F.size(others).alias("high"))
+    first = F.aggregate(F.sequence(F.lit(1), F.lit(31)), bounds, half)["low"]
+    few = F.exists(others, lambda f: (f["start"] < span["end"]) & (span["start"] < f["end"]))
+    return F.when(F.size(others) <= 32, few).otherwise(F.coalesce(F.get(others, first - 1)["end"] > span["start"], F.lit(False)))
 
 
 def _digits(match: Column) -> Column:
@@ -118,11 +170,9 @@ def _vote(up: Column, down: Column) -> Column:
     return F.when(up, 1).when(down, 0).otherwise(-1)
 
 
-def _votes(kind: str, text: Column, span: Column) -> dict[str, Column]:
+def _votes(kind: str, chunks: Column, span: Column) -> dict[str, Column]:
     """1 for, 0 against, -1 no opinion."""
-    match, digits = span["match"], _digits(span["match"])
-    around = F.concat_ws(" ", F.substring(text, F.greatest(F.lit(1), span["start"] + 1 - BESIDE), F.least(F.lit(BESIDE), span["start"])),
-                         F.substring(text, span["end"] + 1, F.lit(BESIDE)))
+    match, digits, around = span["match"], _digits(span["match"]), _around(chunks, span)
     if kind == "email":
         ending = F.lower(F.regexp_extract(match, r"([A-Za-z]+)$", 1)).isin(*ENDINGS)
         known, shape = _vote(ending, ~ending), _vote(F.length(match) <= 80, F.length(match) > 120)
@@ -142,8 +192,8 @@ def _votes(kind: str, text: Column, span: Column) -> dict[str, Column]:
 
 def _candidates(text: Column, kind: str) -> tuple[Column, Column]:
     """Spans of the fixed and of the looser pattern, with votes; looser ones that meet a fixed one are left out later."""
-    def told(span, fixed):
-        votes = _votes(kind, text, span)
+    def told(span, fixed, chunks):
+        votes = _votes(kind, chunks, span)
         return F.struct(
             F.lit(KINDS.index(kind)).alias("kind"), span["start"].alias("start"), span["end"].alias("end"), F.lit(fixed).alias("fixed"),
             F.least(F.floor(F.length(span["match"]) / 8), F.lit(7)).cast("int").alias("size"), *[votes[v].alias(v) for v in VOTES],
@@ -151,7 +201,14 @@ def _candidates(text: Column, kind: str) -> tuple[Column, Column]:
     nothing = F.expr("cast(array() as array<struct<start:int,end:int,match:string>>)")
     fixed = F.filter(F.coalesce(_found(text, FIXED[kind], NEEDED[kind]), nothing), lambda s: _passes(kind, s["match"]))
     loose = F.coalesce(_found(text, LOOSE[kind], LOOSE_NEEDED[kind]), nothing)
-    return F.transform(fixed, lambda s: told(s, True)), F.transform(loose, lambda s: told(s, False))
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+    def voted(spans, is_fixed):
+        # Only a text with spans is cut into chunks.
+        return _with(spans, lambda found: _with(
+            F.when(F.size(found) > 0, chunks), lambda c: F.transform(found, lambda s: told(s, is_fixed, c))))
+
+    return voted(fixed, True), voted(loose, False)
 
 
 def reliabilities(patterns: Sequence[tuple[tuple[int, ...], float]], rounds: int = ROUNDS) -> list[float]:
@@ -204,16 +261,22 @@ def personal_spans(docs: DataFrame, text: str = "text", carry: Sequence[str] | N
     """The carried columns, counts of the fixed kinds, their digest, and all spans as kind:start:end.
 
     Kinds in the order of KINDS, then starts; code points, ends exclusive.  Null and empty texts have
-    no spans.  The classifier is trained on all spans of the table, by kind.
+    no spans.  The classifier is trained on all spans of the table, by kind.  Rows that repeat an id, or
+    have none, are rows of their own; a carried column with the name of a result column is replaced.
+    The work of a text grows with its length and its matches, not with their square.
     """
     kept = beside(docs, MADE, carry)
     body = F.col("_text")
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("_text"))
     both = [_candidates(body, k) for k in KINDS]
-    rows = rows.select(*[F.col(f"`{c}`") for c in kept], F.concat(*[b[0] for b in both]).alias("_fixed"), F.concat(*[b[1] for b in both]).alias("_loose"))
-    free = F.filter("_loose", lambda s: ~F.exists("_fixed", lambda f: (f["start"] < s["end"]) & (s["start"] < f["end"])))
+    by_kind = [f"_fixed_{k}" for k in KINDS]
+    rows = rows.select(
+        *[F.col(f"`{c}`") for c in kept], *[b[0].alias(c) for b, c in zip(both, by_kind, strict=True)],
+        F.concat(*[b[1] for b in both]).alias("_loose"),
+    )
+    free = F.filter("_loose", lambda s: ~functools.reduce(operator.or_, [_meets(s, F.col(c)) for c in by_kind]))
     # One row per text with its few spans: read by the counts and by the result.
-    rows = materialise(rows.select(*[F.col(f"`{c}`") for c in kept], "_fixed", free.alias("_loose")))
+    rows = materialise(rows.select(*[F.col(f"`{c}`") for c in kept], F.concat(*by_kind).alias("_fixed"), free.alias("_loose")))
 
     patterns = rows.select(F.explode(F.concat("_fixed", "_loose")).alias("s")).select("s.*").groupBy("kind", "size", *VOTES).count().collect()
     weights: dict[int, list[float]] = {}

@@ -219,6 +219,23 @@ def test_personal_spans_hold_the_fixed_ones(spark):
         assert set(spans) <= set(r.spans.split(",")) | set([] if spans else [""]), r.doc_id
 
 
+def test_personal_spans_of_many_matches(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("0011234567 -+.@aé()") for _ in range(rng.randint(0, 300))) for _ in range(300)]
+    texts += [", ".join(" ".join(str(rng.randint(1000, 9999)) for _ in range(4)) for _ in range(3000)), "x@y.com é 10.0.0.1 ü " * 700,
+              "4111 1111 1111 1111, " + ", ".join(str(rng.randint(10_000, 99_999)) for _ in range(30_000))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in personal.personal_spans(df).collect():
+        counts, spans, digest = brute.personal(texts[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == counts and r.base_sha256 == digest, r.doc_id
+        listed = [s for s in r.spans.split(",") if s]
+        # What is reported beside the fixed spans meets none of them.
+        taken = sorted(tuple(map(int, s.split(":")[1:])) for s in spans)
+        for a, b in (tuple(map(int, s.split(":")[1:])) for s in set(listed) - set(spans)):
+            assert not any(x < b and a < y for x, y in taken), r.doc_id
+        assert set(spans) <= set(listed)
+
+
 def test_reliabilities_follow_the_majority():
     patterns = [((1, 1, 1), 80.0), ((1, 1, 0), 15.0), ((0, 0, 0), 70.0), ((0, 1, 0), 10.0), ((-1, -1, -1), 5.0)]
     p = personal.reliabilities(patterns)
