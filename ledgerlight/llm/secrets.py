@@ -10,7 +10,9 @@ and after any assignment one with letters and digits; plain words are prose unle
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator, Sequence
 
@@ -97,9 +99,12 @@ class Scanner:
     def novel(self, text: bytes, base: Sequence[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
         found: list[tuple[int, int, int]] = []
         stretches, done = _stretches(text), 0
+        fixed = sorted((s, e) for s, _, e in base)
+        starts, reached = [s for s, _ in fixed], list(itertools.accumulate((e for _, e in fixed), max))
         for a, b in _candidates(text, stretches):
             word = text[a:b]
-            if a < done or any(s < b and a < e for s, _, e in base):
+            before = bisect.bisect_left(starts, b)
+            if a < done or before and reached[before - 1] > a:
                 continue
             context = _others(text, b, b + AROUND, word) + _others(text, max(0, a - AROUND), a, word)
             if self.marginal(context, word) >= NOVELTY * len(word):
