@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,8 +21,8 @@ HIDDEN = 8
 INPUTS = 8
 BATCH = 192
 ROUNDS = 500
-SAMPLE_ROWS = 1_000          # documents of the fit, by hash order within each language
-SAMPLE_SEGMENTS = 12         # of each of them, spread evenly over the text
+SAMPLE_ROWS = 1_000          # documents of the fit, by hash order within each language, and at least one of each
+PARTS = 64                   # of a language, in which its least hashes are found first
 FOLDS, HELD_OUT = 3, 1
 UNKNOWN = "und"
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
@@ -116,16 +116,23 @@ class Network:
             slope["bytes"] += w[f"{way}_in"].T @ given
         return loss, slope
 
-    def fit(self, x: np.ndarray, mask: np.ndarray, label: np.ndarray, rounds: int = ROUNDS, seed: int = 11) -> Network:
-        """x, mask (segments, steps); batches take every language equally often."""
-        if len(self.labels) < 2 or not len(x):
+    def fit(self, texts: Sequence[bytes], label: np.ndarray, rounds: int = ROUNDS, seed: int = 11) -> Network:
+        """A batch draws every language equally often, of a language every text, of a text every segment."""
+        if len(self.labels) < 2 or not len(texts):
             return self
+        data = LOWER[np.frombuffer(b"".join(texts), np.uint8)]
+        ends = np.cumsum([len(t) for t in texts])
+        starts = np.concatenate([[0], ends[:-1]])
         rng = np.random.default_rng(seed)
         share = 1 / np.bincount(label, minlength=len(self.labels))[label]
         state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.w.items()}
         for k in range(1, rounds + 1):
-            own = rng.choice(len(x), min(BATCH, len(x)), p=share / share.sum())
-            _, slope = self.slopes(x[own].T, mask[own].T, label[own])
+            own = rng.choice(len(texts), BATCH, p=share / share.sum())
+            parts = -(-(ends[own] - starts[own]) // STEPS)
+            at = starts[own] + STEPS * rng.integers(0, parts) + np.arange(STEPS)[:, None]
+            inside = at < ends[own]
+            x = np.where(inside, data[np.minimum(at, len(data) - 1)], 0)
+            _, slope = self.slopes(x, inside.astype(np.float32), label[own])
             size = np.sqrt(sum(float((s**2).sum()) for s in slope.values()))
             rate = 0.02 * min(1, 2 * (1 - k / (rounds + 1)))
             for name, v in self.w.items():
@@ -173,42 +180,30 @@ class Network:
         return total
 
 
-_SEGMENTS = [T.StructField("segments", T.ArrayType(T.BinaryType(), False))]
-
-
-def _segments(column: pa.Array) -> list:
-    out = []
-    for _, _, raw, offsets in slices(column):
-        for a, b in zip(offsets[:-1], offsets[1:], strict=True):
-            starts = np.unique(np.linspace(0, max(0, b - a - STEPS), SAMPLE_SEGMENTS).astype(int)) if b > a else []
-            out.append([LOWER[raw[a + s : min(b, a + s + STEPS)]].tobytes() for s in starts])
-    return [pa.array(out, pa.list_(pa.binary()))]
-
-
 def fit_language(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", most: int = SAMPLE_ROWS, rounds: int = ROUNDS) -> Network:
     """Fit on documents with a language outside of the held-out fold; ``most`` rows bound the sample.
 
-    The sample takes each language evenly, by hash order; the labels are the languages in it.
+    The sample takes each language evenly, by hash order of id and text, and at least one row of each, so more
+    languages than ``most`` make more rows.  Whole texts of these rows are drawn from; rows without
+    text are not in it.  Rows that repeat id and text are one row of the fit.
     """
-    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{lang}`").cast("string").alias("_lang"), F.col(f"`{text}`").cast("string").alias("text"))
-    rows = rows.where(F.col("_lang").isNotNull() & (remainder("_id", FOLDS) != HELD_OUT))
-    names = [r[0] for r in rows.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(most).select("_lang").collect()]
-    sample = None
-    for name in names:
-        own = rows.where(F.col("_lang") == name).select("_id", "_lang").orderBy(F.xxhash64("_id"), "_id").limit(max(1, most // len(names)))
-        sample = own if sample is None else sample.union(own)
-    if sample is None:
-        return Network([])
-    chosen = rows.join(F.broadcast(sample.distinct()), ["_id", "_lang"])
-    got = text_results(chosen, _SEGMENTS, lambda: _segments, carry=["_id", "_lang"]).toArrow().sort_by([("_id", "ascending"), ("_lang", "ascending")])
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{lang}`").cast("string").alias("_lang"), F.col(f"`{text}`").cast("string").alias("_text"))
+    rows = rows.where(F.col("_lang").isNotNull() & (remainder("_id", FOLDS) != HELD_OUT) & (F.length("_text") > 0))
+    rows = rows.withColumn("_hash", F.xxhash64("_id", "_text"))
+    names = rows.select("_lang").distinct().count()
+    share = max(1, most // max(1, names))
+    # Ranks are cut in each task, then in parts of a language, then in the language: hashes only, texts stay where they are.
+    least = rows.select("_lang", "_hash")
+    for parts in (PARTS, 1):
+        of_part = Window.partitionBy("_lang", F.pmod("_hash", F.lit(parts))).orderBy("_hash")
+        least = least.withColumn("_place", F.row_number().over(of_part)).where(F.col("_place") <= share).drop("_place")
+    last = least.groupBy("_lang").agg(F.max("_hash").alias("_last"))       # one row for each language
+    chosen = rows.join(F.broadcast(last), "_lang").where("_hash <= _last").groupBy("_lang", "_hash").agg(F.min("_text").alias("_text"))
+    got = chosen.toArrow().sort_by([("_lang", "ascending"), ("_hash", "ascending")])
     labels = sorted(set(got.column("_lang").to_pylist()))
-    x, mask, y = [], [], []
-    for name, segments in zip(got.column("_lang").to_pylist(), got.column("segments").to_pylist(), strict=True):
-        for s in segments:
-            x.append(np.frombuffer(s.ljust(STEPS, b"\0"), np.uint8))
-            mask.append(np.arange(STEPS) < len(s))
-            y.append(labels.index(name))
-    return Network(labels).fit(np.array(x), np.array(mask, np.float32), np.array(y), rounds)
+    number = {name: k for k, name in enumerate(labels)}
+    texts = [t.encode() for t in got.column("_text").to_pylist()]
+    return Network(labels).fit(texts, np.array([number[name] for name in got.column("_lang").to_pylist()], np.int64), rounds)
 
 
 @own_names("text")

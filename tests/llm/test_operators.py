@@ -404,6 +404,28 @@ def test_language_on_held_out_rows(spark):
     assert got[500] == got[501] == got[502] == ("und", 0.0) and all(0 <= s <= 1 for _, s in got.values())
 
 
+def test_language_takes_every_language_and_whole_texts(spark):
+    # Four languages on a bound of two rows; what tells them apart stands far behind the beginning.
+    signs = {"a": "aba ", "b": "cdc ", "c": "efe ", "d": "ghg "}
+    rows = [(k, signs[lang] * 200, lang, "s") for k, lang in enumerate(list(signs) * 30)] + [(7, signs["d"] * 200, "d", "s")] * 50
+    docs = spark.createDataFrame(rows, DOCS)
+    network = language.fit_language(docs, most=2, rounds=60)
+    assert network.labels == list(signs)
+    got = by_id(language.language_predictions(docs, network), "lang_pred")
+    assert all(got[i] == (lang,) for i, _, lang, _ in rows)
+
+
+def test_base_spans_are_walked_once():
+    text = "\n".join(f"auth_key = zQ{k:04d}xW7pLm3Vb token = abcdefgh{k}" for k in range(3000)).encode()
+    scan = secrets.Scanner()
+    base = scan.base(text)
+    starts = {a for a, _, _ in base}
+    found = scan.novel(text, base)
+    assert len(base) == 3000 and all(a not in starts for a, _, _ in found)
+    edges = sorted([(a, b) for a, _, b in base] + [(a, b) for a, _, b in found])
+    assert all(x[1] <= y[0] for x, y in zip(edges, edges[1:], strict=False))
+
+
 def test_network_slopes():
     net = language.Network(["a", "b", "c"])
     net.w = {k: v.astype(np.float64) for k, v in net.w.items()}
