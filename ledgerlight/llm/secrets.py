@@ -49,7 +49,15 @@ LEAST = 8                     # characters of a candidate in a strong context
 BEFORE = 48                   # bytes in which a sensitive word is looked for, beyond the line
 AROUND = 256                  # bytes of context that the compressor has seen
 SHARED = 16                   # runs of so many bytes that are the candidate's own are no context
-NOVELTY = 0.5                 # marginal bytes per byte of a candidate
+#: Marginal bytes per byte of a candidate, by its alphabet: three quarters of what a random string over it holds, half at most.
+NOVELTY = 0.5
+ALPHABETS = ((re.compile(rb"[0-9]+"), 0.31), (re.compile(rb"[0-9a-f]+|[0-9A-F]+"), 0.375), (re.compile(rb"[a-z2-7]+|[A-Z2-7]+"), 0.47))
+#: Paths, dates, versions and names of several words or short numbers are no keys.  Parts are atomic, so a failing match is linear.
+_SPOKEN = rb"(?:[A-Z]?[b-df-hj-np-tv-xz]*+[aeiouy][a-z]*+)"
+_PART = rb"(?>v?[0-9]{1,4}+|%s++[0-9]{0,2}+|[A-Z]++|[a-z]{1,4}+[0-9]{0,2}+)" % _SPOKEN
+ORDINARY = re.compile(rb"(?:~|\.{1,2})?/?%s(?:[-/._]%s)++/?|%s{2,}+[0-9]{0,2}" % (_PART, _PART, _SPOKEN))
+#: Capitals that no one says: such a run is no plain word.
+UNSAID = re.compile(rb"[B-DF-HJ-NP-TV-XZ]{5}")
 FIELDS = [
     T.StructField("n_assign", T.LongType()), T.StructField("n_access", T.LongType()), T.StructField("n_hex", T.LongType()),
     T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType()), T.StructField("redacted", T.StringType()),
@@ -101,13 +109,30 @@ class Scanner:
         stretches, done = _stretches(text), 0
         fixed = sorted((s, e) for s, _, e in base)
         starts, reached = [s for s, _ in fixed], list(itertools.accumulate((e for _, e in fixed), max))
-        for a, b in _candidates(text, stretches):
+        measured = list(_candidates(text, stretches))
+        taken: list[list[int]] = []          # what is measured itself is no context: keys in a list would teach their alphabet
+        for a, b in sorted(measured):
+            if taken and a <= taken[-1][1]:
+                taken[-1][1] = max(taken[-1][1], b)
+            else:
+                taken.append([a, b])
+        begins = [a for a, _ in taken]
+
+        def around(start: int, end: int, word: bytes) -> bytes:
+            out, at = [], start
+            for k in range(max(0, bisect.bisect_right(begins, start) - 1), bisect.bisect_left(begins, end)):
+                if taken[k][1] > at:
+                    out.append(_others(text, at, max(at, taken[k][0]), word))
+                    at = taken[k][1]
+            return b"".join([*out, _others(text, at, max(at, end), word)])
+
+        for a, b in measured:
             word = text[a:b]
             before = bisect.bisect_left(starts, b)
             if a < done or before and reached[before - 1] > a:
                 continue
-            context = _others(text, b, b + AROUND, word) + _others(text, max(0, a - AROUND), a, word)
-            if self.marginal(context, word) >= NOVELTY * len(word):
+            context = around(b, min(len(text), b + AROUND), word) + around(max(0, a - AROUND), a, word)
+            if self.marginal(context, word) >= _least(word) * len(word):
                 found.append((a, 3, b))
                 done = b
         return _repeated(text, found, base)
@@ -153,6 +178,10 @@ class Scanner:
         return [*(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), pa.array(every, pa.string()), pa.array(redacted, pa.string())]
 
 
+def _least(word: bytes) -> float:
+    return next((least for of, least in ALPHABETS if of.fullmatch(word)), NOVELTY)
+
+
 def _mixed(word: bytes) -> bool:
     return bool(re.search(rb"[0-9]", word) and re.search(rb"[A-Za-z]", word))
 
@@ -175,16 +204,16 @@ def _candidates(text: bytes, stretches: Sequence[tuple[int, int, bool]]) -> Iter
         before = text[max(0, a - BEFORE) : a]
         direct = DIRECT.search(before)
         assigned = ASSIGNED.search(before)
-        strong = direct and assigned or (direct or inside and stretches[k][2]) and not PLAIN.fullmatch(value)
-        if strong and len(value) >= LEAST and b"-----" not in value:
+        strong = direct and assigned or (direct or inside and stretches[k][2]) and (not PLAIN.fullmatch(value) or UNSAID.search(value))
+        if strong and len(value) >= LEAST and b"-----" not in value and not ORDINARY.fullmatch(value):
             yield a, a + len(value)
         weak = inside or SENSITIVE.search(before) or assigned
         for run in CANDIDATE.finditer(text, a, m.end()) if len(value) >= 16 else ():
-            if _mixed(run[0]):
+            if _mixed(run[0]) and not ORDINARY.fullmatch(run[0]):
                 near = text[max(0, run.start() - BEFORE) : run.start()]
                 if weak or k < len(stretches) and stretches[k][0] <= run.start() or SENSITIVE.search(near):
                     yield run.span()
-        if assigned and not value.startswith(b"//") and (short := SHORT.match(value)) and _mixed(short[0]):
+        if assigned and not value.startswith(b"//") and (short := SHORT.match(value)) and _mixed(short[0]) and not ORDINARY.fullmatch(value):
             yield a, a + short.end()
 
 

@@ -296,6 +296,39 @@ def test_novel_strings_over_several_lines():
     assert got == [*pem, *listed, *wrapped, far]
 
 
+def _reported(text, key):
+    """Whether every place of the key lies in a reported span."""
+    scan, whole = secrets.Scanner(), text.encode()
+    base = scan.base(whole)
+    spans, at = base + scan.novel(whole, base), whole.find(key.encode())
+    return any(a <= at and b >= at + len(key) for a, _, b in spans)
+
+
+@pytest.mark.parametrize("alphabet", ["0123456789abcdef", string.ascii_uppercase + "234567", string.ascii_letters + string.digits])
+def test_random_keys_are_reported(alphabet):
+    rng = random.Random(6)
+    key = lambda n: "".join(rng.choice(alphabet) for _ in range(n))
+    for context in ("auth_key = %s", "Authorization: Bearer %s", "session_token: '%s'", "private key %s", "the credential is %s"):
+        keys = [key(n) for n in range(8, 41) for _ in range(3)]
+        assert np.mean([_reported("plain words before\n" + context % k + "\nand after it", k) for k in keys]) >= 0.9, context
+    # Keys in a list do not make each other known.
+    scan = secrets.Scanner()
+    for before in ("key ", "auth_key="):
+        keys = [key(n) for n in range(8, 41) for _ in range(6)]
+        whole = "\n".join(before + k for k in keys).encode()
+        spans = {whole[a:b].decode() for a, _, b in scan.novel(whole, [])}
+        assert np.mean([k in spans for k in keys]) >= 0.9, before
+
+
+def test_ordinary_values_are_left_out():
+    values = ["user_account_name", "/etc/service/server.key", "2024-03-17", "v1.12.3-beta", "OrderStatusReport", "billing-server3", "config.value.path", "DAILY_INDEX",
+              "~/keys/daily_report", "./service/config.json", "accountOrderTotal"]
+    for context in ("auth_key = %s", "Authorization: Bearer %s", "private key %s", "the credential is %s"):
+        assert np.mean([_reported(context % v, v) for v in values]) <= 0.1, context
+    # A name that fails late costs no more than its length.
+    assert not secrets.ORDINARY.fullmatch(b"-".join([b"aeiou" * 8] * 4000) + b"!")
+
+
 def test_short_and_plain_secrets_after_sensitive_words(spark):
     lines = ["pwd: %s", "Authorization: Bearer %s", "auth=%s", "my credential is '%s'", "db_pwd = \"%s\","]
     values = ["x7Kq9Zp2", "qZvLwXkJbTnRgYhP", "8305917264", "Zq.7!v@K#x$2", "wjxqzvkh"]
