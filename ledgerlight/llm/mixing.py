@@ -55,18 +55,20 @@ def mix_sources(
 ) -> DataFrame:
     """All columns, and size, source_size, target, taken (a column of such a name is replaced).
 
-    A source's documents are ordered by a hash of their id; whole epochs are taken first, then
+    A source's documents are ordered by a hash of their id and text; whole epochs are taken first, then
     documents in that order up to the exact word; the document at the cut gives a part of its
     words.  Null texts have no words, a null source is a source of its own, sorted last.  Rows that
-    repeat an id are documents of their own.  Sources without words have target 0.
+    repeat an id are documents of their own, and only rows equal in id and text share a hash.  Sources without words have target 0.
 
     Hash keys are uniform, so equal ranges of them split any source evenly: ``bucket_rows`` rows to a
     bucket, in the largest source.  Sums per bucket, running sums over the buckets of a source, then
     running sums inside each bucket replace a sort of a whole source.
     """
     others = [F.col(f"`{c}`") for c in beside(docs, MADE)]
-    key = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")) ).cast("binary"), 256)
-    size = F.regexp_count(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")), F.lit(WORD)).cast("long")
+    words = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
+    name = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
+    key = F.sha2(F.concat(F.lit(f"{seed}:"), name, F.lit(":"), F.md5(words.cast("binary"))).cast("binary"), 256)
+    size = F.regexp_count(words, F.lit(WORD)).cast("long")
     of_source = F.col(f"`{source}`").cast("string")
     keyed = lambda *more: docs.select(
         *more, of_source.isNull().alias("_null"), F.coalesce(of_source, F.lit("")).alias("_source"),
@@ -103,7 +105,7 @@ def mix_sources(
 SQL = r"""
 with d as (
   select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size,
-         substr(sha256('mix:' || doc_id), 1, 16) as k
+         substr(sha256('mix:' || doc_id || ':' || md5(coalesce(text, ''))), 1, 16) as k
   from documents
 ), s as (
   select source, sum(size) as words, [5.0, 2.0, 1.0][cast((row_number() over (order by source nulls last) - 1) % 3 as int) + 1]::double as w,
