@@ -14,9 +14,11 @@ from pyspark.sql import types as T
 from ledgerlight.llm.texts import ALNUM, LOWER, Words, own_names, slices, text_results
 
 WINDOW = 10
-#: Bytes of item text in one broadcast set.  A larger benchmark is met in several sets, each over all
+#: Bytes of one broadcast set as built (or one longer item).  A larger benchmark is met in several sets, each over all
 #: documents; what they find is united, so nothing is left out.
-SET_BYTES = 32 << 20
+SET_BYTES = 128 << 20
+#: A byte of item text makes at most half a window of 24 bytes and one byte of normalised words.
+BUILT = 13
 FIELDS = [
     T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("n_items", T.LongType()),
     T.StructField("items_sha256", T.StringType()), T.StructField("contaminated", T.BooleanType()),
@@ -26,37 +28,55 @@ EMPTY = hashlib.sha256(b"").hexdigest()
 
 
 class NgramSet:
-    """Windows of benchmark items by length: sorted hashes, a bit table before them, words to verify."""
+    """Windows of benchmark items by length: sorted hashes, a bit table before them, places of their words to verify.
+
+    Everything is in arrays: 24 bytes a window beside the normalised words of the items.
+    """
 
     def __init__(self, items: Sequence[tuple[str, str | None]], window: int = WINDOW):
-        table: dict[int, dict[int, dict[bytes, set[str]]]] = {}
-        for name, text in items:
-            data = LOWER[np.frombuffer((text or "").encode(), np.uint8)]
-            words = Words(data, np.array([0, len(data)]), ALNUM)
-            if not len(words):
-                continue
-            length = min(window, len(words))
-            for at, value in zip(*words.runs(words.hashes(), length), strict=True):
-                said = b" ".join(words.word(at + k) for k in range(length))
-                table.setdefault(length, {}).setdefault(int(value), {}).setdefault(said, set()).add(name)
-        self.windows = table
-        self.sorted = {n: np.sort(np.array(list(t), np.uint64)) for n, t in table.items()}
-        self.bits = {}
-        for n, values in self.sorted.items():
-            self.bits[n] = np.zeros(1 << 20, bool)
-            self.bits[n][values >> np.uint64(44)] = True
+        self.names = [name for name, _ in items]
+        said, table, done = [], {}, 0
+        for first, _, raw, offsets in slices(pa.array([text for _, text in items], pa.large_string())):
+            data = LOWER[raw]
+            words = Words(data, offsets, ALNUM)
+            size = words.ends - words.starts
+            begin = np.cumsum(size + 1) - (size + 1)
+            inside = np.flatnonzero(ALNUM[data])
+            joined = np.full(int((size + 1).sum()), 32, np.uint8)
+            joined[inside + np.repeat(begin - words.starts, size)] = data[inside]
+            hashes = words.hashes()
+            own = np.minimum(words.counts, window)
+            for length in np.unique(own[own > 0]).tolist():
+                at, value = words.runs(hashes, length)
+                mine = own[words.text[at]] == length
+                at, value = at[mine], value[mine]
+                last = at + length - 1
+                table.setdefault(length, []).append(
+                    (value, begin[at] + done, (begin[last] + size[last] - begin[at]).astype(np.int32), (words.text[at] + first).astype(np.int32))
+                )
+            said.append(joined)
+            done += len(joined)
+        self.said = np.concatenate(said) if said else np.zeros(0, np.uint8)
+        self.windows, self.bits = {}, {}
+        for length in list(table):
+            columns = [np.concatenate(c) for c in zip(*table.pop(length), strict=True)]
+            order = np.argsort(columns[0], kind="stable")
+            self.windows[length] = tuple(c[order] for c in columns)
+            self.bits[length] = np.zeros(1 << 20, bool)
+            self.bits[length][self.windows[length][0] >> np.uint64(44)] = True
 
     def found(self, words: Words, hashes: np.ndarray) -> Iterator[tuple[int, int, set[str]]]:
         """(first word, words, items) of each verified occurrence."""
-        for length, values in self.sorted.items():
+        for length, (values, begin, size, item) in self.windows.items():
             at, value = words.runs(hashes, length)
             maybe = np.flatnonzero(self.bits[length][value >> np.uint64(44)])
-            place = np.searchsorted(values, value[maybe])
-            sure = maybe[(place < len(values)) & (values[np.minimum(place, len(values) - 1)] == value[maybe])]
-            for i in sure:
-                said = b" ".join(words.word(at[i] + k) for k in range(length))
-                if items := self.windows[length][int(value[i])].get(said):
-                    yield int(at[i]), length, items
+            low, high = (np.searchsorted(values, value[maybe], side) for side in ("left", "right"))
+            for k in np.flatnonzero(low < high):
+                first = int(at[maybe[k]])
+                text = b" ".join(words.word(first + j) for j in range(length))
+                same = [e for e in range(low[k], high[k]) if self.said[begin[e] : begin[e] + size[e]].tobytes() == text]
+                if same:
+                    yield first, length, {self.names[item[e]] for e in same}
 
     def tell(self, column: pa.Array) -> list:
         out: tuple[list, ...] = ([], [], [], [], [], [])
@@ -95,13 +115,18 @@ class NgramSet:
 
 
 def item_sets(benchmark: DataFrame, id_col: str, text: str, set_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """Items in blocks of about ``set_bytes`` bytes; one block is on the driver at a time."""
-    items = benchmark.select(F.col(f"`{id_col}`").cast("string").alias("i"), F.col(f"`{text}`").cast("string").alias("t")).where("t is not null")
-    total = items.agg(F.sum(F.octet_length("t"))).head()[0] or 0
-    blocks = max(1, -(-2 * total // set_bytes)) if total > set_bytes else 1
-    for k in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k)
-        yield [("" if r.i is None else r.i, r.t) for r in part.collect()]
+    """Distinct items in blocks whose sets take at most ``set_bytes`` bytes, or one longer item; they come part by part."""
+    items = benchmark.select(
+        F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("i"), F.col(f"`{text}`").cast("string").alias("t")
+    ).where("t is not null").distinct()
+    block, built = [], 0
+    for r in items.select("i", "t", F.octet_length("t").alias("n")).toLocalIterator():
+        if block and built + BUILT * (r.n + 1) > set_bytes:
+            yield block
+            block, built = [], 0
+        block.append((r.i, r.t))
+        built += BUILT * (r.n + 1)
+    yield block
 
 
 @own_names("text")

@@ -125,6 +125,16 @@ def test_mixing_budgets(docs):
     assert again == {r.doc_id: (r.taken,) for r in rows}
 
 
+def test_rows_of_one_id_spread_over_the_buckets(spark):
+    rows = [(i, " ".join(["w"] * (1 + k % 7) + [f"x{k}"]), "en", "a") for i in (5, None) for k in range(150)]
+    df = spark.createDataFrame(rows, DOCS)
+    got = mixing.mix_sources(df, bucket_rows=20).collect()
+    assert len(got) == 300 and sum(r.taken for r in got) == round(got[0].target)
+    assert len({r.taken - r["size"] for r in got if r.doc_id == 5}) > 1           # the cut runs through the rows of the id
+    again = mixing.mix_sources(df.repartition(7), bucket_rows=1000).collect()
+    assert sorted((str(r.doc_id), r.text, r.taken) for r in again) == sorted((str(r.doc_id), r.text, r.taken) for r in got)
+
+
 def test_targets_reshare_excess(spark):
     s = spark.createDataFrame([(False, "a", 10), (False, "b", 1000), (False, "c", 0), (True, "", 1000)], "_null boolean, _source string, _words long")
     got = {(r._null, r._source): r._target for r in mixing.source_targets(s).collect()}
@@ -152,6 +162,24 @@ def test_benchmark_hits(spark, docs, set_bytes):
     assert got == brute.leaks([r[:2] for r in odd_rows()], [("" if i is None else i, t) for i, t in items])
 
 
+def test_benchmark_sets_stay_in_their_bound(spark):
+    shared = prose(4, 30)
+    items = [(k, shared + " " + prose(20 + k, 25)) for k in range(40)] + [(3, shared + " " + prose(23, 25)), (99, "a " * 400)]
+    df = spark.createDataFrame(items, "item_id long, text string").repartition(4)
+    parts = list(leaks.item_sets(df, "item_id", "text", 20_000))
+    assert len(parts) > 2 and sum(len(p) for p in parts) == 41                     # one row of two equal ones
+    for part in parts:
+        grams = leaks.NgramSet(part)
+        built = grams.said.nbytes + sum(c.nbytes for w in grams.windows.values() for c in w)
+        assert built <= leaks.BUILT * sum(len(t.encode()) + 1 for _, t in part)
+        assert len(part) == 1 or leaks.BUILT * sum(len(t.encode()) + 1 for _, t in part) <= 20_000
+    texts = [(1, "x " + shared), (2, prose(30, 12)), (3, "a " * 9), (4, "b " + "a " * 12), (5, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    for set_bytes in (leaks.SET_BYTES, 20_000):
+        got = by_id(leaks.benchmark_hits(docs, df, set_bytes=set_bytes), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+        assert got == brute.leaks(texts, items)
+
+
 def test_benchmark_spans_are_cut(spark):
     items = spark.createDataFrame([(1, "the quick brown fox")], "item_id long, text string")
     df = spark.createDataFrame([(1, "See: The quick, BROWN fox! and on"), (2, "clean")], "doc_id long, text string")
