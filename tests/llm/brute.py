@@ -17,11 +17,11 @@ def words(text, pattern=SPACED):
     return pattern.findall((text or "").translate(LOWER))
 
 
-def near(rows):
+def near(rows, shingle=4):
     sets = {}
     for i, t in rows:
         w = words(t)
-        sets[i] = {tuple(w[k : k + 4]) for k in range(max(1, len(w) - 3))} if w else set()
+        sets[i] = {tuple(w[k : k + shingle]) for k in range(max(1, len(w) - shingle + 1))} if w else set()
     up = {i: i for i in sets}
 
     def root(x):
@@ -37,6 +37,44 @@ def near(rows):
     return {i: (len(sets[i]), root(i), root(i) == i) for i in sets}
 
 
+def exact(rows):
+    """Ids that stay: the smallest of each group of equal texts."""
+    first = {}
+    for i, t in sorted(rows):
+        first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", t or ""), i)
+    return set(first.values())
+
+
+def mixed(rows, weights=(5, 2, 1), share=1.5, most=2):
+    """Words taken of each id; rows (id, text, source)."""
+    size = {i: len(SPACED.findall(t or "")) for i, t, _ in rows}
+    of = collections.defaultdict(list)
+    for i, t, s in rows:
+        of[s].append((hashlib.sha256(f"mix:{i}:{hashlib.md5((t or '').encode()).hexdigest()}".encode()).hexdigest()[:16], size[i], i))
+    sources = sorted(of, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(sources)}
+    words = {s: sum(n for _, n, _ in of[s]) for s in sources}
+    target, open_ = {}, set(sources)
+    while True:
+        left = share * sum(words.values()) - sum(most * words[s] for s in sources if s not in open_)
+        target |= {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        full = {s for s in open_ if target[s] > most * words[s]}
+        if not full:
+            break
+        target |= {s: float(most * words[s]) for s in full}
+        open_ -= full
+    taken = {}
+    for s in sources:
+        budget = math.floor(round(target[s], 6) + 0.5)
+        epochs = budget // words[s] if words[s] else 0
+        rest = budget - epochs * words[s]
+        for _, n, i in sorted(of[s]):
+            part = max(0, min(n, rest))
+            taken[i] = epochs * n + part
+            rest -= part
+    return taken
+
+
 def leaks(docs, items):
     grams = collections.defaultdict(set)
     for i, t in items:
