@@ -8,8 +8,8 @@
 
 Null texts count as empty ones: they are scored, are copies of each other, link with nothing, hold no benchmark passage, and
 give no words to the mix, so none is in the result.  A null source is a source of its own.  Columns beside those of documents
-are carried through every stage; one that has the name of a column of the last stage is replaced there.  An empty table gives
-an empty one.
+are carried through every stage; one that has the name of a stage's result column (such as score, kept or taken) holds that
+result from there on.  An empty table gives an empty one.
 """
 
 from __future__ import annotations
