@@ -63,3 +63,17 @@ def test_stages_equal_a_brute_force_version(spark, tmp_path):
     taken = brute.mixed([(i, *rows[i]) for i in keep])
     got = {r.doc_id: r.taken for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "taken").collect()}
     assert got == {i: n for i, n in taken.items() if n > 0}
+
+
+def test_empty_documents_and_clashing_names(spark, tmp_path):
+    planted(tmp_path)
+    table = pq.read_table(tmp_path / "documents.parquet")
+    for k, name in enumerate(("rep", "kept", "taken", "_key")):
+        table = table.append_column(name, pa.array([f"own{k}"] * len(table)))
+    plain = {r.doc_id: r.taken for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "taken").collect()}
+    pq.write_table(table, tmp_path / "documents.parquet")
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.taken for r in rows} == plain
+    assert {(r.rep, r["kept"], r["_key"]) for r in rows} == {("own0", True, "own3")}
+    pq.write_table(table.slice(0, 0), tmp_path / "documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
