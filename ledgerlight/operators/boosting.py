@@ -7,7 +7,9 @@ by the same code wherever they were added:
 
 * in one task, where there are at most ONE_TASK rows (a byte a value and some 40 bytes a row): a job for each
   level would take longer than the level;
-* by one aggregation job a level over the rows as a table, for any number of rows.
+* by one job a level over the rows as partitions of arrays, kept by Spark (some 45 bytes a row), for any number of
+  rows.  A task tells the sums of its rows, at most MOST_PARTS of which meet on the driver; the scores of a finished
+  tree are added once, in the partitions.
 
 A tree is grown level by level to its depth; its splits are then taken in order of gain until it has
 ``max_leaves`` leaves, which gives the tree that best-first growth gives, in fewer rounds.
@@ -19,20 +21,24 @@ import copy
 import heapq
 import json
 import math
+import pickle
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlight.session import materialise
+from ledgerlight.session import materialise, scratch_root
 
 MAX_BINS = 255
-ONE_TASK = 500_000
-KEEP_EVERY = 10               # trees between two writes of the scores in the table form
+ONE_TASK = 200_000
+PART_ROWS = 50_000            # rows of a partition at least; one for each core, MOST_PARTS at most: a level is one wave of tasks
+MOST_PARTS = 48
+KEEP_EVERY = 50               # trees between two checkpoints of the scores in the partitions
 SCORED = 2_000                # rows scored at a time
 
 
@@ -217,9 +223,9 @@ class Tree:
         return out
 
     def light(self) -> Tree:
-        """A copy without the sums of the level above, for tasks."""
+        """A copy without sums and bins, for tasks that have the bins."""
         out = copy.copy(self)
-        out._before = {}
+        out._before, out.bins, out.sums = {}, None, None
         return out
 
     def plain(self) -> list[list]:
@@ -409,56 +415,68 @@ def grow_in_one_task(rows: DataFrame, bins: Bins, settings: Settings) -> list[li
     return json.loads(rows.coalesce(1).mapInArrow(run, "trees string").collect()[0]["trees"])
 
 
-def grow_by_jobs(rows: DataFrame, bins: Bins, settings: Settings) -> list[list[list]]:
-    """Trees grown by one aggregation job a level; scores are written every KEEP_EVERY trees."""
-    state, recent = {"rows": rows}, []
+def grow_by_jobs(rows: DataFrame, bins: Bins, settings: Settings, parts: int) -> list[list[list]]:
+    """Trees grown by one job a level over ``parts`` partitions of arrays; scores are checkpointed every KEEP_EVERY trees."""
+    sc = rows.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(scratch_root(rows.sparkSession))
+    shared = sc.broadcast(bins)
 
-    def scored(raw: np.ndarray, numbers: np.ndarray, trees: list[Tree]) -> np.ndarray:
-        for t in trees:
-            raw = raw + t.values(numbers)
-        return raw
+    def pack(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(_arrays(b, shared.value))], pa.binary())], names=["part"])
+
+    def together(packed):
+        own = [pickle.loads(r[0]) for r in packed]
+        if own:
+            yield tuple(np.concatenate(p, axis=-1) for p in zip(*own, strict=True))
+
+    kept = StorageLevel.MEMORY_AND_DISK
+    first = rows.repartition(parts).mapInArrow(pack, "part binary").rdd.mapPartitions(together).persist(kept)
+    state = {"rows": first, "before": None, "trees": 0}
 
     def measure(tree: Tree) -> tuple[np.ndarray, float]:
-        light, done = tree.light(), list(recent)
-        shape = (len(light.measured), bins.total)
-
-        def run(batches):
-            total, loss = np.zeros((3, *shape)), 0.0
-            for b in batches:
-                numbers, label, weight, held, raw = _arrays(b, bins)
-                raw = scored(raw, numbers, done)
-                rows_of = {1: np.flatnonzero(~held)}
-                for _ in range(light.measured[0].bit_length() - 1):
-                    rows_of = light.step_down(numbers, rows_of)
-                total += level_sums(light, numbers, rows_of, *slopes(raw, label, weight))
-                loss += losses(raw[held], label[held], weight[held])
-            flat = total.reshape(3, -1)
-            some = np.flatnonzero(flat[2])
-            sums = [np.append(flat[c, some], loss if c == 0 else 0.0) for c in range(3)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), *map(pa.array, sums)], names=["k", "g", "h", "n"])
-
-        added = state["rows"].mapInArrow(run, "k long, g double, h double, n double").groupBy("k").agg(*[F.sum(c).alias(c) for c in "ghn"])
-        found = added.toPandas()                 # at most nodes of a level times bins
-        out, loss = np.zeros((3, shape[0] * shape[1])), found.g[found.k == -1].sum()
-        found = found[found.k >= 0]
-        out[:, found.k.to_numpy()] = found[["g", "h", "n"]].to_numpy().T
-        return out.reshape(3, *shape), float(loss)
+        light = tree.light()
+
+        def run(part):
+            light.bins = shared.value
+            numbers, label, weight, held, raw = part
+            rows_of = {1: np.flatnonzero(~held)}        # rows held back are in no node
+            for _ in range(light.measured[0].bit_length() - 1):
+                rows_of = light.step_down(numbers, rows_of)
+            sums = level_sums(light, numbers, rows_of, *slopes(raw, label, weight)).reshape(3, -1)
+            some = np.flatnonzero(sums[2])
+            return some.astype(np.int32), sums[:, some], losses(raw[held], label[held], weight[held])
+
+        out, loss = np.zeros((3, len(tree.measured) * bins.total)), 0.0
+        for some, sums, part_loss in state["rows"].map(run).collect():      # in the order of the partitions
+            out[:, some] += sums
+            loss += part_loss
+        if state["before"] is not None:
+            state["before"].unpersist()
+            state["before"] = None
+        return out.reshape(3, len(tree.measured), bins.total), loss
 
     def accept(tree: Tree) -> None:
-        recent.append(tree.light())
-        if len(recent) < KEEP_EVERY:
-            return
-        done = list(recent)
+        light = tree.light()
 
-        def run(batches):
-            for b in batches:
-                numbers, *_, raw = _arrays(b, bins)
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(scored(raw, numbers, done))], names=b.schema.names)
+        def run(part):
+            light.bins = shared.value
+            *given, raw = part
+            return *given, raw + light.values(given[0])
 
-        state["rows"] = materialise(state["rows"].mapInArrow(run, state["rows"].schema))
-        recent.clear()
+        state["before"], state["rows"] = state["rows"], state["rows"].map(run).persist(kept)
+        state["trees"] += 1
+        if state["trees"] % KEEP_EVERY == 0:
+            state["rows"].checkpoint()
 
-    return grow(bins, settings, measure, accept)
+    try:
+        return grow(bins, settings, measure, accept)
+    finally:
+        for held in (state["before"], state["rows"]):
+            if held is not None:
+                held.unpersist()
+        shared.unpersist()
 
 
 def fit_trees(
@@ -490,5 +508,9 @@ def fit_trees(
     p = min(max(ones / whole, 1e-12), 1 - 1e-12)
     base = math.log(p / (1 - p))
     ready = table.withColumn("raw", F.lit(base))
-    trees = (grow_in_one_task if n <= one_task else grow_by_jobs)(ready, bins, settings)
+    if n <= one_task:
+        trees = grow_in_one_task(ready, bins, settings)
+    else:
+        cores = rows.sparkSession.sparkContext.defaultParallelism
+        trees = grow_by_jobs(ready, bins, settings, max(1, min(MOST_PARTS, cores, n // PART_ROWS)))
     return BoostedTrees(list(features), bins, base, trees)

@@ -153,3 +153,20 @@ def test_one_class_and_no_rows(spark):
     for empty in (df.limit(0), df.withColumn("y", F.lit(None).cast("int"))):
         with pytest.raises(ValueError, match="no labelled rows"):
             boosting.fit_trees(empty, ["a"], "y", F.lit(1.0))
+
+
+def test_many_rows_train_without_writing_or_reading_them_again(spark, monkeypatch):
+    x, y, w = made(600)
+    df = frame(spark, x, y).repartition(5)
+    settings = Settings(max_iter=6, max_depth=3, max_leaves=6, min_rows=5, step=0.3)
+    weight = F.when(F.col("y") == 1, 3.0).otherwise(1.0)
+    monkeypatch.setattr(boosting, "PART_ROWS", 200)
+    monkeypatch.setattr(boosting, "KEEP_EVERY", 2)
+    written = []
+    monkeypatch.setattr(boosting, "materialise", lambda rows, keep=boosting.materialise: written.append(rows) or keep(rows))
+    one = boosting.fit_trees(df, ["a", "b", "c"], "y", weight, settings)
+    before = len(written)
+    jobs = boosting.fit_trees(df, ["a", "b", "c"], "y", weight, settings, one_task=599)
+    assert len(written) - before == before == 1        # the training table alone, not the scores of every few trees
+    assert len(jobs.trees) == 6 and [n[:4] for t in one.trees for n in t] == [n[:4] for t in jobs.trees for n in t]
+    assert np.allclose(jobs.scorer()(list(x.T)), one.scorer()(list(x.T)), atol=1e-9)
