@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlight.operators.ordered import latest_per_key, running_totals
+from ledgerlight.operators.ordered import latest_per_key, running_totals, spread_join
 from ledgerlight.session import materialise
 
 
@@ -86,45 +85,53 @@ def range_lookup(col: Column | str, bands: Sequence[tuple], field: int) -> Colum
     return out.otherwise(F.lit(bands[0][field]))
 
 
-MAX_BLOCK = 4_096            # bands of one block, and blocks that are searched in one array
+BLOCK = 64                   # entries of one array: a row that meets an array carries a copy of it
+SMALL = 1_000_000            # bands and starts up to this number are broadcast
 
 
 def band_join(
-    facts: DataFrame, value: str, bands: DataFrame, low: str, high: str, columns: Sequence[str], block: int = MAX_BLOCK
+    facts: DataFrame, value: str, bands: DataFrame, low: str, high: str, columns: Sequence[str], block: int = BLOCK
 ) -> DataFrame:
     """Left join of the band that holds ``value``: the one with the greatest ``low`` at or below it, if its ``high`` reaches it.
 
     Bands come from a table and may have gaps; where they overlap, the later start wins, and of equal starts the greater
     ``high``.  Null values and values in a gap get nulls.  A null ``low`` is no band; a null ``high`` has no end.
 
-    Up to ``block`` bands are one sorted array, which every task searches by halving: no shuffle of the facts.
-    More bands are cut into blocks of about that size by their starts; the facts find their block in the
-    array of block starts and meet the block's array in an equi-join, so no row is paired with more than one block.
-    More than ``block`` blocks are searched in larger blocks.
+    The bands are cut into sorted arrays of ``block``, the first starts of these into arrays of ``block`` again, and so on
+    up to a single array.  A fact goes down from there: in each array it finds the next one by halving and meets it in an
+    equi-join.  Up to ``SMALL`` entries a level is broadcast; above, hot arrays are.
     """
+    if block < 2:
+        raise ValueError("an array has two entries at least")
+    carried = [f"_b_{c}" for c in columns]
     rows = bands.filter(F.col(low).isNotNull()).select(
         F.col(low).alias("low"), F.struct(F.col(high).isNull().alias("open"), F.col(high).alias("high"), *[F.col(c).alias(f"_b_{c}") for c in columns]).alias("own")
     )
     # One band per start; open ends sort last.
     rows = materialise(rows.groupBy("low").agg(F.max("own").alias("own")).select("low", "own.*"))
-    n = rows.count()
-    at = F.col(value)
-    if n <= block:
-        packed = rows.agg(F.sort_array(F.collect_list(F.struct("low", "open", "high", *[f"_b_{c}" for c in columns]))).alias("_bands"))
-        met, longest = facts.crossJoin(F.broadcast(packed)), max(n, 1)   # one row
-    else:
-        size = max(block, math.ceil(n / block))
-        # Starts at even steps of the order, from counted ranks; bands are as many as distinct starts.
-        ranked = running_totals(rows.withColumn("_all", F.lit(0)), ["_all"], ["low"], {"_n": F.lit(1)})
-        cut = ranked.withColumn("_block", F.floor((F.col("_n") - 1) / size).cast("int"))
-        blocks = materialise(
-            cut.groupBy("_block").agg(F.sort_array(F.collect_list(F.struct("low", "open", "high", *[f"_b_{c}" for c in columns]))).alias("_bands"))
-        )
-        starts = blocks.agg(F.sort_array(F.collect_list(F.struct(F.col("_bands")[0]["low"].alias("low")))).alias("_starts"))
-        found = facts.crossJoin(F.broadcast(starts))                     # one row of at most ``block`` starts
-        found = found.withColumn("_block", _last_start("_starts", at, math.ceil(n / size))).drop("_starts")
-        met, longest = found.join(blocks, "_block", "left").drop("_block"), size
-    own = F.get("_bands", _last_start("_bands", at, longest))
+    n, at = rows.count(), F.col(value)
+    # Places from counted ranks; bands are as many as distinct starts.
+    level = running_totals(rows.withColumn("_all", F.lit(0)), ["_all"], ["low"], {"_n": F.lit(1)})
+    level = level.withColumn("_n", F.col("_n") - 1)
+    entry, levels = F.struct("low", "open", "high", *carried), []
+    while True:
+        node = F.floor(F.col("_n") / block).cast("long").alias("_node")
+        arrays = materialise(level.groupBy(node).agg(F.sort_array(F.collect_list(entry)).alias("_bands")))
+        levels.append((arrays, n))
+        if n <= block:
+            break
+        level, n = arrays.select(F.col("_node").alias("_n"), F.col("_bands")[0]["low"].alias("low")), -(-n // block)
+        entry = F.struct("low")
+
+    index = _last_start("_bands", at, block)
+    met = facts.withColumn("_node", F.lit(0).cast("long"))
+    for depth, (arrays, entries) in reversed(list(enumerate(levels))):
+        met = met.join(F.broadcast(arrays), "_node", "left") if entries <= SMALL else spread_join(materialise(met), arrays, ["_node"])
+        if depth:
+            place = F.col("_node") * block + index
+            # A value below all starts is below the first one of the first array.
+            met = met.withColumn("_node", F.when(place >= 0, place)).drop("_bands")
+    own = F.get("_bands", index)
     inside = own["open"] | (at <= own["high"])
     met = met.withColumn("_own", F.when(inside, own))
     return met.select(*facts.columns, *[F.col("_own")[f"_b_{c}"].alias(c) for c in columns])

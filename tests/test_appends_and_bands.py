@@ -93,6 +93,19 @@ def test_bands_of_a_table_equal_brute_force(spark, block):
     assert joins.band_join(facts, "v", table.limit(0), "du", "au", ["name"], block).filter("name is not null").count() == 0
 
 
+@pytest.mark.parametrize("small", [10**6, 0])
+def test_no_row_meets_a_long_array_of_bands(spark, monkeypatch, small):
+    taken = []
+    search = joins._last_start
+    monkeypatch.setattr(joins, "_last_start", lambda array, at, longest: taken.append(longest) or search(array, at, longest))
+    monkeypatch.setattr(joins, "SMALL", small, raising=False)
+    table = spark.range(700).select((F.col("id") * 3.0).alias("du"), (F.col("id") * 3.0 + 1).alias("au"), F.col("id").alias("k"))
+    facts = spark.range(-5, 2200).select("id", F.col("id").cast("double").alias("v"))
+    got = {r["id"]: r["k"] for r in joins.band_join(facts, "v", table, "du", "au", ["k"]).collect()}
+    assert got == {v: v // 3 if 0 <= v < 2100 and v % 3 < 2 else None for v in range(-5, 2200)}
+    assert max(taken) <= 64                            # every row carries a copy of the array it meets
+
+
 def test_stream_batches_use_the_champion_of_their_time(spark, tmp_path):
     base = str(tmp_path)
     schema = "transaction_id int, montant double, type_transaction string, mode_paiement string, heure int, is_weekend int, est_international int"
