@@ -36,6 +36,20 @@ def test_quantiles_by_group_and_nulls(spark):
     assert got == {"a": 2.0, None: 7.0}
 
 
+def test_values_of_many_features_are_counted_one_feature_at_a_time(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(ranks, "materialise", lambda rows, keep=ranks.materialise: written.append(rows.columns) or keep(rows))
+    nan = float("nan")
+    df = spark.createDataFrame([("a", 1, 1.0, 5), ("a", 0, 1.0, None), (None, 1, nan, 5), ("a", 1, 2.0, 5), ("b", None, None, 7)], "g string, y int, v double, w int")
+    counts = ranks.value_counts(df, ["v", "w"], ["g"])
+    got = sorted((r["variable"], r["value"], str(r["g"]), r["n"]) for r in counts.collect())
+    assert got == [("v", 1.0, "a", 2), ("v", 2.0, "a", 1), ("w", 5.0, "None", 1), ("w", 5.0, "a", 2), ("w", 7.0, "b", 1)]
+    sums = {r["variable"]: (r["n1"], r["n0"], r["u"]) for r in ranks.rank_sums(df, ["v", "w"], "y").collect()}
+    assert sums == {"v": (2, 1, 1.5), "w": (3, 0, 0.0)}
+    # The narrow rows are written first, so no task holds the pairs of all features of its rows.
+    assert written[0] == ["g", "_f0", "_f1"] and written[2] == ["_y", "_f0", "_f1"]
+
+
 def brute_u(data):
     return sum((a > b) + 0.5 * (a == b) for _, ya, a in data if ya for _, yb, b in data if not yb)
 
