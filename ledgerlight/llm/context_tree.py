@@ -78,15 +78,20 @@ class Tally:
         self.waiting += len(keys)
         if self.waiting > 1_000_000:
             self.parts = [self.total()]
-            self.waiting = 0
 
     def total(self) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.concatenate([p[0] for p in self.parts]) if self.parts else np.zeros(0, np.uint64)
-        counts = np.concatenate([p[1] for p in self.parts]) if self.parts else np.zeros(0, np.int64)
+        """All keys, sorted, and their counts; the tally is empty afterwards, so the parts are not held beside their sum."""
+        parts, self.parts, self.waiting = self.parts, [], 0
+        keys = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint64)
+        counts = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
+        parts.clear()
         order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
+        keys = keys[order]
+        counts = counts[order]
+        del order
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-        return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+        keys = keys[first]
+        return keys, np.add.reduceat(counts, first) if len(first) else counts
 
 
 def _unpacked(column: pa.Array) -> pa.Array:
@@ -121,7 +126,7 @@ def gathered(rows: DataFrame) -> DataFrame:
 
     def told(chunk: int, tallies: dict[int, Tally]):
         for kind, tally in tallies.items():
-            keys, n = tally.total()
+            keys, n = tally.total()           # which empties it
             for k in range(0, len(keys), 100_000):
                 part = keys[k : k + 100_000]
                 yield pa.RecordBatch.from_arrays(

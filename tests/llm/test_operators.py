@@ -502,3 +502,12 @@ def test_network_slopes():
         down = net.slopes(x, mask, y)[0]
         net.w[name][at] = keep
         assert slope[name][at] == pytest.approx((up - down) / (2 * step), rel=2e-2, abs=1e-4), name
+
+
+def test_tally_does_not_hold_its_parts_beside_their_sum():
+    tally = context_tree.Tally()
+    tally.add(np.array([3, 9], np.uint64), np.array([1, 0]))
+    tally.add(np.array([1, 3], np.uint64), np.array([4, 2]))
+    keys, counts = tally.total()
+    assert keys.tolist() == [1, 3, 9] and counts.tolist() == [4, 3, 0]
+    assert tally.parts == [] and tally.waiting == 0
