@@ -42,7 +42,7 @@ ONE_TASK = 1_000_000
 PART_ROWS = 50_000            # rows of a partition at least; one for each core, MOST_PARTS at most: a level is one wave of tasks
 MOST_PARTS = 48
 KEEP_EVERY = 50               # trees between two checkpoints of the scores in the partitions
-SCORED = 2_000                # rows scored at a time
+SCORED = 250                  # rows scored at a time: their bit sets stay in a core's cache
 CODES = 1 << 16               # numbers of a code of several features
 CODED_ROWS = 30_000           # rows of a node that make the margins of codes worth it
 

@@ -151,6 +151,11 @@ def permutation_sides(n: int) -> tuple[int, int]:
     return min(((a, -(-n // a)) for a in range(root, root + 64)), key=lambda s: (s[0] * s[1] - n, s[0]))
 
 
+def keyed_move(v: Column, key: Column, k: Column) -> Column:
+    text = F.concat_ws(":", v.cast("string"), key, k.cast("string"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+
+
 def permuted(i: Column, n: int, key: Column) -> Column:
     """A random permutation of 0 .. n-1, as an expression: where row ``i`` goes.
 
@@ -160,13 +165,9 @@ def permuted(i: Column, n: int, key: Column) -> Column:
     """
     a, b = permutation_sides(n)
 
-    def move(v: Column, k: Column) -> Column:
-        text = F.concat_ws(":", v.cast("string"), key, k.cast("string"))
-        return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
-
     def one_round(s: Column, k: Column) -> Column:
-        left = F.when(k % 2 == 0, (s["l"] + move(s["r"], k)) % a).otherwise(s["l"])
-        right = F.when(k % 2 == 1, (s["r"] + move(s["l"], k)) % b).otherwise(s["r"])
+        left = F.when(k % 2 == 0, (s["l"] + keyed_move(s["r"], key, k)) % a).otherwise(s["l"])
+        right = F.when(k % 2 == 1, (s["r"] + keyed_move(s["l"], key, k)) % b).otherwise(s["r"])
         return F.struct(left.alias("l"), right.alias("r"))
 
     def network(x: Column) -> Column:
@@ -178,6 +179,24 @@ def permuted(i: Column, n: int, key: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(spare)), x, lambda at, _: F.when(at < n, at).otherwise(network(at))) if spare else x
 
 
+def add_permuted(df: DataFrame, to: str, i: str, n: int, key: str) -> DataFrame:
+    """Column ``to`` = ``permuted`` of the columns ``i`` and ``key``.
+
+    Each round is a column of its own, so that Spark compiles it and takes each hash once; only the few cells
+    outside of the rows go through the expression.
+    """
+    a, b = permutation_sides(n)
+    x, left, right = F.col(i).cast("long"), F.col("_left"), F.col("_right")
+    out = df.withColumns({"_left": F.floor(x / F.lit(b)).cast("long"), "_right": x % b})
+    for k in range(ROUNDS):
+        if k % 2 == 0:
+            out = out.withColumn("_left", (left + keyed_move(right, F.col(key), F.lit(k))) % a)
+        else:
+            out = out.withColumn("_right", (right + keyed_move(left, F.col(key), F.lit(k))) % b)
+    out = out.withColumn(to, left * b + right).drop("_left", "_right")
+    return out.withColumn(to, F.when(F.col(to) < n, F.col(to)).otherwise(permuted(F.col(to), n, F.col(key)))) if a * b > n else out
+
+
 def permuted_rows(
     df: DataFrame, features: Sequence[str], key: str, label: str, repeats: int = 5, sample: int | None = None,
     seed: int = SEED, max_rows: int = MAX_ROWS,
@@ -204,9 +223,10 @@ def permuted_rows(
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     each = numbered.repartition(tasks, "_i").withColumn("_s", F.explode(F.array(*shuffles))).select("*", "_s.*").drop("_s")
     named = F.concat_ws(":", F.lit(str(seed)), "feature", F.col("essai").cast("string"))
+    each = add_permuted(each.withColumn("_named", named), "_from", "_i", n, "_named").drop("_named")
     donors = numbered.select(F.col("_i").alias("_from"), *[F.col(f).alias(f"_d_{f}") for f in features])
     return (
-        each.withColumn("_from", F.when(F.col("feature") == "", F.col("_i")).otherwise(permuted(F.col("_i"), n, named)))
+        each.withColumn("_from", F.when(F.col("feature") == "", F.col("_i")).otherwise(F.col("_from")))
         .join(donors, "_from")
         .withColumns({f: F.when(F.col("feature") == f, F.col(f"_d_{f}")).otherwise(F.col(f)) for f in features})
         .select("feature", "essai", F.col("_id").alias(key), F.col("_y").alias(label), *features)

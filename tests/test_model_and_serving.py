@@ -224,3 +224,15 @@ def test_stream_restart_and_duplicates(spark, tmp_path):
     assert run() == [1, 3, 5, 7]
     deliver([-86399])          # a day before the others, and long after them
     assert run() == [-86399, 1, 3, 5, 7]
+
+
+def test_rounds_as_columns_are_the_permutation(spark):
+    for n in (1, 2, 40, 1001, 5000):
+        rows = spark.range(n).withColumn("_n", F.concat(F.lit("42:x:"), (F.col("id") % 2).cast("string")))
+        for key in ("_n", "fixed"):
+            keyed = rows.withColumn("fixed", F.lit("42:y:0"))
+            got = model.add_permuted(keyed, "to", "id", n, key)
+            assert got.columns == [*keyed.columns, "to"]
+            got = got.withColumn("want", model.permuted(F.col("id"), n, F.col(key))).collect()
+            assert all(r["to"] == r["want"] for r in got) and len(got) == n
+        assert sorted(r["to"] for r in got) == list(range(n))
