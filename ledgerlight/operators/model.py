@@ -20,6 +20,7 @@ TEST_SHARE = 0.2
 FRAUD_WEIGHT = 15
 UNKNOWN_CODE = -1
 MAX_CLASSES = 1000
+PREFIX = 4                    # hex digits of the hash that are counted; one prefix has some 1/65,536 of a class
 BROADCAST_CODES = 100_000
 # Hyper-parameters of the trees.
 MAX_ITER, MAX_DEPTH, STEP, L2 = 300, 6, 0.05, 1.0
@@ -55,7 +56,7 @@ def stratified_split(
     share the prefix in which the cut falls.
     """
     spark = df.sparkSession
-    h, prefix = shuffle_key(key, seed), F.substring("_h", 1, 5)
+    h, prefix = shuffle_key(key, seed), F.substring("_h", 1, PREFIX)
     hashed = df.select(F.col(label).alias("_y"), h.alias("_h"), F.col(key).alias("_id")).withColumn("_b", prefix)
     counts = materialise(hashed.groupBy("_y", "_b").agg(F.count(F.lit(1)).alias("n")))
     sizes = counts.groupBy("_y").agg(F.sum("n").alias("n")).limit(MAX_CLASSES + 1).collect()
@@ -67,7 +68,7 @@ def stratified_split(
 
     upto = Window.partitionBy("_y").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cut = (
-        counts.withColumn("_upto", F.sum("n").over(upto))   # at most 16^5 prefixes per class
+        counts.withColumn("_upto", F.sum("n").over(upto))   # at most 16^PREFIX prefixes per class
         .join(F.broadcast(wanted.withColumnRenamed("_y", "_c")), F.col("_y").eqNullSafe(F.col("_c")))
         .filter((F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("n") < F.col("_k")))
         .select("_c", F.col("_b").alias("_cb"), (F.col("_k") - F.col("_upto") + F.col("n")).alias("_need"))

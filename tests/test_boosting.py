@@ -195,3 +195,38 @@ def test_sums_by_codes_of_several_features_are_the_sums_by_feature(spark, monkey
     coded = boosting.fit_trees(frame(spark, x, y), ["a", "b", "c"], "y", weight, held)
     jobs = boosting.fit_trees(frame(spark, x, y), ["a", "b", "c"], "y", weight, held, one_task=0)
     assert [n[:4] for t in coded.trees for n in t] == [n[:4] for t in jobs.trees for n in t] and len(coded.trees) == 5
+
+
+def test_rows_side_by_side_give_the_same_sums_to_the_last_bit(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "CODED_ROWS", 150)
+    x, y, w = made(900)
+    bins, settings = exact_bins(x), Settings(max_iter=5, max_depth=5, min_rows=5, step=0.3)
+    numbers, raw = bins.numbers(list(x.T)), np.linspace(-2, 2, len(y))
+    p = 1 / (1 + np.exp(-raw))
+    g, h = boosting.slopes(raw, y, w)
+    assert np.array_equal(g, w * (p - y)) and np.array_equal(h, w * p * (1 - p))
+    for codes in (None, bins.codes(numbers)):
+        beside = [boosting.side_by_side(c) for c in (numbers, np.stack([g, h]), codes) if c is not None]
+        assert [len(b) for b in beside] == [len(y)] * len(beside)
+        tree, rows, seen, sizes = Tree(bins, settings), {1: np.arange(len(y))}, None, set()
+        while tree.measured:
+            plain = boosting.level_sums(tree, numbers, rows, g, h, codes)
+            assert np.array_equal(boosting.level_sums(tree, numbers, rows, g, h, codes, beside, seen), plain)
+            if seen is None:
+                seen = plain[2, 0].copy()
+                assert np.array_equal(boosting.level_sums(tree, numbers, rows, g, h, codes, beside, seen), plain)
+            sizes |= {len(rows[n]) >= 150 for n in tree.measured}
+            tree.absorb(plain)
+            rows = tree.step_down(numbers, rows)
+            assert sorted(np.concatenate(list(rows.values())).tolist()) == list(range(len(y)))
+        assert sizes == {True, False}                  # nodes with codes and nodes without
+
+
+def test_bins_count_the_features_as_groups_of_one_sketch(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(boosting.F, "approx_count_distinct", lambda c, rsd, f=F.approx_count_distinct: seen.append((c, rsd)) or f(c, rsd))
+    df = spark.range(3000).select(*[(F.col("id") % m).cast("double").alias(f"f{m}") for m in (2, 40, 200, 900, 3000)], F.lit(None).cast("double").alias("none"))
+    bins = boosting.find_bins(df, df.columns)
+    assert len(seen) == 1
+    assert [len(e) for e in bins.edges[:3]] == [1, 39, 199] and all(200 <= len(e) <= 254 for e in bins.edges[3:5]) and len(bins.edges[5]) == 0
+    assert [len(e) for e in boosting.find_bins(df.limit(0), df.columns).edges] == [0] * 6

@@ -1,6 +1,7 @@
 """Split, encoder, importance, registry, scoring, alerts and streams."""
 
 import datetime as dt
+import hashlib
 import inspect
 import json
 import random
@@ -25,6 +26,16 @@ def test_split_sizes(spark):
     assert again == {r["id"] for r in parts.filter("partie = 'test'").collect()}
 
 
+def test_split_counts_far_fewer_prefixes_than_rows(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(model, "materialise", lambda df, keep=model.materialise: written.append(keep(df)) or written[-1])
+    df = spark.range(200_000).withColumn("y", F.lit(0))
+    got = {r["id"] for r in model.stratified_split(df, "id", "y").filter("partie = 'test'").collect()}
+    order = sorted(range(200_000), key=lambda k: (hashlib.md5(f"{k}:{model.SEED}".encode()).hexdigest(), k))
+    assert got == set(order[:40_000])
+    assert [w.count() <= most for w, most in zip(written, (16**4, 1), strict=True)] == [True, True]
+
+
 def test_split_quota_is_exact():
     assert model.test_sizes({0: 98, 1: 2}) == {0: 20, 1: 0} or sum(model.test_sizes({0: 98, 1: 2}).values()) == 20
     assert sum(model.test_sizes({0: 7, 1: 4, 2: 2}).values()) == 3
