@@ -44,6 +44,7 @@ PART_ROWS = 50_000            # rows of a partition at least; one for each core,
 MOST_PARTS = 48
 KEEP_EVERY = 50               # trees between two checkpoints of the scores in the partitions
 SCORED = 250                  # rows scored at a time: their bit sets stay in a core's cache
+MOVED = 32                    # the same where features are moved: some 17 bit sets a row
 CODES = 1 << 16               # numbers of a code of several features
 CODED_ROWS = 30_000           # rows of a node that make the margins of codes worth it
 
@@ -84,6 +85,11 @@ class Bins:
     def total(self) -> int:
         return int(self.width.sum())
 
+    @property
+    def kind(self) -> type:
+        """Of the bin numbers."""
+        return np.uint8 if self.width.max(initial=0) <= 256 else np.int32
+
     def coded(self) -> list[list[int]]:
         """Features in groups, each feature in one, whose bins together have at most CODES numbers."""
         groups, sizes = [], []
@@ -110,8 +116,7 @@ class Bins:
 
     def numbers(self, columns: Sequence[np.ndarray]) -> np.ndarray:
         """(features, rows) bin numbers; NaN is missing."""
-        kind = np.uint8 if self.width.max(initial=0) <= 256 else np.int32
-        out = np.empty((len(self.edges), len(columns[0]) if columns else 0), kind)
+        out = np.empty((len(self.edges), len(columns[0]) if columns else 0), self.kind)
         for k, (x, edges) in enumerate(zip(columns, self.edges, strict=True)):
             found = np.searchsorted(edges, x, "left")
             out[k] = np.where(np.isnan(x), len(edges) + 1, found)
@@ -348,6 +353,17 @@ class Patience:
 
 # --- model --------------------------------------------------------------------
 
+def first_leaf(left: np.ndarray) -> np.ndarray:
+    """Number of the lowest bit of each set: the exponent of that bit as a floating number."""
+    lowest = np.negative(left)
+    lowest &= left
+    whole, bits, bias = (np.float32, 23, 127) if left.dtype == np.int32 else (np.float64, 52, 1023)
+    out = lowest.astype(whole).view(np.int32 if left.dtype == np.int32 else np.int64)
+    out >>= bits
+    out -= bias
+    return out
+
+
 @dataclass
 class BoostedTrees:
     """A fitted model: features, bins, log-odds of the training rows, trees as lists of nodes."""
@@ -363,7 +379,9 @@ class BoostedTrees:
         Leaves are numbered from left to right, one bit each.  A split that sends a row right rules out the
         leaves on its left; the first leaf not ruled out by any split is the row's leaf.
         """
-        ruled = [np.full((w, len(self.trees)), np.iinfo(np.uint64).max, np.uint64) for w in self.bins.width]
+        few = all(sum(n[1] < 0 for n in nodes) <= 31 for nodes in self.trees)
+        kind = np.int32 if few else np.uint64
+        ruled = [np.full((w, len(self.trees)), -1 if few else np.iinfo(np.uint64).max, kind) for w in self.bins.width]
         values = np.zeros((len(self.trees), 64))
         for t, nodes in enumerate(self.trees):
             by_node, leaves = {n[0]: n for n in nodes}, []
@@ -376,7 +394,7 @@ class BoostedTrees:
                     return
                 first = len(leaves)
                 walk(2 * node)
-                left = np.uint64(((1 << len(leaves)) - 1) ^ ((1 << first) - 1))
+                left = kind(((1 << len(leaves)) - 1) ^ ((1 << first) - 1))
                 right = np.arange(self.bins.width[feature]) > cut
                 right[-1] = not missing_left
                 ruled[feature][right, t] &= ~left
@@ -385,26 +403,74 @@ class BoostedTrees:
             walk(1)
         return ruled, values
 
+    def rounded(self, values: np.ndarray) -> tuple[np.ndarray, float]:
+        """Values and base as multiples of the last bit of the largest possible sum, so that sums are exact in any order."""
+        most = float(np.abs(values).max(1).sum()) + abs(self.base)
+        unit = 2.0 ** (math.frexp(most)[1] - 52)
+        return np.rint(values / unit) * unit, float(np.rint(self.base / unit) * unit)
+
     def scorer(self) -> Callable[[Sequence[np.ndarray]], np.ndarray]:
         """Function from feature columns to probabilities."""
         ruled, values = self.tables()
-        flat, first = values.ravel(), np.arange(len(self.trees)) * values.shape[1]
+        values, base = self.rounded(values) if self.trees else (values, self.base)
+        flat, first = values.ravel(), np.arange(len(self.trees), dtype=np.int32) * values.shape[1]
 
         def score(columns: Sequence[np.ndarray]) -> np.ndarray:
             numbers = self.bins.numbers(columns)
-            out = np.full(numbers.shape[1], self.base)
+            out = np.full(numbers.shape[1], base)
             for k in range(0, len(out) if self.trees else 0, SCORED):
                 own = numbers[:, k : k + SCORED]
-                left = ruled[0][own[0]]
+                left = ruled[0].take(own[0], axis=0)
                 for f in range(1, len(ruled)):
-                    left &= ruled[f][own[f]]
-                lowest = left & (~left + np.uint64(1))
-                leaf = np.frexp(lowest.astype(np.float64))[1] - 1
-                out[k : k + SCORED] += flat[leaf + first].sum(1)
+                    left &= ruled[f].take(own[f], axis=0)
+                out[k : k + SCORED] += flat.take(first_leaf(left) + first).sum(1)
             return 1 / (1 + np.exp(-out))
 
         return score
 
+    def moved_scorer(self) -> Callable[[np.ndarray, dict[int, np.ndarray]], tuple[np.ndarray, dict[int, np.ndarray]]]:
+        """Function from (features, rows) bin numbers, and for some features (repeats, rows) numbers in place of their own,
+        to the probabilities of the rows and, for each of those features, (repeats, rows) probabilities.
+
+        The bit sets of all other features are ANDed once a row; only trees that split by the moved feature are read again,
+        and only for rows whose number changes.  The sums are exact, so the results are those of ``scorer``.
+        """
+        ruled, values = self.tables()
+        values, base = self.rounded(values) if self.trees else (values, self.base)
+        flat, first = values.ravel(), np.arange(len(self.trees), dtype=np.int32) * values.shape[1]
+        used = [np.flatnonzero((table != table.dtype.type(-1 if table.dtype == np.int32 else np.iinfo(np.uint64).max)).any(0)) for table in ruled]
+        tight = [np.ascontiguousarray(table[:, t]) for table, t in zip(ruled, used, strict=True)]
+        chance = lambda raw: 1 / (1 + np.exp(-raw))
+
+        def score(numbers: np.ndarray, moved: dict[int, np.ndarray]) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+            raw, out = np.full(numbers.shape[1], base), {f: np.full(to.shape, base) for f, to in moved.items()}
+            for k in range(0, len(raw) if self.trees else 0, MOVED):
+                own = numbers[:, k : k + MOVED]
+                sets = [table.take(x, axis=0) for table, x in zip(ruled, own, strict=True)]
+                after = sets[-1:]                     # of the last features, one more each time
+                for x in reversed(sets[:-1]):
+                    after.append(after[-1] & x)
+                leaves = flat.take(first_leaf(after.pop()) + first)
+                raw[k : k + MOVED] += leaves.sum(1)
+                before = None
+                for f, x in enumerate(sets):
+                    behind = after.pop() if after else None
+                    if f in moved:
+                        to, now = moved[f][:, k : k + MOVED], raw[k : k + MOVED]
+                        scores, t, (essay, row) = np.broadcast_to(now, to.shape).copy(), used[f], np.nonzero(to != own[f])
+                        if len(t) and len(row):
+                            left = tight[f].take(to[essay, row], axis=0)
+                            others = before if behind is None else behind if before is None else before & behind
+                            if others is not None:
+                                left &= others.take(t, axis=1).take(row, axis=0)
+                            kept = now - leaves[:, t].sum(1)
+                            scores[essay, row] = kept.take(row) + flat.take(first_leaf(left) + first[t]).sum(1)
+                        out[f][:, k : k + MOVED] = scores
+                    before = x if before is None else before & x
+            return chance(raw), {f: chance(x) for f, x in out.items()}
+
+        return score
+
     def save(self, spark: SparkSession, path: str) -> None:
         """One row of text; the model does not grow with the data."""
         text = json.dumps({"features": self.features, "edges": [e.tolist() for e in self.bins.edges], "base": self.base, "trees": self.trees})

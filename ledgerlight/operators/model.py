@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -144,6 +148,8 @@ def add_probability(df: DataFrame, model: BoostedTrees, score: str = "fraud_prob
 # --- permutation importance --------------------------------------------------
 
 ROUNDS = 6
+DONOR_BYTES = 64 << 20        # bin numbers of whole features that a task reads at once
+PACKED = 4_000                # rows packed into arrays that are scored together
 
 
 def permutation_sides(n: int) -> tuple[int, int]:
@@ -198,16 +204,41 @@ def add_permuted(df: DataFrame, to: str, i: str, n: int, key: str) -> DataFrame:
     return out.withColumn(to, F.when(F.col(to) < n, F.col(to)).otherwise(permuted(F.col(to), n, F.col(key)))) if a * b > n else out
 
 
-def permuted_rows(
-    df: DataFrame, features: Sequence[str], key: str, label: str, repeats: int = 5, sample: int | None = None,
-    seed: int = SEED, max_rows: int = MAX_ROWS,
-) -> DataFrame:
-    """(feature, essai, key, label, features...): every row once as it is (feature "") and once for each feature and
-    repeat, that feature taken from another row by a random permutation of its own.
+def move_tables(n: int, keys: Sequence[str]) -> np.ndarray:
+    """(keys, ROUNDS, side): every move of ``permuted`` for each key.  A move depends on one coordinate, so there are some
+    square root of n of them in a round, and a number goes through the rounds by looking them up."""
+    a, b = permutation_sides(n)
+    out = np.zeros((len(keys), ROUNDS, max(a, b)), np.int32)
+    for own, key in zip(out, keys, strict=True):
+        for k, moves in enumerate(own):
+            side, of = (a, b) if k % 2 == 0 else (b, a)
+            moves[:of] = [int(hashlib.md5(f"{v}:{key}:{k}".encode()).hexdigest()[:8], 16) % side for v in range(of)]
+    return out
 
-    Rows get a number in hash order and fetch the one value by an equi-join on the number.
-    ``sample`` takes a random sample of that many rows instead of all.
-    """
+
+def permuted_by(moves: np.ndarray, i: np.ndarray, n: int) -> np.ndarray:
+    """``permuted`` of the numbers ``i`` by the moves of one key."""
+    a, b = permutation_sides(n)
+
+    def network(x: np.ndarray) -> np.ndarray:
+        left, right = np.divmod(x, b)
+        for k in range(ROUNDS):
+            if k % 2 == 0:
+                left = (left + moves[k].take(right)) % a
+            else:
+                right = (right + moves[k].take(left)) % b
+        return left * b + right
+
+    out = network(i.astype(np.int64))
+    while len(outside := np.flatnonzero(out >= n)):
+        out[outside] = network(out[outside])
+    return out
+
+
+def numbered_rows(
+    df: DataFrame, features: Sequence[str], key: str, label: str, sample: int | None, seed: int, max_rows: int
+) -> tuple[DataFrame, int]:
+    """(features..., _y, _id, _i), written once: rows numbered from 0 in hash order; and how many there are."""
     rows = df.select(*features, F.col(label).alias("_y"), F.col(key).alias("_id")).withColumn("_h", shuffle_key("_id", seed))
     if sample is not None:
         rows = rows.orderBy("_h", "_id").limit(sample)
@@ -218,10 +249,28 @@ def permuted_rows(
     n = numbered.count()
     if n == 0:
         raise ValueError("no rows to evaluate")
+    return numbered, n
+
+
+def permuted_rows(
+    df: DataFrame, features: Sequence[str], key: str, label: str, repeats: int = 5, sample: int | None = None,
+    seed: int = SEED, max_rows: int = MAX_ROWS,
+) -> DataFrame:
+    """(feature, essai, key, label, features...): every row once as it is (feature "") and once for each feature and
+    repeat, that feature taken from another row by a random permutation of its own.
+
+    Rows get a number in hash order and fetch the one value by an equi-join on the number.
+    ``sample`` takes a random sample of that many rows instead of all.
+    """
+    return permuted_copies(*numbered_rows(df, features, key, label, sample, seed, max_rows), features, key, label, repeats, seed)
+
+
+def permuted_copies(numbered: DataFrame, n: int, features: Sequence[str], key: str, label: str, repeats: int, seed: int) -> DataFrame:
+    """``permuted_rows`` of ``numbered_rows``."""
     shuffles = [F.struct(F.lit("").alias("feature"), F.lit(0).alias("essai"))]
     shuffles += [F.struct(F.lit(f).alias("feature"), F.lit(r).alias("essai")) for f in features for r in range(repeats)]
     # Every row becomes 1 + features * repeats rows, so the rows are spread over the tasks first.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     each = numbered.repartition(tasks, "_i").withColumn("_s", F.explode(F.array(*shuffles))).select("*", "_s.*").drop("_s")
     named = F.concat_ws(":", F.lit(str(seed)), "feature", F.col("essai").cast("string"))
     each = add_permuted(each.withColumn("_named", named), "_from", "_i", n, "_named").drop("_named")
@@ -234,6 +283,72 @@ def permuted_rows(
     )
 
 
+def packed_rows(numbered: DataFrame, trees: BoostedTrees, coded: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(i, y, f0, f1, ...), written once: numbers, labels (-1: null) and bin numbers of some thousand rows as arrays of bytes."""
+    names = ["i", "y", *[f"f{k}" for k in range(len(trees.features))]]
+    truth = F.when(F.col("_y").isNull(), -1).otherwise((F.col("_y") != 0).cast("int"))
+
+    def pack(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            for k in range(0, b.num_rows, PACKED):
+                i, y, *columns = [c.to_numpy(zero_copy_only=False) for c in b.slice(k, PACKED).columns]
+                arrays = [i.astype(np.int32), y.astype(np.int8), *trees.bins.numbers([c.astype(np.float64) for c in columns])]
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in arrays], names=names)
+
+    table = coded(numbered).select("_i", truth.alias("_y"), *[boosting.as_double(f).alias(f"_f{k}") for k, f in enumerate(trees.features)])
+    return materialise(table.mapInArrow(pack, ", ".join(f"{c} binary" for c in names)))
+
+
+def shuffle_curves(
+    numbered: DataFrame, n: int, trees: BoostedTrees, coded: Callable[[DataFrame], DataFrame], features: Sequence[str], repeats: int,
+    seed: int, score: str, max_rows: int,
+) -> DataFrame:
+    """(feature, essai, pr_auc) of the rows of ``permuted_rows``, each with the probability that its trees give it.
+
+    A row is scored together with its copies (``moved_scorer``).  Trees see bin numbers only, so a copy takes the bin number
+    of the other row, from arrays that the tasks get: at most DONOR_BYTES, so some features at a time.
+    """
+    spark, kind = numbered.sparkSession, trees.bins.kind
+    packed = packed_rows(numbered, trees, coded)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    steps = -(-len(features) // max(1, DONOR_BYTES // (n * np.dtype(kind).itemsize)))
+    out = []
+    for step in range(steps):
+        some = list(features[step * len(features) // steps : (step + 1) * len(features) // steps])
+        places = [trees.features.index(f) for f in some]
+        shuffles = [("", 0)] * (step == 0) + [(f, r) for f in some for r in range(repeats)]
+        donors = np.empty((len(some), n), kind)
+        for at, *found in packed.select("i", *[f"f{k}" for k in places]).toLocalIterator(prefetchPartitions=True):
+            for own, x in zip(donors, found, strict=True):
+                own[np.frombuffer(at, np.int32)] = np.frombuffer(x, kind)
+        moves = move_tables(n, [f"{seed}:{f}:{r}" for f in some for r in range(repeats)])
+        given = spark.sparkContext.broadcast((donors, moves))
+
+        def run(batches: Iterator[pa.RecordBatch], given=given, places=places, first=step == 0):
+            score_all, (donors, moves) = trees.moved_scorer(), given.value
+            for b in batches:
+                for at in range(b.num_rows):
+                    i, y, *numbers = [np.frombuffer(c[at].as_py(), t) for c, t in zip(b.columns, (np.int32, np.int8, *[kind] * len(trees.features)), strict=True)]
+                    moved = {
+                        f: np.stack([donors[k].take(permuted_by(moves[k * repeats + r], i, n)) for r in range(repeats)]) for k, f in enumerate(places)
+                    }
+                    plain, found = score_all(np.stack(numbers), moved)
+                    known = np.flatnonzero(y >= 0)
+                    label = pa.array(y[known].astype(np.int32))
+                    for number, x in enumerate([plain] * first + [x for f in places for x in found[f]]):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.full(len(known), number, np.int32)), label, pa.array(x[known])], names=["_g", "_y", score]
+                        )
+
+        copies = packed.repartition(tasks).mapInArrow(run, f"_g int, _y int, `{score}` double")
+        curve = score_curve(copies, "_y", score, ["_g"], max_rows)
+        ap = materialise(curve_summary(curve, ["_g"]).select("_g", "pr_auc"))
+        given.destroy()
+        names = spark.createDataFrame([(k, *s) for k, s in enumerate(shuffles)], "_g int, feature string, essai int")
+        out.append(ap.join(F.broadcast(names), "_g").select("feature", "essai", "pr_auc"))
+    return reduce(DataFrame.unionAll, out)
+
+
 def permutation_importance(
     df: DataFrame, scorer: Callable[[DataFrame], DataFrame], features: Sequence[str], key: str, label: str,
     score: str = "fraud_proba", repeats: int = 5, sample: int | None = None, seed: int = SEED,
@@ -241,11 +356,16 @@ def permutation_importance(
 ) -> DataFrame:
     """Loss of average precision when one feature is shuffled: (feature, importance_mean, importance_std).
 
-    All shuffles are scored and ranked in one job, beside the unshuffled rows (see ``permuted_rows``).
+    All shuffles are scored and ranked beside the unshuffled rows (see ``permuted_rows``).  A scorer of trees scores the
+    copies of a row together (``shuffle_curves``), any other one gets the rows of ``permuted_rows``.
     """
-    shuffled = permuted_rows(df, features, key, label, repeats, sample, seed, max_rows)
-    curve = score_curve(scorer(shuffled), label, score, ["feature", "essai"], max_rows)
-    ap = materialise(curve_summary(curve, ["feature", "essai"]).select("feature", "essai", "pr_auc"))
+    numbered, n = numbered_rows(df, features, key, label, sample, seed, max_rows)
+    trees = getattr(scorer, "trees", None)
+    if trees is not None and sorted(trees.features) == sorted(features) and n * np.dtype(trees.bins.kind).itemsize <= DONOR_BYTES:
+        ap = shuffle_curves(numbered, n, trees, scorer.coded, features, repeats, seed, score, max_rows)
+    else:
+        curve = score_curve(scorer(permuted_copies(numbered, n, features, key, label, repeats, seed)), label, score, ["feature", "essai"], max_rows)
+        ap = materialise(curve_summary(curve, ["feature", "essai"]).select("feature", "essai", "pr_auc"))
     loss = ap.filter(F.col("feature") == "").select("pr_auc").scalar() - F.col("pr_auc")
     return (
         ap.filter(F.col("feature") != "").withColumn("_loss", loss)

@@ -56,6 +56,8 @@ def model_scorer(model: BoostedTrees, encoder: DataFrame, encoded: Sequence[str]
         scored = add_probability(coded, model, SCORE)
         return scored.withColumns({c: F.col(f"_raw_{c}") for c in encoded}).drop(*kept)
 
+    # For code that scores many variants of a row (permutation importance).
+    score.trees, score.coded = model, lambda rows: apply_encoder(rows, encoder, encoded)
     return score
 
 

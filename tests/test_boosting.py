@@ -230,3 +230,21 @@ def test_bins_count_the_features_as_groups_of_one_sketch(spark, monkeypatch):
     assert len(seen) == 1
     assert [len(e) for e in bins.edges[:3]] == [1, 39, 199] and all(200 <= len(e) <= 254 for e in bins.edges[3:5]) and len(bins.edges[5]) == 0
     assert [len(e) for e in boosting.find_bins(df.limit(0), df.columns).edges] == [0] * 6
+
+
+@pytest.mark.parametrize("leaves", [31, 64])
+def test_moved_features_get_the_scores_of_whole_rows(spark, leaves):
+    rng = np.random.default_rng(2)
+    x, y = np.column_stack([rng.normal(size=1500), rng.normal(size=1500), rng.integers(0, 2, 1500)]), rng.integers(0, 2, 1500)
+    x[::11, 0] = np.nan
+    m = boosting.fit_trees(frame(spark, x, y), ["a", "b", "c"], "y", F.lit(1.0), Settings(max_iter=9, max_leaves=leaves, min_rows=1))
+    assert (max(sum(n[1] < 0 for n in t) for t in m.trees) > 31) == (leaves == 64)
+    numbers, score = m.bins.numbers(list(x.T)), m.scorer()
+    moves = {f: np.stack([rng.permutation(len(y)) for _ in range(3)]) for f in (0, 2)}
+    plain, moved = m.moved_scorer()(numbers, {f: numbers[f][to] for f, to in moves.items()})
+    assert np.array_equal(plain, score(list(x.T))) and moved.keys() == {0, 2}
+    for f, to in moves.items():
+        for got, at in zip(moved[f], to, strict=True):
+            assert np.array_equal(got, score([x[at, k] if k == f else x[:, k] for k in range(3)]))
+    none = boosting.BoostedTrees(m.features, m.bins, 0.5, [])
+    assert none.moved_scorer()(numbers, {1: numbers[1][None]})[1][1].tolist() == [none.scorer()(list(x.T)).tolist()]

@@ -6,6 +6,7 @@ import inspect
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -247,3 +248,34 @@ def test_rounds_as_columns_are_the_permutation(spark):
             got = got.withColumn("want", model.permuted(F.col("id"), n, F.col(key))).collect()
             assert all(r["to"] == r["want"] for r in got) and len(got) == n
         assert sorted(r["to"] for r in got) == list(range(n))
+
+
+def test_moves_by_tables_are_the_permutation(spark):
+    for n in (1, 2, 40, 1001, 5000):
+        moves = model.move_tables(n, ["42:x:0", "42:x:1"])
+        got = [model.permuted_by(m, np.arange(n), n) for m in moves]
+        rows = spark.range(n).orderBy("id").select(*[model.permuted(F.col("id"), n, F.lit(f"42:x:{k}")) for k in (0, 1)]).collect()
+        assert [[r[k] for r in rows] for k in (0, 1)] == [g.tolist() for g in got]
+
+
+@pytest.mark.parametrize("donor_bytes", [1 << 20, 800])
+def test_trees_score_copies_as_the_scorer_scores_permuted_rows(spark, monkeypatch, donor_bytes):
+    rng = random.Random(5)
+    rows = [(i % 390, None if i % 50 == 7 else int(rng.random() < 0.3), None if i % 9 == 0 else rng.random(), rng.choice(["a", "b", None]), float(i % 2)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, y int, x double, c string, b double")
+    encoder = model.fit_encoder(df, ["c"])
+    trees = model.fit_model(model.apply_encoder(df, encoder, ["c"]), ["x", "c", "b"], "y", max_iter=8, min_rows=5)
+    scorer = scoring.model_scorer(trees, encoder, ["c"])
+    monkeypatch.setattr(model, "DONOR_BYTES", donor_bytes)        # all features at once, or two and one
+    monkeypatch.setattr(model, "PACKED", 70)
+    seen = []
+    monkeypatch.setattr(model, "permuted_copies", lambda *a, f=model.permuted_copies: seen.append(a) or f(*a))
+    one = {r["feature"]: r for r in model.permutation_importance(df, scorer, ["b", "x", "c"], "id", "y", repeats=3).collect()}
+    assert not seen                                               # no row was copied as a row
+    plain = lambda d: scorer(d)
+    two = {r["feature"]: r for r in model.permutation_importance(df, plain, ["b", "x", "c"], "id", "y", repeats=3).collect()}
+    assert len(seen) == 1 and one.keys() == two.keys() == {"x", "c", "b"}
+    for f, r in two.items():
+        assert one[f]["importance_mean"] == pytest.approx(r["importance_mean"], abs=1e-12)
+        assert one[f]["importance_std"] == pytest.approx(r["importance_std"], abs=1e-12)
+    assert max(r["importance_mean"] for r in one.values()) > 0.01
