@@ -8,9 +8,9 @@ by the same code wherever they were added:
 * in one task, where there are at most ONE_TASK rows (some 140 bytes a row, and some 50 while they come): a job for
   each level, some 0.15 s whatever the rows, would take longer than the level.  What a row has is kept side by side
   as well (``side_by_side``), since the rows of a deep node lie far apart;
-* by one job a level over the rows as partitions of arrays, kept by Spark (some 45 bytes a row), for any number of
-  rows.  A task tells the sums of its rows, at most MOST_PARTS of which meet on the driver; the scores of a finished
-  tree are added once, in the partitions.
+* by one job a level over the rows as partitions of arrays, kept by Spark (some 25 bytes a row, 8 of them scores, which
+  are all that a tree writes anew), for any number of rows.  A task tells the sums of its rows, at most MOST_PARTS of
+  which meet on the driver; the job that adds a finished tree to the scores tells the sums of the next root as well.
 
 Where a node has many rows, several features are counted at once by one code (``Bins.codes``), and the sums of each
 feature are the margins of that table.
@@ -27,12 +27,14 @@ import json
 import math
 import pickle
 from collections.abc import Callable, Iterator, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
+from pyspark.accumulators import AccumulatorParam
+from pyspark.serializers import BatchedSerializer, CPickleSerializer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,9 @@ SCORED = 250                  # rows scored at a time: their bit sets stay in a
 MOVED = 32                    # the same where features are moved: some 17 bit sets a row
 CODES = 1 << 16               # numbers of a code of several features
 CODED_ROWS = 30_000           # rows of a node that make the margins of codes worth it
+BLOCK = 1 << 15               # rows of a partition that are placed in a tree at a time
+CHUNK = 1 << 18               # rows of a partition whose slopes are added up at a time
+PIECE = 1 << 20               # rows that travel between Spark and Python as one item, and so lie in one buffer
 
 
 @dataclass(frozen=True)
@@ -232,6 +237,38 @@ class Tree:
             out[2 * node], out[2 * node + 1] = own.compress(left), own.compress(~left)
         return out
 
+    def reached(self, numbers: np.ndarray, nodes: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Rows that reach one of ``nodes`` (none of which is below another), rising, and the place of that node.
+
+        A feature's number rules out the nodes on the other side of its splits; one look-up for each feature on the way
+        and row, however deep the nodes are, BLOCK rows at a time.
+        """
+        if len(nodes) > 31:
+            halves = [self.reached(numbers, nodes[k : k + 31]) for k in range(0, len(nodes), 31)]
+            at, place = np.concatenate([h[0] for h in halves]), np.concatenate([h[1] + 31 * k for k, h in enumerate(halves)])
+            order = np.argsort(at, kind="stable")
+            return at[order], place[order]
+        allowed: dict[int, np.ndarray] = {}
+        for k, node in enumerate(nodes):
+            while node > 1:
+                f, up = int(self.feature[node >> 1]), node >> 1
+                left = np.arange(self.bins.width[f]) <= self.cut[up]
+                left[-1] = self.missing_left[up]
+                table = allowed.setdefault(f, np.full(len(left), (1 << len(nodes)) - 1, np.int32))
+                table[left if node & 1 else ~left] &= ~np.int32(1 << k)
+                node = up
+        if not allowed:
+            return np.arange(numbers.shape[1]), np.zeros(numbers.shape[1], np.int64)
+        found = []
+        first, *others = allowed
+        for k in range(0, max(1, numbers.shape[1]), BLOCK):
+            sets = allowed[first].take(numbers[first, k : k + BLOCK])
+            for f in others:
+                sets &= allowed[f].take(numbers[f, k : k + BLOCK])
+            at = np.flatnonzero(sets)
+            found.append((at + k, first_leaf(sets.take(at))))
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
     def finish(self) -> None:
         """Keep the splits of highest gain, parents first, up to the number of leaves, and value the leaves."""
         s = self.settings
@@ -251,13 +288,8 @@ class Tree:
                 self.value[node] = self.value[node >> 1]
 
     def values(self, numbers: np.ndarray) -> np.ndarray:
-        rows = {1: np.arange(numbers.shape[1])}
-        for _ in range(self.settings.max_depth):
-            rows = self.step_down(numbers, rows)
-        out = np.zeros(numbers.shape[1])
-        for node, own in rows.items():
-            out[own] = self.value[node]
-        return out
+        leaves = [n for n, f, *_ in self.plain() if f < 0]
+        return self.value[leaves].take(self.reached(numbers, leaves)[1])
 
     def light(self) -> Tree:
         """A copy without sums and bins, for tasks that have the bins."""
@@ -323,6 +355,100 @@ def level_sums(
     return out
 
 
+@dataclass
+class Part:
+    """Rows of a partition.  Label and weight are a table of the few pairs there are, and a place in it for each row."""
+
+    numbers: np.ndarray
+    pairs: np.ndarray            # (2, pairs)
+    pair: np.ndarray
+    raw: np.ndarray | float
+    seen: np.ndarray | None = None    # rows by bin
+
+    @staticmethod
+    def of(numbers: np.ndarray, label: np.ndarray, weight: np.ndarray, raw: np.ndarray | float) -> Part:
+        pairs, pair = np.unique(label + 1j * weight, return_inverse=True)
+        small = np.uint8 if len(pairs) <= 256 else np.int32
+        return Part(numbers, np.stack([pairs.real, pairs.imag]), pair.astype(small), raw)
+
+    def pieces(self, count: int) -> list[Part]:
+        ends = np.linspace(0, len(self.pair), count + 1).astype(np.int64).tolist()
+        cut = [slice(a, b) for a, b in zip(ends, ends[1:])]
+        return [replace(self, numbers=np.ascontiguousarray(self.numbers[:, c]), pair=self.pair[c], seen=self.seen if k == 0 else None) for k, c in enumerate(cut)]
+
+    @staticmethod
+    def joined(parts: Sequence[Part], raws: Sequence[np.ndarray]) -> Part:
+        """The part of some pieces, with scores."""
+        if len(parts) == 1:
+            return replace(parts[0], raw=raws[0])
+        numbers, pair = (np.concatenate(x, axis=-1) for x in ([p.numbers for p in parts], [p.pair for p in parts]))
+        return replace(parts[0], numbers=numbers, pair=pair, raw=np.concatenate(raws))
+
+    def slopes(self, at: np.ndarray | slice) -> tuple[np.ndarray, np.ndarray]:
+        label, weight = self.pairs
+        pair = self.pair[at]
+        return slopes(self.raw[at], label.take(pair), weight.take(pair))
+
+    def losses(self) -> float:
+        return losses(self.raw, self.pairs[0].take(self.pair), self.pairs[1].take(self.pair))
+
+    def plus(self, tree: Tree) -> Part:
+        return replace(self, raw=self.raw + tree.values(self.numbers))
+
+
+def part_sums(tree: Tree, part: Part) -> np.ndarray:
+    """``level_sums`` of the rows of a partition: slopes are taken for the rows of measured nodes only."""
+    bins, nodes = tree.bins, tree.measured
+    out = np.zeros((3, len(nodes), bins.total))
+    if nodes == [1]:
+        at, ends = None, np.array([part.numbers.shape[1]])
+    else:
+        at, place = tree.reached(part.numbers, nodes)
+        at = at.take(np.argsort(place.astype(np.min_scalar_type(len(nodes))), kind="stable"))
+        ends = np.cumsum(np.bincount(place, minlength=len(nodes)))
+    sizes = np.diff(ends, prepend=0)
+    known = at is None and part.seen is not None
+    if known:
+        out[2, 0] = part.seen
+
+    def rows(first: int, end: int) -> tuple:
+        own = slice(first, end) if at is None else at[first:end]
+        return part.numbers[:, own] if at is None else [x.take(own) for x in part.numbers], *part.slopes(own)
+
+    for k in np.flatnonzero(sizes >= CODED_ROWS):
+        tables = [np.zeros((2 if known else 3, int(bins.width[group].prod()))) for group in bins.coded()]
+        for first in range(ends[k] - sizes[k], ends[k], CHUNK):
+            numbers, *weights = rows(first, min(first + CHUNK, ends[k]))
+            for table, group in zip(tables, bins.coded(), strict=True):
+                code = numbers[group[0]].astype(np.int64)
+                for f in group[1:]:
+                    code *= bins.width[f]
+                    code += numbers[f]
+                for own, w in zip(table, (*weights, None)):
+                    own += np.bincount(code, w, len(own))
+        for table, group in zip(tables, bins.coded(), strict=True):
+            for i, own in enumerate(table):
+                for f in group:                    # the first feature of those left varies slowest
+                    own = own.reshape(bins.width[f], -1)
+                    out[i, k, bins.start[f] : bins.start[f] + bins.width[f]] = own.sum(1)
+                    own = own.sum(0)
+    few = np.flatnonzero(sizes < CODED_ROWS)
+    # Small nodes that lie side by side are counted together, up to CHUNK rows.
+    while len(few):
+        together = 1
+        while together < len(few) and few[together] == few[0] + together and ends[few[together]] - ends[few[0]] + sizes[few[0]] <= CHUNK:
+            together += 1
+        own, few = few[:together], few[together:]
+        numbers, *weights = rows(ends[own[0]] - sizes[own[0]], ends[own[-1]])
+        slot = np.repeat(np.arange(len(own)), sizes[own])
+        for x, start, width in zip(numbers, bins.start, bins.width, strict=True):
+            code = slot * width + x
+            for i, w in enumerate((*weights, None)):
+                if not (known and i == 2):
+                    out[i, own, start : start + width] = np.bincount(code, w, len(own) * width).reshape(len(own), width)
+    return out
+
+
 def slopes(raw: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     p = np.exp(-raw)
     p += 1
@@ -568,6 +694,16 @@ def grow_in_one_task(rows: DataFrame, bins: Bins, settings: Settings) -> list[li
     return json.loads(rows.coalesce(1).mapInArrow(run, "trees string").collect()[0]["trees"])
 
 
+class Told(AccumulatorParam):
+    """What each partition tells, once however often it is computed."""
+
+    def zero(self, value: dict) -> dict:
+        return {}
+
+    def addInPlace(self, value1: dict, value2: dict) -> dict:
+        return value1 | value2
+
+
 def grow_by_jobs(rows: DataFrame, bins: Bins, settings: Settings, parts: int) -> list[list[list]]:
     """Trees grown by one job a level over ``parts`` partitions of arrays; scores are checkpointed every KEEP_EVERY trees."""
     sc = rows.sparkSession.sparkContext
@@ -582,51 +718,83 @@ def grow_by_jobs(rows: DataFrame, bins: Bins, settings: Settings, parts: int) ->
     def together(packed):
         own = [pickle.loads(r[0]) for r in packed]
         if own:
-            yield tuple(np.concatenate(p, axis=-1) for p in zip(*own, strict=True))
-
-    kept = StorageLevel.MEMORY_AND_DISK
-    first = rows.repartition(parts).mapInArrow(pack, "part binary").rdd.mapPartitions(together).persist(kept)
-    state = {"rows": first, "before": None, "trees": 0}
+            numbers, label, weight, held, raw = (np.concatenate(p, axis=-1) for p in zip(*own, strict=True))
+            parts = [Part.of(np.ascontiguousarray(numbers[:, x]), label[x], weight[x], raw[:1].sum()) for x in (~held, held)]
+            parts[0].seen = np.concatenate([np.bincount(x, minlength=w) for x, w in zip(parts[0].numbers, shared.value.width, strict=True)])
+            yield from zip(*[p.pieces(-(-len(held) // PIECE)) for p in parts], strict=True)     # rows held back are in no node
+
+    def kept(rdd: RDD) -> RDD:
+        return rdd._reserialize(BatchedSerializer(CPickleSerializer(), 1)).persist(StorageLevel.MEMORY_AND_DISK)    # one batch an item: ``zip`` adds no step
+
+    def whole(items: Iterator[tuple]) -> list[Part]:
+        """The rows that grow trees and those held back, of all pieces of a partition."""
+        parts, raws = zip(*items, strict=True)
+        return [Part.joined(p, r) for p, r in zip(zip(*parts, strict=True), zip(*raws, strict=True), strict=True)]
+
+    def sums_of(tree: Tree, grown: Part, apart: Part) -> tuple[np.ndarray, np.ndarray, float]:
+        sums = part_sums(tree, grown).reshape(3, -1)
+        some = np.flatnonzero(sums[2])
+        return some.astype(np.int32), sums[:, some], apart.losses() if tree.measured == [1] else 0.0
+
+    # The rows never change, only their scores do.  Scores are in the order of the rows, so the order is fixed by a checkpoint
+    # before there are any, and a lost partition is read from it.
+    fixed = kept(rows.mapInArrow(pack, "part binary").repartition(parts).rdd.mapPartitions(together))
+    fixed.checkpoint()
+    filled = fixed.mapPartitions(lambda items: [1] if any(True for _ in items) else []).count()
+    told = sc.accumulator({}, Told())
+    state = {"scores": None, "trees": 0}
+
+    def advance(tree: Tree | None) -> None:
+        """Scores after one more tree, and by the way the sums of the root of the next one."""
+        light, before, now = tree and tree.light(), state["scores"], state["trees"]
+
+        def run(index, items):
+            items = list(items)
+            if not items:
+                return
+            own = whole(items)
+            if light is not None:
+                light.bins = shared.value
+                own = [p.plus(light) for p in own]
+            told.add({(now, index): sums_of(Tree(shared.value, settings), *own)})
+            yield from zip(*[np.split(p.raw, np.cumsum([len(r[k]) for _, r in items])[:-1]) for k, p in enumerate(own)], strict=True)
+
+        first = lambda parts: (parts, tuple(np.full(len(p.pair), p.raw) for p in parts))
+        pairs = fixed.map(first) if before is None else fixed.zip(before)
+        told.value.clear()
+        state["scores"] = kept(pairs.mapPartitionsWithIndex(run, preservesPartitioning=True))
+        if now and now % KEEP_EVERY == 0:
+            state["scores"].checkpoint()
+        state["scores"]._jrdd.count()
+        if before is not None:
+            before.unpersist()
 
     def measure(tree: Tree) -> tuple[np.ndarray, float]:
-        light = tree.light()
+        light, found = tree.light(), [x for key, x in sorted(told.value.items()) if key[0] == state["trees"]]
 
-        def run(part):
+        def run(items):
             light.bins = shared.value
-            numbers, label, weight, held, raw = part
-            rows_of = {1: np.flatnonzero(~held)}        # rows held back are in no node
-            for _ in range(light.measured[0].bit_length() - 1):
-                rows_of = light.step_down(numbers, rows_of)
-            sums = level_sums(light, numbers, rows_of, *slopes(raw, label, weight)).reshape(3, -1)
-            some = np.flatnonzero(sums[2])
-            return some.astype(np.int32), sums[:, some], losses(raw[held], label[held], weight[held])
+            items = list(items)
+            return [sums_of(light, *whole(items))] if items else []
 
+        # A partition that was not computed by the task that counts it (after a lost one) has told nothing.
+        if tree.measured != [1] or len(found) != filled:
+            found = fixed.zip(state["scores"]).mapPartitions(run).collect()            # in the order of the partitions
         out, loss = np.zeros((3, len(tree.measured) * bins.total)), 0.0
-        for some, sums, part_loss in state["rows"].map(run).collect():      # in the order of the partitions
+        for some, sums, part_loss in found:
             out[:, some] += sums
             loss += part_loss
-        if state["before"] is not None:
-            state["before"].unpersist()
-            state["before"] = None
         return out.reshape(3, len(tree.measured), bins.total), loss
 
     def accept(tree: Tree) -> None:
-        light = tree.light()
-
-        def run(part):
-            light.bins = shared.value
-            *given, raw = part
-            return *given, raw + light.values(given[0])
-
-        state["before"], state["rows"] = state["rows"], state["rows"].map(run).persist(kept)
         state["trees"] += 1
-        if state["trees"] % KEEP_EVERY == 0:
-            state["rows"].checkpoint()
+        advance(tree)
 
     try:
+        advance(None)
         return grow(bins, settings, measure, accept)
     finally:
-        for held in (state["before"], state["rows"]):
+        for held in (fixed, state["scores"]):
             if held is not None:
                 held.unpersist()
         shared.unpersist()

@@ -248,3 +248,57 @@ def test_moved_features_get_the_scores_of_whole_rows(spark, leaves):
             assert np.array_equal(got, score([x[at, k] if k == f else x[:, k] for k in range(3)]))
     none = boosting.BoostedTrees(m.features, m.bins, 0.5, [])
     assert none.moved_scorer()(numbers, {1: numbers[1][None]})[1][1].tolist() == [none.scorer()(list(x.T)).tolist()]
+
+
+def test_sums_of_a_partition_are_the_sums_of_its_rows(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x, y = np.column_stack([rng.normal(size=900).round(1), rng.normal(size=900).round(1), rng.integers(0, 2, 900)]), rng.integers(0, 2, 900).astype(float)
+    x[::9, 0], w = np.nan, np.where(y, 3.0, 1.0)
+    bins, settings = exact_bins(x), Settings(max_iter=5, max_depth=6, max_leaves=64, min_rows=2, step=0.3)
+    numbers, raw = bins.numbers(list(x.T)), np.linspace(-2, 2, len(y))
+    part = boosting.Part.of(numbers, y, w, raw)
+    assert part.pairs.shape[1] == 2 and part.pair.dtype == np.uint8
+    g, h = boosting.slopes(raw, y, w)
+    for coded, block in ((30_000, 1 << 15), (1, 100), (120, 64), (120, 1 << 15)):
+        for name, most in (("CODED_ROWS", coded), ("BLOCK", block), ("CHUNK", 130)):
+            monkeypatch.setattr(boosting, name, most)
+        for part.seen in (None, np.concatenate([np.bincount(b, minlength=n) for b, n in zip(numbers, bins.width)])):
+            tree, rows = Tree(bins, settings), {1: np.arange(len(y))}
+            while tree.measured:
+                plain = boosting.level_sums(tree, numbers, rows, g, h)
+                assert np.allclose(boosting.part_sums(tree, part), plain, atol=1e-9)
+                tree.absorb(plain)
+                rows = tree.step_down(numbers, rows)
+            nodes = list(rows)
+            at, place = tree.reached(numbers, nodes)
+            assert len(nodes) > 31 and at.tolist() == list(range(len(y)))
+            assert all(np.array_equal(np.flatnonzero(place == k), np.sort(rows[n])) for k, n in enumerate(nodes))
+            at, place = tree.reached(numbers, nodes[3:5])
+            assert np.array_equal(at[place == 1], np.sort(rows[nodes[4]])) and len(at) == len(rows[nodes[3]]) + len(rows[nodes[4]])
+            tree.finish()
+            assert np.array_equal(part.plus(tree).raw, raw + tree.values(numbers))
+    many = boosting.Part.of(numbers, y, np.arange(1.0, 901), raw)          # a weight of its own for each row
+    want = boosting.slopes(raw, y, np.arange(1.0, 901))
+    assert all(np.array_equal(a, b) for a, b in zip(many.slopes(slice(None)), want))
+    assert many.losses() == pytest.approx(boosting.losses(raw, y, np.arange(1.0, 901)))
+
+
+def test_rows_travel_in_pieces_and_a_silent_partition_is_asked(spark, monkeypatch):
+    x, y, w = made(900)
+    df, weight = frame(spark, x, y).repartition(5), F.when(F.col("y") == 1, 3.0).otherwise(1.0)
+    settings = Settings(max_iter=6, max_depth=3, max_leaves=6, min_rows=5, step=0.3, stop_from=500)
+    fit = lambda **more: boosting.fit_trees(df, ["a", "b", "c"], "y", weight, settings, **more)
+    one = fit()
+    monkeypatch.setattr(boosting, "PART_ROWS", 200)
+    monkeypatch.setattr(boosting, "PIECE", 64)
+    monkeypatch.setattr(boosting, "KEEP_EVERY", 2)
+    told, flat = [], lambda m: [n[:4] for t in m.trees for n in t]
+    monkeypatch.setattr(boosting.Told, "addInPlace", lambda self, a, b: told.extend(b.values()) or a | b)
+    jobs = fit(one_task=0)
+    assert flat(jobs) == flat(one) and len(one.trees) == 6
+    counted = [s[1][2].sum() / 3 for s in told]                 # a row has one bin of each of the three features
+    assert 7 * 700 < sum(counted) < 7 * 900 and sum(counted) % 7 == 0          # roots of six trees and of the next; a tenth is held back
+    assert np.allclose(jobs.scorer()(list(x.T)), one.scorer()(list(x.T)), atol=1e-9)
+    monkeypatch.setattr(boosting.Told, "addInPlace", lambda self, a, b: {})
+    assert flat(fit(one_task=0)) == flat(one)
+
