@@ -44,6 +44,7 @@ MAX_BINS = 255
 ONE_TASK = 1_000_000
 PART_ROWS = 50_000            # rows of a partition at least; one for each core, MOST_PARTS at most: a level is one wave of tasks
 MOST_PARTS = 48
+MOST_ROWS = 4_000_000         # rows of a partition above which a level is two waves of tasks or more, up to MOST_PARTS
 KEEP_EVERY = 50               # trees between two checkpoints of the scores in the partitions
 SCORED = 250                  # rows scored at a time: their bit sets stay in a core's cache
 MOVED = 32                    # the same where features are moved: some 17 bit sets a row
@@ -833,5 +834,6 @@ def fit_trees(
         trees = grow_in_one_task(ready, bins, settings)
     else:
         cores = rows.sparkSession.sparkContext.defaultParallelism
-        trees = grow_by_jobs(ready, bins, settings, max(1, min(MOST_PARTS, cores, n // PART_ROWS)))
+        waves = -(-n // (cores * MOST_ROWS))
+        trees = grow_by_jobs(ready, bins, settings, max(1, min(MOST_PARTS, cores * waves, n // PART_ROWS)))
     return BoostedTrees(list(features), bins, base, trees)
